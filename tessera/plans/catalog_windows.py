@@ -1,3 +1,98 @@
-"""Registered windows queries."""
+"""Registered order-dependent queries, two-pass form."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import windows as W
+from ..sources import tables as tb
+from .fixtures import ORDERS_NULLS_SQL, orders_nulls
+from .registry import query, rounded
+
+ORDER = ["o_orderdate", "o_orderkey"]
+_W = "ORDER BY o_orderdate, o_orderkey"
+_ROLL_SQL = {"mean": "avg", "sum": "sum", "min": "min", "max": "max", "std": "stddev_samp"}
+
+
+def _rolling_query(func):
+    @query(f"win_rolling_{func}", f"""
+    SELECT *, round(CASE WHEN count(o_totalprice) OVER w = 7 THEN {_ROLL_SQL[func]}(o_totalprice) OVER w END, 2)
+           AS o_totalprice_rolling_{func}
+    FROM ({ORDERS_NULLS_SQL}) WINDOW w AS ({_W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+    """)
+    def q(spark, d):
+        return rounded(W.rolling(orders_nulls(spark, d), "o_totalprice", 7, func, ORDER, block_rows=2000), 2)
+    return q
+
+
+for _f in ("mean", "sum", "min", "max", "std"):
+    _rolling_query(_f)
+
+
+@query("win_cumsum", f"""
+SELECT *, round(CASE WHEN o_totalprice IS NOT NULL THEN sum(o_totalprice) OVER ({_W} ROWS UNBOUNDED PRECEDING) END, 2)
+       AS o_totalprice_cumsum
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_cumsum(spark, d):
+    return rounded(W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", ORDER), 2)
+
+
+@query("win_cumsum_group", f"""
+SELECT *, round(CASE WHEN o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL
+       THEN sum(o_totalprice) OVER (PARTITION BY o_orderpriority {_W} ROWS UNBOUNDED PRECEDING) END, 2)
+       AS o_totalprice_cumsum
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_cumsum_group(spark, d):
+    return rounded(W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", ORDER, "o_orderpriority"), 2)
+
+
+_RANKED = f"(SELECT *, round(o_totalprice / 10000) AS p FROM ({ORDERS_NULLS_SQL}))"
+_RANK_SQL = {
+    "dense": "dense_rank() OVER (ORDER BY p DESC)",
+    "min": "rank() OVER (ORDER BY p DESC)",
+    "max": "rank() OVER (ORDER BY p DESC) + count(*) OVER (PARTITION BY p) - 1",
+    "average": "rank() OVER (ORDER BY p DESC) + (count(*) OVER (PARTITION BY p) - 1) / 2.0",
+    "first": "row_number() OVER (ORDER BY p DESC, o_orderkey)",
+}
+
+
+def _rank_query(method):
+    @query(f"win_rank_{method}", f"""
+    SELECT *, CAST({_RANK_SQL[method]} AS DOUBLE) AS p_rank FROM {_RANKED} WHERE p IS NOT NULL
+    UNION ALL SELECT *, CAST(NULL AS DOUBLE) FROM {_RANKED} WHERE p IS NULL
+    """)
+    def q(spark, d):
+        o = orders_nulls(spark, d).withColumn("p", F.round(F.col("o_totalprice") / 10000))
+        return W.rank(o, "p", ascending=False, method=method, order_by=["o_orderkey"])
+    return q
+
+
+for _m in ("dense", "min", "max", "average", "first"):
+    _rank_query(_m)
+
+
+def _fill_query(key, direction, sql_fn, frame):
+    @query(key, f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+           {sql_fn}(o_totalprice IGNORE NULLS) OVER w AS o_totalprice,
+           {sql_fn}(o_orderpriority IGNORE NULLS) OVER w AS o_orderpriority
+    FROM ({ORDERS_NULLS_SQL}) WINDOW w AS ({_W} ROWS BETWEEN {frame})
+    """)
+    def q(spark, d):
+        from ..operators import cleaning as cl
+        return cl.fill_nulls(orders_nulls(spark, d), method="ffill" if direction == "forward" else "bfill",
+                             columns=["o_totalprice", "o_orderpriority"], order_by=ORDER)
+    return q
+
+
+_fill_query("clean_ffill", "forward", "last_value", "UNBOUNDED PRECEDING AND CURRENT ROW")
+_fill_query("clean_bfill", "backward", "first_value", "CURRENT ROW AND UNBOUNDED FOLLOWING")
+
+
+@query("win_row_number_group", """
+SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS row_number FROM events
+""")
+def q_row_number_group(spark, d):
+    return W.row_number(tb.table(spark, d, "events"), ["ts", "event_id"], "event_type")
