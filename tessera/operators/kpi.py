@@ -165,12 +165,18 @@ def spec_kpis(specs: Sequence[dict], order_by: str | None = None) -> list[Kpi]:
     return out
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """Fixed-point text rounded like Python's ``f"{v:.{digits}f}"`` (correct rounding of
+    the binary value; ``format_string`` would round the shortest decimal form half-up)."""
+    return F.regexp_replace(F.format_number(value.cast("double"), digits), ",", "")
+
+
 def format_duration(seconds: Column) -> Column:
     """``<60 s → "x.xs"``, ``<3600 → "x.xm"``, else ``"x.xh"``."""
     s = seconds.cast("double")
-    return (F.when(s < 60, F.format_string("%.1fs", s))
-            .when(s < 3600, F.format_string("%.1fm", s / 60))
-            .otherwise(F.format_string("%.1fh", s / 3600)))
+    return (F.when(s < 60, F.concat(fixed(s, 1), F.lit("s")))
+            .when(s < 3600, F.concat(fixed(s / 60, 1), F.lit("m")))
+            .otherwise(F.concat(fixed(s / 3600, 1), F.lit("h"))))
 
 
 def format_value(value: Column, fmt: str | None) -> Column:
@@ -178,9 +184,9 @@ def format_value(value: Column, fmt: str | None) -> Column:
     if fmt == "time":
         return format_duration(value)
     if fmt == "percentage":
-        return F.format_string("%.1f%%", value)
+        return F.concat(fixed(value, 1), F.lit("%"))
     if fmt == "decimal":
-        return F.format_string("%.2f", value)
+        return fixed(value, 2)
     if fmt == "currency":
         return F.concat(F.lit("$"), F.format_number(value, 2))
     if fmt == "number":
