@@ -53,3 +53,78 @@ SELECT o_orderkey,
             ELSE CAST(o_totalprice AS VARCHAR) END AS p_text
 FROM orders
 """
+
+
+# ---- run-history tables derived from orders (runs) and lineitem (log lines) ----
+
+def executions(spark, d):
+    o = tb.table(spark, d, "orders")
+    status = (F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "running")
+              .otherwise("failed"))
+    started = F.timestamp_add("MINUTE", (F.col("o_custkey") % 60).cast("int"), F.col("o_orderdate"))
+    completed = F.when(status.isin("success", "failed"),
+                       F.timestamp_add("SECOND", (F.col("o_orderkey") % 3600).cast("int"), started))
+    err = F.when(status == "failed", F.lit("error in step transform"))
+    step_status = F.when(status == "running", "running").otherwise(status)
+    steps = F.array(
+        F.struct(F.lit("extract").alias("name"), F.lit("success").alias("status"),
+                 F.col("o_orderdate").alias("started_at"), started.alias("completed_at"),
+                 F.lit(None).cast("string").alias("error")),
+        F.struct(F.lit("transform").alias("name"), step_status.alias("status"), started.alias("started_at"),
+                 completed.alias("completed_at"), err.alias("error")))
+    return o.select(
+        F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.lit("report_"), F.substring("o_orderpriority", 1, 1)).alias("report_name"),
+        status.alias("status"),
+        F.element_at(F.array(*[F.lit(t) for t in ("manual", "scheduled", "api", "retry")]),
+                     (F.col("o_custkey") % 4 + 1).cast("int")).alias("trigger"),
+        F.col("o_orderdate").alias("created_at"), started.alias("started_at"), completed.alias("completed_at"),
+        F.concat(F.lit("/reports/run-"), F.col("o_orderkey").cast("string"), F.lit(".xlsx")).alias("output_path"),
+        F.col("o_custkey").alias("row_count"), F.col("o_totalprice").cast("long").alias("file_size"),
+        err.alias("error_message"), (F.col("o_orderkey") % 4).cast("int").alias("retry_count"),
+        F.lit(3).alias("max_retries"), steps.alias("steps"),
+        F.create_map(F.lit("priority"), F.col("o_orderpriority")).alias("metadata"))
+
+
+EXECUTIONS_SQL = """
+SELECT 'run-' || CAST(o_orderkey AS VARCHAR) AS id, 'report_' || substr(o_orderpriority, 1, 1) AS report_name,
+       CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
+       ['manual', 'scheduled', 'api', 'retry'][CAST(o_custkey % 4 + 1 AS INTEGER)] AS trigger,
+       o_orderdate AS created_at,
+       o_orderdate + to_minutes(CAST(o_custkey % 60 AS INTEGER)) AS started_at,
+       CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_minutes(CAST(o_custkey % 60 AS INTEGER))
+            + to_seconds(CAST(o_orderkey % 3600 AS INTEGER)) END AS completed_at,
+       CAST(o_orderkey % 4 AS INTEGER) AS retry_count, 3 AS max_retries, o_custkey AS row_count
+FROM orders
+"""
+
+
+def execution_logs(spark, d):
+    li = tb.table(spark, d, "lineitem")
+    return li.select(
+        F.concat(F.lit("run-"), F.col("l_orderkey").cast("string")).alias("execution_id"),
+        F.col("l_shipdate").alias("timestamp"),
+        F.when(F.col("l_returnflag") == "R", "ERROR").when(F.col("l_returnflag") == "A", "WARNING")
+        .otherwise("INFO").alias("level"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("message"),
+        F.concat(F.lit("step_"), F.col("l_linenumber").cast("string")).alias("step"),
+        F.create_map(F.lit("qty"), F.col("l_quantity").cast("string")).alias("details"))
+
+
+LOGS_SQL = """
+SELECT 'run-' || CAST(l_orderkey AS VARCHAR) AS execution_id, l_shipdate AS timestamp,
+       CASE l_returnflag WHEN 'R' THEN 'ERROR' WHEN 'A' THEN 'WARNING' ELSE 'INFO' END AS level,
+       'line ' || CAST(l_linenumber AS VARCHAR) AS message, 'step_' || CAST(l_linenumber AS VARCHAR) AS step
+FROM lineitem
+"""
+
+
+def status_events(spark, d):
+    e = executions(spark, d)
+    q = e.select(F.col("id").alias("run_id"), F.col("created_at").alias("ts"), F.lit("queued").alias("status"),
+                 F.lit(0).alias("seq"))
+    r = e.select(F.col("id").alias("run_id"), F.col("started_at").alias("ts"), F.lit("running").alias("status"),
+                 F.lit(1).alias("seq"))
+    c = e.where(F.col("completed_at").isNotNull()).select(
+        F.col("id").alias("run_id"), F.col("completed_at").alias("ts"), "status", F.lit(2).alias("seq"))
+    return q.unionByName(r).unionByName(c)
