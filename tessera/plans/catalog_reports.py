@@ -19,3 +19,98 @@ FROM nn GROUP BY category ORDER BY total_amount DESC
 """)
 def q_report_daily_sales(spark, d):
     return rounded(reports.daily_sales(tb.sales(spark, d)))
+
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as _F  # noqa: E402
+
+
+@query("sql_daily", f"""
+SELECT * FROM ({tb.SALES_SQL}) WHERE date >= TIMESTAMP '1996-03-15' AND date < TIMESTAMP '1996-03-16'
+ORDER BY total_amount DESC
+""")
+def q_sql_daily(spark, d):
+    return reports.sql_daily(spark, tb.sales(spark, d), _dt.date(1996, 3, 15))
+
+
+@query("sql_weekly", f"""
+SELECT date, agent_id, agent_name, team, calls_handled, avg_handling_time, first_call_resolution,
+       customer_satisfaction, sales_amount, conversion_rate
+FROM ({tb.PERFORMANCE_SQL}) WHERE date >= TIMESTAMP '2024-01-13' ORDER BY date, agent_id
+""")
+def q_sql_weekly(spark, d):
+    return reports.sql_weekly(spark, tb.performance(spark, d), _dt.date(2024, 1, 20))
+
+
+@query("sql_monthly", f"""
+SELECT date, department, round(revenue, 2) AS revenue, round(costs, 2) AS costs, round(profit, 2) AS profit, headcount,
+       round(productivity_index, 2) AS productivity_index, customer_count, new_customers, churned_customers
+FROM ({tb.MONTHLY_SQL}) WHERE date >= TIMESTAMP '2000-06-01'
+""")
+def q_sql_monthly(spark, d):
+    r = reports.sql_monthly(spark, tb.monthly(spark, d), _dt.date(2000, 6, 15))
+    return r.withColumns({c: _F.round(c, 2) for c in ("revenue", "costs", "profit", "productivity_index")})
+
+
+_WEEK = f"""(SELECT DISTINCT * FROM ({tb.PERFORMANCE_SQL}) WHERE date >= TIMESTAMP '2024-01-13')"""
+
+
+@query("report_weekly_kpi", f"""
+SELECT team, CAST(sum(calls_handled) AS BIGINT) AS calls_handled, round(avg(avg_handling_time), 4) AS avg_handling_time,
+       round(avg(CAST(first_call_resolution AS DOUBLE)), 4) AS first_call_resolution,
+       round(avg(customer_satisfaction), 4) AS customer_satisfaction, round(sum(sales_amount), 4) AS sales_amount,
+       round(avg(conversion_rate), 4) AS conversion_rate
+FROM {_WEEK} GROUP BY team
+""")
+def q_report_weekly(spark, d):
+    return rounded(reports.weekly_kpi(tb.performance(spark, d), _dt.date(2024, 1, 20))["by_team"])
+
+
+@query("report_weekly_kpi_list", f"""
+SELECT 'performance' AS category, 'Total Calls' AS kpi_name, round(CAST(sum(calls_handled) AS DOUBLE), 4) AS value FROM {_WEEK}
+UNION ALL SELECT 'performance', 'Average Handling Time', round(avg(avg_handling_time), 4) FROM {_WEEK}
+UNION ALL SELECT 'performance', 'FCR Rate', round(avg(CAST(first_call_resolution AS DOUBLE)), 4) FROM {_WEEK}
+UNION ALL SELECT 'customer', 'CSAT Score', round(avg(customer_satisfaction), 4) FROM {_WEEK}
+UNION ALL SELECT 'sales', 'Total Sales', round(sum(sales_amount), 4) FROM {_WEEK}
+UNION ALL SELECT 'sales', 'Conversion Rate', round(avg(conversion_rate), 4) FROM {_WEEK}
+""")
+def q_report_weekly_list(spark, d):
+    return rounded(reports.weekly_kpi(tb.performance(spark, d), _dt.date(2024, 1, 20))["kpis"])
+
+
+@query("report_weekly_kpi_trend", f"""
+SELECT date_trunc('day', date) AS day, CAST(sum(calls_handled) AS BIGINT) AS calls_handled,
+       round(sum(sales_amount), 4) AS sales_amount FROM {_WEEK} GROUP BY 1
+""")
+def q_report_weekly_trend(spark, d):
+    return rounded(reports.weekly_kpi(tb.performance(spark, d), _dt.date(2024, 1, 20))["trend"])
+
+
+@query("report_monthly_summary", f"""
+WITH m AS (SELECT DISTINCT * FROM ({tb.MONTHLY_SQL})),
+a AS (SELECT department, sum(revenue) AS revenue, sum(costs) AS costs, sum(profit) AS profit,
+             avg(headcount) AS headcount, avg(productivity_index) AS productivity_index,
+             arg_max(customer_count, date) AS customer_count, sum(new_customers) AS new_customers,
+             sum(churned_customers) AS churned_customers
+      FROM m WHERE department IS NOT NULL GROUP BY department)
+SELECT department, round(revenue, 2) AS revenue, round(costs, 2) AS costs, round(profit, 2) AS profit,
+       round(headcount, 4) AS headcount, round(productivity_index, 2) AS productivity_index, customer_count,
+       new_customers, churned_customers, round(profit / revenue * 100, 4) AS profit_margin,
+       new_customers - churned_customers AS net_customer_growth
+FROM a ORDER BY profit DESC
+""")
+def q_report_monthly(spark, d):
+    out = reports.monthly_summary(tb.monthly(spark, d))
+    r = out.withColumns({c: _F.round(c, 2) for c in ("revenue", "costs", "profit", "productivity_index")})
+    return rounded(r)
+
+
+@query("report_training", f"""
+WITH t AS (SELECT DISTINCT * FROM ({tb.TRAINING_SQL}))
+SELECT round(CASE WHEN count(*) > 0 THEN sum(CAST(completed AS INTEGER)) / count(*) * 100 ELSE 0 END, 6)
+       AS training_completion_rate, round(avg(score), 6) AS average_assessment_score,
+       CAST(count(*) AS DOUBLE) AS records FROM t
+""")
+def q_report_training(spark, d):
+    return rounded(reports.training(tb.training(spark, d)), 6)

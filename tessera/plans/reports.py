@@ -24,3 +24,114 @@ def daily_sales(sales: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     clean = cl.remove_nulls(cl.remove_duplicates(src))
     agg = tr.aggregate(clean, ["category"], {"total_amount": "sum", "quantity": "sum", "unit_price": "mean"})
     return tr.sort(agg, "total_amount", ascending=False)
+
+
+# ---- report source queries as SQL text with named parameters (the configs' SELECTs) ----
+
+DAILY_SQL = """
+SELECT date, product_id, product_name, category, quantity, unit_price, total_amount, customer_id, region
+FROM {sales}
+WHERE date >= :day_start AND date < :day_end
+ORDER BY total_amount DESC
+"""
+
+WEEKLY_SQL = """
+SELECT date, agent_id, agent_name, team, calls_handled, avg_handling_time, first_call_resolution,
+       customer_satisfaction, sales_amount, conversion_rate
+FROM {performance_metrics}
+WHERE date >= :since
+ORDER BY date, agent_id
+"""
+
+MONTHLY_SQL = """
+SELECT date, department, revenue, costs, profit, headcount, productivity_index, customer_count, new_customers,
+       churned_customers
+FROM {monthly_summary}
+WHERE date >= :month_start
+"""
+
+
+def sql_daily(spark, sales: DataFrame, as_of: dt.date) -> DataFrame:
+    start = dt.datetime.combine(as_of, dt.time())
+    return spark.sql(DAILY_SQL, args={"day_start": start, "day_end": start + dt.timedelta(days=1)}, sales=sales)
+
+
+def sql_weekly(spark, performance: DataFrame, as_of: dt.date) -> DataFrame:
+    since = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=7)
+    return spark.sql(WEEKLY_SQL, args={"since": since}, performance_metrics=performance)
+
+
+def sql_monthly(spark, monthly: DataFrame, as_of: dt.date) -> DataFrame:
+    start = dt.datetime(as_of.year, as_of.month, 1)
+    return spark.sql(MONTHLY_SQL, args={"month_start": start}, monthly_summary=monthly)
+
+
+WEEKLY_TEAM_METRICS = {"calls_handled": "sum", "avg_handling_time": "mean", "first_call_resolution": "mean",
+                       "customer_satisfaction": "mean", "sales_amount": "sum", "conversion_rate": "mean"}
+
+
+def weekly_kpi(performance: DataFrame, as_of: dt.date | None = None) -> dict[str, DataFrame]:
+    """extract (trailing 7 days) → clean → by-team aggregate, KPI list, daily trend.
+
+    The reference never applies its aggregation and its KPI table is always
+    empty; here the declared aggregation and KPI list are computed."""
+    from ..operators import kpi as K
+    src = performance
+    if as_of is not None:
+        since = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=7)
+        src = src.where(F.col("date") >= F.lit(since).cast(performance.schema["date"].dataType))
+    clean = cl.remove_nulls(cl.remove_duplicates(src))
+    clean = clean.withColumn("first_call_resolution", F.col("first_call_resolution").cast("double"))
+    by_team = tr.sort(tr.aggregate(clean, ["team"], WEEKLY_TEAM_METRICS), "sales_amount", ascending=False)
+    specs = [{"name": "Total Calls", "column": "calls_handled", "aggregation": "sum", "category": "performance"},
+             {"name": "Average Handling Time", "column": "avg_handling_time", "aggregation": "mean",
+              "category": "performance"},
+             {"name": "FCR Rate", "column": "first_call_resolution", "aggregation": "mean",
+              "category": "performance"},
+             {"name": "CSAT Score", "column": "customer_satisfaction", "aggregation": "mean", "category": "customer"},
+             {"name": "Total Sales", "column": "sales_amount", "aggregation": "sum", "category": "sales"},
+             {"name": "Conversion Rate", "column": "conversion_rate", "aggregation": "mean", "category": "sales"}]
+    kpis = K.kpi_summary(clean, K.spec_kpis(specs))
+    trend = tr.aggregate(clean.withColumn("day", F.date_trunc("day", "date")), ["day"],
+                         {"calls_handled": "sum", "sales_amount": "sum"})
+    return {"by_team": by_team, "kpis": kpis, "trend": trend}
+
+
+MONTHLY_STEPS = [
+    {"type": "aggregate", "groupby": ["department"],
+     "metrics": {"revenue": "sum", "costs": "sum", "profit": "sum", "headcount": "mean",
+                 "productivity_index": "mean", "customer_count": "last", "new_customers": "sum",
+                 "churned_customers": "sum"}},
+    {"type": "calculate", "name": "profit_margin", "expression": "(profit / revenue) * 100"},
+    {"type": "calculate", "name": "net_customer_growth", "expression": "new_customers - churned_customers"},
+    {"type": "sort", "by": "profit", "ascending": False},
+]
+
+
+def monthly_summary(monthly: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """extract (month to date, or all months) → clean → aggregate by department
+    (``last`` by date) → two calculated columns → sort by profit."""
+    from .steps import apply_transformations
+    src = monthly
+    if as_of is not None:
+        src = src.where(F.col("date") >= F.lit(dt.datetime(as_of.year, as_of.month, 1)))
+    clean = cl.remove_nulls(cl.remove_duplicates(src))
+    return apply_transformations(clean, MONTHLY_STEPS, order_by="date")
+
+
+def training(records: DataFrame) -> DataFrame:
+    """dedup → completion rate and average score (when the columns exist), one row.
+    The test data has no completion date, so the 30-day window applies only
+    when a ``completion_date`` column is present."""
+    from ..operators import kpi as K
+    src = records
+    if "completion_date" in src.columns:
+        src = src.where(F.col("completion_date") >= F.date_sub(F.current_date(), 30))
+    clean = cl.remove_duplicates(src)
+    kpis = []
+    if "completed" in clean.columns:
+        kpis.append(K.training_completion_rate("completed"))
+    if "score" in clean.columns:
+        kpis.append(K.average_assessment_score("score"))
+    kpis.append(K.Kpi("records", "training", F.count(F.lit(1))))
+    return K.kpi_frame(clean, kpis).select(*[k.name for k in kpis])
