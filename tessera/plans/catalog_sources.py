@@ -1,3 +1,211 @@
-"""Registered sources queries."""
+"""Registered source and sink queries.
+
+Each writes a test table to a fresh folder under the session's shared
+checkpoint folder (``spark.checkpoint.dir``) in the format under test and
+reads it back; the oracle is the SELECT that produced the written table.
+"""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import staging_path
+from ..sources import csv as cs
+from ..sources import json_pages as jp
+from ..sources import logs as lg
+from ..sources import sinks as sk
+from ..sources import tables as tb
+from ..sources import workbook as wb
+from .fixtures import ORDERS_NULLS_SQL, execution_logs, orders_nulls
+from .registry import query, rounded
+
+ORDERS_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                 "o_orderdate timestamp_ntz, o_orderpriority string")
+
+
+def _land_csv(spark, df, name):
+    path = staging_path(spark, name)
+    sk.write_csv(df, path)
+    return path
+
+
+@query("src_csv", "SELECT * FROM orders")
+def q_src_csv(spark, d):
+    path = _land_csv(spark, tb.table(spark, d, "orders"), "src_csv")
+    return cs.read_csv(spark, path, ORDERS_SCHEMA)
+
+
+@query("src_csv_columns", "SELECT o_totalprice, o_orderkey FROM orders")
+def q_src_csv_columns(spark, d):
+    path = _land_csv(spark, tb.table(spark, d, "orders"), "src_csv_columns")
+    return cs.read_csv(spark, path, ORDERS_SCHEMA, columns=["o_totalprice", "o_orderkey"])
+
+
+@query("src_csv_union", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority FROM orders
+""")
+def q_src_csv_union(spark, d):
+    o = tb.table(spark, d, "orders")
+    first = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    second = o.where(~F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).drop("o_totalprice")
+    p1, p2 = _land_csv(spark, first, "src_csv_union_a"), _land_csv(spark, second, "src_csv_union_b")
+    s2 = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+    return cs.read_csv_union(spark, [p1, p2], schemas=[ORDERS_SCHEMA, s2])
+
+
+@query("src_csv_isin", f"""
+SELECT * FROM ({ORDERS_NULLS_SQL}) WHERE o_orderpriority = '1-URGENT' OR o_orderpriority IS NULL
+""")
+def q_src_csv_isin(spark, d):
+    path = _land_csv(spark, orders_nulls(spark, d), "src_csv_isin")
+    return cs.read_csv_isin(spark, path, "o_orderpriority", ["1-URGENT", None], ORDERS_SCHEMA)
+
+
+@query("src_csv_date_range", """
+SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS order_day FROM orders
+WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate <= TIMESTAMP '1997-12-31'
+""")
+def q_src_csv_date_range(spark, d):
+    o = tb.table(spark, d, "orders").select("o_orderkey",
+                                            F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"))
+    path = _land_csv(spark, o, "src_csv_date_range")
+    return cs.read_csv_date_range(spark, path, "order_day", dt.date(1997, 1, 1), dt.date(1997, 12, 31),
+                                  "o_orderkey long, order_day string", date_format="yyyy-MM-dd")
+
+
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+
+
+def _land_responses(spark, d, name):
+    """Events as response documents: pages of 50 rows under data/results/items,
+    bare arrays, and single bare objects (one kind per page, by page number)."""
+    ev = tb.table(spark, d, "events")
+    page = F.floor(F.col("event_id") / 50)
+    row = F.struct(*ev.columns)
+    paged = ev.withColumn("__page", page)
+    kind = F.col("__page") % 5
+    grouped = (paged.where(kind < 4).groupBy("__page")
+               .agg(F.sort_array(F.collect_list(row)).alias("rows")))
+    k = F.col("__page") % 5
+    o = jp.JSON_OPTIONS
+    doc = (F.when(k == 0, F.to_json(F.struct(F.col("rows").alias("data")), o))
+           .when(k == 1, F.to_json(F.struct(F.col("rows").alias("results")), o))
+           .when(k == 2, F.to_json(F.struct(F.col("rows").alias("items")), o))
+           .otherwise(F.to_json("rows", o)))
+    singles = paged.where(kind == 4).select(F.to_json(row, o).alias("value"))
+    docs = grouped.select(doc.alias("value")).unionByName(singles)
+    path = staging_path(spark, name)
+    docs.write.mode("overwrite").text(path)
+    return path
+
+
+@query("src_json_envelope", "SELECT * FROM events")
+def q_src_json_envelope(spark, d):
+    path = _land_responses(spark, d, "src_json_envelope")
+    return jp.read_responses(spark, path, EVENTS_SCHEMA)
+
+
+@query("src_json_pages", """
+SELECT * FROM events
+WHERE floor(event_id / 100) + 1 < 37 OR (floor(event_id / 100) + 1 = 37 AND event_type <> 'error')
+""")
+def q_src_json_pages(spark, d):
+    ev = tb.table(spark, d, "events").withColumn("page", (F.floor(F.col("event_id") / 100) + 1).cast("int"))
+    landed = ev.where(~((F.col("page") == 37) & (F.col("event_type") == "error")))
+    path = staging_path(spark, "src_json_pages")
+    landed.write.mode("overwrite").options(**jp.JSON_OPTIONS).partitionBy("page").json(path)
+    pages = spark.read.schema(EVENTS_SCHEMA).options(**jp.JSON_OPTIONS).json(path)         # page comes back as a partition column
+    return jp.paginate(pages, "page", limit=100, max_pages=10_000).drop("page")
+
+
+_LOG_SQL = """
+SELECT CAST(l_shipdate AS TIMESTAMP) AS ts, 'tessera.jobs' AS logger,
+       CASE l_returnflag WHEN 'R' THEN 'ERROR' WHEN 'A' THEN 'WARNING' ELSE 'INFO' END AS level,
+       'jobs:run:' || CAST(l_linenumber AS VARCHAR) AS location, 'line ' || CAST(l_linenumber AS VARCHAR) AS message
+FROM lineitem
+"""
+
+
+@query("src_log_scan", f"""
+SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - ' || logger || ' - ' || level || ' - ' || location || ' - ' || message
+       AS line
+FROM ({_LOG_SQL}) WHERE level IN ('WARNING', 'ERROR')
+""")
+def q_src_log_scan(spark, d):
+    logs = execution_logs(spark, d)
+    loc = F.concat(F.lit("jobs:run:"), F.regexp_extract("step", r"(\d+)$", 1))
+    lines = logs.select(lg.format_line(F.col("timestamp"), F.lit("tessera.jobs"), F.col("level"), loc,
+                                       F.col("message")).alias("value"))
+    path = staging_path(spark, "src_log_scan")
+    lines.write.mode("overwrite").text(path)
+    return lg.scan(spark, path, min_level="WARNING")
+
+
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType())])
+
+
+@query("src_workbooks", "SELECT * FROM customer")
+def q_src_workbooks(spark, d):
+    path = staging_path(spark, "src_workbooks")
+    wb.write_workbooks(tb.table(spark, d, "customer"), path, "customer").write.format("noop").mode(
+        "overwrite").save()
+    raw = wb.read_raw(spark, path)
+    return wb.read_sheet(raw, "customer", CUSTOMER_SCHEMA)
+
+
+@query("src_workbook_range", "SELECT n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+def q_src_workbook_range(spark, d):
+    path = staging_path(spark, "src_workbook_range")
+    wb.write_workbooks(tb.table(spark, d, "nation"), path, "nations",
+                       leading_rows=[["Nation report"], []]).write.format("noop").mode("overwrite").save()
+    raw = wb.read_raw(spark, path)
+    return wb.read_range(raw, "nations", start_row=2, start_col=1, end_col=3)
+
+
+@query("sink_csv", f"""
+WITH sales AS ({tb.SALES_SQL}), d AS (SELECT DISTINCT * FROM sales)
+SELECT category, round(sum(total_amount), 4) AS total_amount, round(sum(quantity), 4) AS quantity,
+       round(avg(unit_price), 4) AS unit_price FROM d GROUP BY category
+""")
+def q_sink_csv(spark, d):
+    from . import reports
+    rep = rounded(reports.daily_sales(tb.sales(spark, d)))
+    path = staging_path(spark, "sink_csv")
+    sk.write_csv(rep, path)
+    return cs.read_csv(spark, path, "category string, total_amount double, quantity double, unit_price double")
+
+
+_LONG = "customers_by_market_segment_and_nation_full_table"
+
+
+@query("sink_bundle", f"""
+SELECT 'region' AS name, count(*) AS rows, 'parquet' AS format FROM region
+UNION ALL SELECT 'nation', count(*), 'parquet' FROM nation
+UNION ALL SELECT '{_LONG[:31]}', count(*), 'parquet' FROM customer
+UNION ALL SELECT 'empty_orders', 0, 'parquet'
+""")
+def q_sink_bundle(spark, d):
+    tables = {"region": tb.table(spark, d, "region"), "nation": tb.table(spark, d, "nation"),
+              _LONG: tb.table(spark, d, "customer"),
+              "empty_orders": tb.table(spark, d, "orders").where(F.lit(False))}
+    m = sk.write_bundle(spark, tables, staging_path(spark, "sink_bundle"))
+    return m.select("name", "rows", "format")
+
+
+@query("sink_manifest")
+def q_sink_manifest(spark, d):
+    folder = staging_path(spark, "sink_manifest")
+    sk.write_csv(tb.table(spark, d, "orders"), folder)
+    m = sk.file_manifest(spark, folder, "*.csv")
+    return m.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "md5", "sha256")
