@@ -104,16 +104,8 @@ def sort_exprs(by: Sequence[str] | str, ascending: bool | Sequence[bool] = True)
     return [F.col(b).asc_nulls_last() if a else F.col(b).desc_nulls_last() for b, a in zip(by, asc)]
 
 
-# N10 — quantiles interpolate linearly (exact)
-def quantile(c: str | Column, q: float | Sequence[float], exact: bool = True, accuracy: int = 10000) -> Column:
-    if exact:
-        return F.percentile(col_of(c), list(q) if isinstance(q, (list, tuple)) else q)
-    return F.percentile_approx(col_of(c), list(q) if isinstance(q, (list, tuple)) else q, accuracy)
-
-
-# N11 — mode = smallest of the ties
-def mode_smallest(c: str | Column) -> Column:
-    return F.mode(col_of(c), deterministic=True)
+# N10 (linear quantiles) and N11 (mode = smallest of the ties) are computed
+# distributed in functions.stats.
 
 
 # N18 — division by zero gives missing (documented deviation: NULL, not inf)

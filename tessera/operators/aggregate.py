@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.nulls import (TEMPORAL_TYPES, as_list, drop_null_keys, numeric_columns, sort_exprs,
                                string_columns, sum0)
+from ..functions import stats as st
 from . import transform as tr
 
 
@@ -36,31 +37,35 @@ def summarize(df: DataFrame, numeric_only: bool = True, exact: bool = True) -> D
     numeric_only: numeric columns (booleans excluded, N26), quantiles linear (N10).
     Otherwise string columns are added with count, unique, top (most frequent,
     smallest on ties) and freq; their numeric statistics are NULL.
+    Moments come from one aggregate; quantiles and top values from the
+    distributed forms in functions.stats; the result has one row per column.
     """
     nums = numeric_columns(df)
     strs = [] if numeric_only else string_columns(df)
-    extra = [] if numeric_only else ["unique", "top", "freq"]
-    tops = (df.select(F.struct(*[F.mode(c, True).alias(c) for c in strs]).alias("t")).scalar()
-            if strs else None)
-    parts = []
+    if not nums and not strs:
+        raise ValueError("no columns to describe")
+    aggs = []
     for c in nums:
         x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000)
-        parts.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("q50"),
-            q[2].alias("q75"), F.max(x).alias("max"),
-            *[F.lit(None).cast("string" if e == "top" else "long").alias(e) for e in extra]))
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     for c in strs:
-        x = F.col(c)
-        parts.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).cast("double").alias("count"),
-            *[F.lit(None).cast("double").alias(s) for s in _STATS[1:]],
-            F.count_distinct(x).alias("unique"), tops[c].alias("top"),
-            F.when(tops[c].isNotNull(), F.count_if(x == tops[c])).alias("freq")))
-    if not parts:
-        raise ValueError("no columns to describe")
-    return df.agg(F.array(*parts).alias("__s")).select(F.inline("__s"))
+        aggs += [F.count(c).alias(f"{c}__count"), F.count_distinct(c).alias(f"{c}__unique")]
+    m = st.one_row(df.agg(*aggs))
+    rows = []
+    for c in nums:
+        q = st.quantiles(df, c, [0.25, 0.5, 0.75], exact)
+        rows.append((c, float(m[f"{c}__count"]), m[f"{c}__mean"], m[f"{c}__std"], m[f"{c}__min"], q[0], q[1], q[2],
+                     m[f"{c}__max"]) + (() if numeric_only else (None, None, None)))
+    for c in strs:
+        top, freq = st.mode_and_count(df, c)
+        rows.append((c, float(m[f"{c}__count"]), None, None, None, None, None, None, None,
+                     m[f"{c}__unique"], top, freq if top is not None else None))
+    schema = ("column string, count double, mean double, std double, min double, q25 double, q50 double, "
+              "q75 double, max double")
+    if not numeric_only:
+        schema += ", unique long, top string, freq long"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def calculate_totals(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -130,11 +135,11 @@ def cross_tabulation(df: DataFrame, row_column: str, col_column: str, value_colu
 
 def percentiles(df: DataFrame, column: str, qs: Sequence[float] = (0.25, 0.5, 0.75), exact: bool = True,
                 names: Sequence[str] | None = None) -> DataFrame:
-    """One row p25, p50, p75 (linear interpolation, N10); ``exact=False`` → approx_percentile."""
+    """One row p25, p50, p75 (linear interpolation, N10), computed distributed
+    (functions.stats); ``exact=False`` → approx_percentile."""
     names = list(names or [f"p{int(round(q * 100))}" for q in qs])
-    x = F.col(column)
-    arr = F.percentile(x, list(qs)) if exact else F.percentile_approx(x, list(qs), 100000)
-    return df.agg(arr.alias("__p")).select(*[F.col("__p")[i].alias(n) for i, n in enumerate(names)])
+    values = st.quantiles(df, column, list(qs), exact)
+    return df.sparkSession.createDataFrame([tuple(values)], ", ".join(f"{n} double" for n in names))
 
 
 def add_total_row(df: DataFrame, label_column: str, sum_columns: Sequence[str], label: str = "TOTAL",

@@ -18,16 +18,16 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     Bounds are a one-row scalar subquery; counting is one partial aggregate;
     the spine has ``bins`` rows."""
     x = F.col(column).cast("double")
-    b = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("b")).scalar()
-    lo, hi = b["lo"], b["hi"]
+    b = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).take(1)[0]    # one row
+    if b["lo"] is None:
+        return df.sparkSession.createDataFrame([], "bin int, bin_start double, bin_end double, count long")
+    lo, hi = F.lit(b["lo"]), F.lit(b["hi"])
     width = (hi - lo) / F.lit(bins)
     idx = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((x - lo) * (F.lit(bins) / (hi - lo))) + 1, F.lit(bins)))
     counts = df.where(x.isNotNull()).groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     n = F.when(hi == lo, F.lit(1)).otherwise(F.lit(bins))
-    spine = (df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi")).where(F.col("__lo").isNotNull())
-             .select(F.explode(F.sequence(F.lit(1), F.when(F.col("__hi") == F.col("__lo"), F.lit(1))
-                                          .otherwise(F.lit(bins)))).alias("bin")))
+    spine = counts.agg(F.explode(F.sequence(F.lit(1), n)).alias("bin"))
     out = spine.join(counts, "bin", "left")
     return out.select("bin", (lo + (F.col("bin") - 1) * width).alias("bin_start"),
                       F.when(F.col("bin") == n, hi).otherwise(lo + F.col("bin") * width).alias("bin_end"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import stats as st
 from ..functions import text as tx
 from ..functions.nulls import as_list, col_of, numeric_columns, string_columns
 
@@ -73,6 +74,8 @@ def fill_nulls(df: DataFrame, value=None, method: str | None = None, columns: Se
                ) -> DataFrame:
     """Fill missing values with a constant or a statistic, or carry values forward/backward.
 
+    Statistics are computed once, distributed (see functions.stats), and applied as literals.
+
     - value: typed constant fill (a string fills string columns, a number numeric ones).
     - mean / median: numeric columns; other listed columns fall through to ``value``.
     - mode: any type, smallest of the ties (N11); an all-null column stays null.
@@ -90,20 +93,25 @@ def fill_nulls(df: DataFrame, value=None, method: str | None = None, columns: Se
                                      direction="forward" if m == "ffill" else "backward")
     if m in ("mean", "median"):
         num = [c for c in cols if c in numeric_columns(df)]
-        stat = F.avg if m == "mean" else F.median
         out = df
         if num:
-            stats = df.select(F.struct(*[stat(c).alias(c) for c in num]).alias("s")).scalar()
-            out = df.withColumns({c: F.coalesce(F.col(c), stats[c].cast(df.schema[c].dataType)
-                                               if not isinstance(df.schema[c].dataType, T.IntegralType)
-                                               else stats[c]) for c in num})
+            if m == "mean":
+                r = st.one_row(df.agg(*[F.avg(c).alias(c) for c in num]))
+                values = {c: r[c] for c in num}
+            else:
+                values = {c: st.exact_quantiles(df, c, [0.5])[0] for c in num}
+            out = df.withColumns({c: F.coalesce(F.col(c), F.lit(values[c])) for c in num if values[c] is not None})
         rest = [c for c in cols if c not in num]
         if value is not None and rest:
             out = out.fillna(value, subset=rest)
         return out
     if m == "mode":
-        stats = df.select(F.struct(*[F.mode(c, True).alias(c) for c in cols]).alias("s")).scalar()
-        return df.withColumns({c: F.coalesce(F.col(c), stats[c]) for c in cols})
+        fills = {}
+        for c in cols:
+            v, _n = st.mode_and_count(df, c)
+            if v is not None:
+                fills[c] = F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+        return df.withColumns(fills) if fills else df
     raise ValueError(f"unknown fill method: {method}")
 
 
@@ -181,15 +189,19 @@ def remove_outliers(df: DataFrame, columns: Sequence[str] | str, method: str = "
         x = F.col(c)
         if method == "iqr":
             t = 1.5 if threshold is None else threshold
-            q = (F.percentile(x, [0.25, 0.75]) if exact else F.percentile_approx(x, [0.25, 0.75], 100000))
-            s = out.select(q.alias("q")).scalar()
-            q1, q3 = s[0], s[1]
+            q1, q3 = st.quantiles(out, c, [0.25, 0.75], exact)
+            if q1 is None:
+                out = out.where(F.lit(False))
+                continue
             iqr = q3 - q1
-            out = out.where((x >= q1 - F.lit(t) * iqr) & (x <= q3 + F.lit(t) * iqr))
+            out = out.where((x >= F.lit(q1 - t * iqr)) & (x <= F.lit(q3 + t * iqr)))
         elif method == "zscore":
             t = 3.0 if threshold is None else threshold
-            s = out.select(F.struct(F.avg(x).alias("m"), F.stddev_samp(x).alias("sd")).alias("s")).scalar()
-            out = out.where(F.try_divide(F.abs(x - s["m"]), s["sd"]) <= F.lit(t))
+            r = st.one_row(out.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("sd")))
+            if r["m"] is None or r["sd"] is None or r["sd"] == 0 or r["sd"] != r["sd"]:
+                out = out.where(F.lit(False))     # std 0 (or undefined) drops every row, as division gives NaN
+                continue
+            out = out.where(F.abs(x - F.lit(r["m"])) / F.lit(r["sd"]) <= F.lit(t))
         else:
             raise ValueError(f"unknown outlier method: {method}")
     return out

@@ -54,10 +54,29 @@ def _sort_key_fields(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, Colu
     return out
 
 
+def _numeric_cut_buckets(df: DataFrame, col: str, n: int) -> DataFrame:
+    """Buckets for a single non-null numeric key that is unique (e.g. a distinct-value
+    table): cut points from one ``percentile_approx`` job (memory O(accuracy))."""
+    qs = [i / n for i in range(1, n)]
+    row = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, max(10000, 100 * n)).alias("q")).take(1)
+    cuts = sorted(set(v for v in (row[0]["q"] or []) if v is not None)) if row else []
+    x = F.col(col).cast("double")
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(x < F.lit(cuts[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
+
+    return df.withColumn(BUCKET, tree(0, len(cuts)))
+
+
 def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | None = None,
-                      seed: int = 17) -> DataFrame:
+                      seed: int = 17, unique_numeric_key: bool = False) -> DataFrame:
     """Add ``__bucket``: contiguous ranges of the key ``key_cols`` (ascending, NULLs last)."""
     n = n_buckets or _default_buckets(df)
+    if unique_numeric_key and len(key_cols) == 1 and n > 1:
+        return _numeric_cut_buckets(df, key_cols[0], n)
     fields = _sort_key_fields(df, key_cols)
     key = F.struct(*[e.alias(name) for name, e in fields])
     if n <= 1:
@@ -109,7 +128,8 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool)
 
 def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
                    partition_by: Sequence[str] | str | None = None, two_pass: bool = True,
-                   n_buckets: int | None = None, output: str | None = None) -> DataFrame:
+                   n_buckets: int | None = None, output: str | None = None,
+                   unique_numeric_key: bool = False) -> DataFrame:
     """Running total ``{column}_cumsum`` in ``order_by`` order (N15: NULL at a NULL
     value or NULL group key, the total carries on past it)."""
     order = as_list(order_by)
@@ -122,7 +142,7 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
         w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(_UNB, 0)
         return df.withColumn(out, F.when(keep, F.sum(column).over(w)))
     n = n_buckets or _default_buckets(df)
-    bdf = with_range_bucket(df, pb + order, n)
+    bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb)
     p1 = _bucket_prefix(bdf, pb, {"__s": F.sum(column)}, n)
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre"))
@@ -163,10 +183,10 @@ def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "den
         raise ValueError("rank(method='first') needs order_by to break ties")
     if not two_pass:
         return _rank_plain(df, column, ascending, method, as_list(order_by), out)
-    vals = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    vals = cumulative_sum(vals, "__n", [column], two_pass=True, n_buckets=n_buckets, output="__le")
-    vals = row_number(vals, [column], two_pass=True, n_buckets=n_buckets, output="__d")
-    tot = vals.select(F.struct(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("vals")).alias("t")).scalar()
+    vals0 = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    t = vals0.agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("vals")).take(1)[0]  # one row
+    tot = {"rows": F.lit(t["rows"] or 0), "vals": F.lit(t["vals"] or 0)}
+    vals = _running_count_and_position(vals0, column, n_buckets)
     le, cnt, dense = F.col("__le"), F.col("__n"), F.col("__d")
     if ascending:
         lo, hi, dn = le - cnt + 1, le, dense
@@ -188,6 +208,26 @@ def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "den
     return df.join(table, column, "left")
 
 
+def _running_count_and_position(vals: DataFrame, column: str, n_buckets: int | None) -> DataFrame:
+    """On a table with one row per value of ``column`` and its count ``__n``: the
+    inclusive running count ``__le`` and the 1-based position ``__d``, from one
+    bucketing pass (numeric keys: cut points from ``percentile_approx``)."""
+    n = n_buckets or _default_buckets(vals)
+    numeric = vals.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double",
+                                                        "decimal")
+    bdf = with_range_bucket(vals, [column], n, unique_numeric_key=numeric)
+    p1 = bdf.groupBy(BUCKET).agg(F.sum("__n").alias("__s"), F.count(F.lit(1)).alias("__c"))
+    wp = Window.orderBy(BUCKET).rowsBetween(_UNB, -1)
+    p1 = p1.select(BUCKET, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre_s"),
+                   F.coalesce(F.sum("__c").over(wp), F.lit(0)).alias("__pre_c"))
+    j = bdf.join(F.broadcast(p1), BUCKET, "left")
+    w = Window.partitionBy(BUCKET).orderBy(column)
+    wr = w.rowsBetween(_UNB, 0)
+    return (j.withColumn("__le", F.col("__pre_s") + F.sum("__n").over(wr))
+            .withColumn("__d", F.col("__pre_c") + F.row_number().over(w))
+            .drop(BUCKET, "__pre_s", "__pre_c"))
+
+
 def _rank_plain(df, column, ascending, method, order_by, out):
     v = F.col(column)
     o = v.asc() if ascending else v.desc()

@@ -57,9 +57,11 @@ def paginate(pages: DataFrame, page_column: str, limit: int = 100, max_pages: in
     per_page = spine.join(counts, page_column, "left")
     stop = per_page.agg(
         F.min(F.when(F.col("__n").isNotNull() & (F.col("__n") < limit), F.col(page_column))).alias("short"),
-        F.min(F.when(F.col("__n").isNull(), F.col(page_column))).alias("missing")).select(
-        F.struct("short", "missing").alias("s")).scalar()
+        F.min(F.when(F.col("__n").isNull(), F.col(page_column))).alias("missing")).take(1)[0]   # one row
     p = F.col(page_column)
-    keep = (p >= 1) & (p <= max_pages) & (stop["short"].isNull() | (p <= stop["short"])) & \
-        (stop["missing"].isNull() | (p < stop["missing"]))
+    keep = (p >= 1) & (p <= max_pages)
+    if stop["short"] is not None:
+        keep = keep & (p <= stop["short"])
+    if stop["missing"] is not None:
+        keep = keep & (p < stop["missing"])
     return pages.where(keep)
