@@ -30,10 +30,14 @@ def one_row(agg_df: DataFrame) -> Row:
 
 
 def _bucket_expr(x: Column, cuts: list[float]) -> Column:
-    """Index of the range of ``cuts`` holding x (binary CASE tree, codegen-friendly)."""
+    """Ordered bucket of x: 2i for the open range (cuts[i-1], cuts[i]) and 2i-1 for
+    x == cuts[i-1], so a value repeated many times sits alone in its own bucket
+    (binary CASE tree, codegen-friendly)."""
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            if lo == 0:
+                return F.lit(0)
+            return F.when(x == F.lit(cuts[lo - 1]), F.lit(2 * lo - 1)).otherwise(F.lit(2 * lo))
         mid = (lo + hi + 1) // 2
         return F.when(x < F.lit(cuts[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
     return tree(0, len(cuts))
@@ -75,6 +79,12 @@ def _values_at_ranks(base: DataFrame, n: int, ranks: list[int], max_rows: int, b
         by_bucket.setdefault(k, []).append(r)
     out = {}
     for k, rs in by_bucket.items():
+        if k % 2 == 1:                                   # a single repeated value
+            for r in rs:
+                out[r] = cuts[(k + 1) // 2 - 1]
+            continue
+        if counts[k] >= n:
+            raise RuntimeError("quantile narrowing made no progress")
         part = base.where(b == k)
         sub = _values_at_ranks(part, counts[k], [r - before[k] for r in rs], max_rows, buckets)
         for r in rs:
