@@ -17,8 +17,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "report_daily_sales", "agg_group_multi", "win_cumsum", "win_cumsum_plain", "win_rank_dense",
-    "win_rank_dense_plain", "tx_join_left", "clean_outliers_iqr", "topk_top", "clean_dedup_first",
+    "report_daily_sales", "agg_group_multi", "win_cumsum", "win_cumsum_two_pass", "win_rank_dense",
+    "win_rank_dense_two_pass", "tx_join_left", "clean_outliers_iqr", "topk_top", "clean_dedup_first",
     "tx_pivot", "kpi_summary", "tx_resample_D", "report_monthly_summary",
 ]
 
@@ -32,12 +32,11 @@ def main() -> None:
 
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus)
     queries, _ = registry.load_all()
-    extra = _plain_variants()
     times = {}
     for name in HEADLINE:                                                    # warm-up pass over all queries
-        (queries.get(name) or extra[name])(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in HEADLINE:
-        fn = queries.get(name) or extra[name]
+        fn = queries[name]
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()
@@ -49,23 +48,5 @@ def main() -> None:
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
 
 
-def _plain_variants():
-    """Single-partition window forms, timed beside the two-pass forms."""
-    from tessera.operators import windows as W
-    from tessera.plans.fixtures import orders_nulls
-    from pyspark.sql import functions as F
-
-    order = ["o_orderdate", "o_orderkey"]
-
-    def cumsum_plain(spark, d):
-        return W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", order, two_pass=False)
-
-    def rank_plain(spark, d):
-        o = orders_nulls(spark, d).withColumn("p", F.round(F.col("o_totalprice") / 10000))
-        return W.rank(o, "p", ascending=False, method="dense", two_pass=False)
-
-    return {"win_cumsum_plain": cumsum_plain, "win_rank_dense_plain": rank_plain}
-
-
 if __name__ == "__main__":
     main()

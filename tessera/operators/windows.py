@@ -13,6 +13,8 @@ better. The default form here is two-pass (``two_pass=True``):
    not by the data), and a row's bucket is a binary tree of struct
    comparisons, evaluated inside whole-stage codegen. A hot group is split
    over many buckets by its order columns.
+   Below ``SINGLE_TASK_ROWS`` rows (counted first) the plain window is used:
+   its size is checked, and it needs fewer jobs.
 2. Pass 1 aggregates one row per (bucket, group): a sum, a count, the last
    non-null value. A window over that small table gives each bucket what comes
    before it (an exclusive prefix, a carry-in value).
@@ -37,6 +39,18 @@ from ..functions.nulls import as_list
 
 BUCKET = "__bucket"
 _SAMPLES_PER_BUCKET = 64
+# Size check for the plain form: at or below this many rows one task holds the
+# whole frame comfortably, so the plain window (fewer jobs) is chosen; above
+# it the two-pass form. ``two_pass=True/False`` overrides the check.
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def _use_two_pass(df: DataFrame, two_pass: bool | None) -> tuple[bool, int | None]:
+    """(two-pass?, row count if it was counted)."""
+    if two_pass is not None:
+        return two_pass, None
+    n = df.count()
+    return n > SINGLE_TASK_ROWS, n
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
@@ -72,7 +86,7 @@ def _numeric_cut_buckets(df: DataFrame, col: str, n: int) -> DataFrame:
 
 
 def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | None = None,
-                      seed: int = 17, unique_numeric_key: bool = False) -> DataFrame:
+                      seed: int = 17, unique_numeric_key: bool = False, total: int | None = None) -> DataFrame:
     """Add ``__bucket``: contiguous ranges of the key ``key_cols`` (ascending, NULLs last)."""
     n = n_buckets or _default_buckets(df)
     if unique_numeric_key and len(key_cols) == 1 and n > 1:
@@ -81,7 +95,7 @@ def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | N
     key = F.struct(*[e.alias(name) for name, e in fields])
     if n <= 1:
         return df.withColumn(BUCKET, F.lit(0))
-    total = df.count()
+    total = df.count() if total is None else total
     if total == 0:
         return df.withColumn(BUCKET, F.lit(0))
     frac = min(1.0, n * _SAMPLES_PER_BUCKET / total)
@@ -127,7 +141,7 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool)
 
 
 def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
-                   partition_by: Sequence[str] | str | None = None, two_pass: bool = True,
+                   partition_by: Sequence[str] | str | None = None, two_pass: bool | None = None,
                    n_buckets: int | None = None, output: str | None = None,
                    unique_numeric_key: bool = False) -> DataFrame:
     """Running total ``{column}_cumsum`` in ``order_by`` order (N15: NULL at a NULL
@@ -138,11 +152,12 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
     keep = F.col(column).isNotNull()
     for p in pb:
         keep = keep & F.col(p).isNotNull()
+    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(_UNB, 0)
         return df.withColumn(out, F.when(keep, F.sum(column).over(w)))
     n = n_buckets or _default_buckets(df)
-    bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb)
+    bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb, total=total)
     p1 = _bucket_prefix(bdf, pb, {"__s": F.sum(column)}, n)
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre"))
@@ -153,14 +168,15 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
 
 
 def row_number(df: DataFrame, order_by: Sequence[str] | str, partition_by: Sequence[str] | str | None = None,
-               two_pass: bool = True, n_buckets: int | None = None, output: str = "row_number") -> DataFrame:
+               two_pass: bool | None = None, n_buckets: int | None = None, output: str = "row_number") -> DataFrame:
     """Exact 1-based position in ``order_by`` order (order must be unique for a stable answer)."""
     order = as_list(order_by)
     pb = as_list(partition_by)
+    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*order)))
     n = n_buckets or _default_buckets(df)
-    bdf = with_range_bucket(df, pb + order, n)
+    bdf = with_range_bucket(df, pb + order, n, total=total)
     p1 = _bucket_prefix(bdf, pb, {"__c": F.count(F.lit(1))}, n)
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__c").over(wp), F.lit(0)).alias("__pre"))
@@ -170,7 +186,7 @@ def row_number(df: DataFrame, order_by: Sequence[str] | str, partition_by: Seque
 
 
 def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "dense",
-         order_by: Sequence[str] | str | None = None, two_pass: bool = True,
+         order_by: Sequence[str] | str | None = None, two_pass: bool | None = None,
          n_buckets: int | None = None) -> DataFrame:
     """``{column}_rank`` as double; NULL values get NULL (N16).
 
@@ -181,6 +197,7 @@ def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "den
     v = F.col(column)
     if method == "first" and not order_by:
         raise ValueError("rank(method='first') needs order_by to break ties")
+    two_pass, _ = _use_two_pass(df, two_pass)
     if not two_pass:
         return _rank_plain(df, column, ascending, method, as_list(order_by), out)
     vals0 = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
@@ -251,7 +268,7 @@ def _rank_plain(df, column, ascending, method, order_by, out):
 
 def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Sequence[str] | str,
                           partition_by: Sequence[str] | str | None = None, direction: str = "forward",
-                          two_pass: bool = True, n_buckets: int | None = None) -> DataFrame:
+                          two_pass: bool | None = None, n_buckets: int | None = None) -> DataFrame:
     """Carry the last (forward) or next (backward) non-null value along ``order_by``."""
     if order_by is None:
         raise ValueError("ffill/bfill needs order_by (Spark rows have no order)")
@@ -261,11 +278,12 @@ def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Seque
     fwd = direction == "forward"
     frame = (_UNB, 0) if fwd else (0, _UNF)
     pick = F.last if fwd else F.first
+    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in cols})
     n = n_buckets or _default_buckets(df)
-    bdf = with_range_bucket(df, pb + order, n)
+    bdf = with_range_bucket(df, pb + order, n, total=total)
     o = _order_struct(order)
     edge = F.max_by if fwd else F.min_by
     p1 = _bucket_prefix(bdf, pb, {f"__e_{c}": edge(F.col(c), F.when(F.col(c).isNotNull(), o)) for c in cols}, n)
@@ -282,7 +300,7 @@ _ROLL = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stdde
 
 
 def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_by: Sequence[str] | str = None,
-            partition_by: Sequence[str] | str | None = None, two_pass: bool = True,
+            partition_by: Sequence[str] | str | None = None, two_pass: bool | None = None,
             n_buckets: int | None = None, block_rows: int = 100_000) -> DataFrame:
     """Trailing ``window``-row aggregate ``{column}_rolling_{func}``; NULL until the
     frame holds ``window`` non-null values (N14). Unknown func → unchanged.
@@ -306,6 +324,7 @@ def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_b
         full = F.count(column).over(w) == window
         return frame_df.withColumn(out, F.when(full, agg(column).over(w)))
 
+    two_pass, _ = _use_two_pass(df, two_pass)
     if not two_pass:
         order_cols = order
         return apply(df, pb)

@@ -96,3 +96,63 @@ SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r
 """)
 def q_row_number_group(spark, d):
     return W.row_number(tb.table(spark, d, "events"), ["ts", "event_id"], "event_type")
+
+
+# ---- the scalable forms forced on, so the oracle also checks them at small scale ----
+@query("win_cumsum_two_pass", f"""
+SELECT *, round(CASE WHEN o_totalprice IS NOT NULL THEN sum(o_totalprice) OVER ({_W} ROWS UNBOUNDED PRECEDING) END, 2)
+       AS o_totalprice_cumsum
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_cumsum_2p(spark, d):
+    return rounded(W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", ORDER, two_pass=True), 2)
+
+
+@query("win_rank_dense_two_pass", f"""
+SELECT *, CAST({_RANK_SQL["dense"]} AS DOUBLE) AS p_rank FROM {_RANKED} WHERE p IS NOT NULL
+UNION ALL SELECT *, CAST(NULL AS DOUBLE) FROM {_RANKED} WHERE p IS NULL
+""")
+def q_rank_2p(spark, d):
+    o = orders_nulls(spark, d).withColumn("p", F.round(F.col("o_totalprice") / 10000))
+    return W.rank(o, "p", ascending=False, method="dense", two_pass=True)
+
+
+@query("win_rank_first_two_pass", f"""
+SELECT *, CAST({_RANK_SQL["first"]} AS DOUBLE) AS p_rank FROM {_RANKED} WHERE p IS NOT NULL
+UNION ALL SELECT *, CAST(NULL AS DOUBLE) FROM {_RANKED} WHERE p IS NULL
+""")
+def q_rank_first_2p(spark, d):
+    o = orders_nulls(spark, d).withColumn("p", F.round(F.col("o_totalprice") / 10000))
+    return W.rank(o, "p", ascending=False, method="first", order_by=["o_orderkey"], two_pass=True)
+
+
+@query("win_rolling_mean_two_pass", f"""
+SELECT *, round(CASE WHEN count(o_totalprice) OVER w = 7 THEN avg(o_totalprice) OVER w END, 2)
+       AS o_totalprice_rolling_mean
+FROM ({ORDERS_NULLS_SQL}) WINDOW w AS ({_W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_2p(spark, d):
+    return rounded(W.rolling(orders_nulls(spark, d), "o_totalprice", 7, "mean", ORDER, block_rows=2000,
+                             two_pass=True), 2)
+
+
+@query("clean_ffill_two_pass", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+       last_value(o_totalprice IGNORE NULLS) OVER w AS o_totalprice,
+       last_value(o_orderpriority IGNORE NULLS) OVER w AS o_orderpriority
+FROM ({ORDERS_NULLS_SQL}) WINDOW w AS ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""")
+def q_ffill_2p(spark, d):
+    return W.fill_forward_backward(orders_nulls(spark, d), ["o_totalprice", "o_orderpriority"], ORDER,
+                                   two_pass=True)
+
+
+@query("win_cumsum_group_two_pass", f"""
+SELECT *, round(CASE WHEN o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL
+       THEN sum(o_totalprice) OVER (PARTITION BY o_orderpriority {_W} ROWS UNBOUNDED PRECEDING) END, 2)
+       AS o_totalprice_cumsum
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_cumsum_group_2p(spark, d):
+    return rounded(W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", ORDER, "o_orderpriority",
+                                    two_pass=True), 2)

@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
     }
+    if master and master.startswith("local"):
+        # local mode: executors live in the driver JVM, so its heap is the only memory knob
+        conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "8g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -29,7 +29,7 @@ def orders(spark):
 
 def test_cumsum_two_pass(orders):
     for pb in (None, "o_orderpriority"):
-        a = W.cumulative_sum(orders, "o_totalprice", ORDER, pb, n_buckets=5)
+        a = W.cumulative_sum(orders, "o_totalprice", ORDER, pb, n_buckets=5, two_pass=True)
         b = W.cumulative_sum(orders, "o_totalprice", ORDER, pb, two_pass=False)
         assert same(a, b, "o_orderkey", "o_totalprice_cumsum")
 
@@ -38,7 +38,7 @@ def test_cumsum_two_pass(orders):
 @pytest.mark.parametrize("ascending", [True, False])
 def test_rank_two_pass(orders, method, ascending):
     o = orders.withColumn("p", F.round(F.col("o_totalprice") / 20000))
-    a = W.rank(o, "p", ascending, method, order_by=["o_orderkey"], n_buckets=4)
+    a = W.rank(o, "p", ascending, method, order_by=["o_orderkey"], n_buckets=4, two_pass=True)
     b = W.rank(o, "p", ascending, method, order_by=["o_orderkey"], two_pass=False)
     assert same(a, b, "o_orderkey", "p_rank")
 
@@ -46,7 +46,7 @@ def test_rank_two_pass(orders, method, ascending):
 @pytest.mark.parametrize("direction", ["forward", "backward"])
 def test_fill_two_pass(orders, direction):
     cols = ["o_totalprice", "o_orderpriority"]
-    a = W.fill_forward_backward(orders, cols, ORDER, direction=direction, n_buckets=6)
+    a = W.fill_forward_backward(orders, cols, ORDER, direction=direction, n_buckets=6, two_pass=True)
     b = W.fill_forward_backward(orders, cols, ORDER, direction=direction, two_pass=False)
     assert same(a, b, "o_orderkey", "o_totalprice")
     a2, b2 = (x.withColumn("h", F.hash("o_orderpriority")) for x in (a, b))
@@ -55,13 +55,13 @@ def test_fill_two_pass(orders, direction):
 
 @pytest.mark.parametrize("func", ["mean", "sum", "min", "max", "std"])
 def test_rolling_two_pass(orders, func):
-    a = W.rolling(orders, "o_totalprice", 5, func, ORDER, n_buckets=4, block_rows=37)
+    a = W.rolling(orders, "o_totalprice", 5, func, ORDER, n_buckets=4, block_rows=37, two_pass=True)
     b = W.rolling(orders, "o_totalprice", 5, func, ORDER, two_pass=False)
     assert same(a, b, "o_orderkey", f"o_totalprice_rolling_{func}")
 
 
 def test_row_number_grouped(orders):
-    a = W.row_number(orders, ORDER, "o_orderstatus", n_buckets=5)
+    a = W.row_number(orders, ORDER, "o_orderstatus", n_buckets=5, two_pass=True)
     b = W.row_number(orders, ORDER, "o_orderstatus", two_pass=False)
     assert same(a, b, "o_orderkey", "row_number")
 
@@ -75,7 +75,7 @@ def test_hot_group_is_split(spark, orders):
 
 
 def test_explain_has_no_single_partition_scan_exchange(orders):
-    plan = W.cumulative_sum(orders, "o_totalprice", ORDER, n_buckets=4)._jdf.queryExecution().executedPlan()
+    plan = W.cumulative_sum(orders, "o_totalprice", ORDER, n_buckets=4, two_pass=True)._jdf.queryExecution().executedPlan()
     text = plan.toString()
     assert "hashpartitioning(__bucket" in text
 
@@ -89,7 +89,7 @@ def test_rank_matches_pandas(spark, vals):
     pdf = pd.DataFrame({"i": range(len(vals)), "v": pd.Series(vals, dtype="float64")})
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, v double")
     for method in ("dense", "min", "max", "average", "first"):
-        ours = {r["i"]: r["v_rank"] for r in W.rank(df, "v", False, method, order_by=["i"], n_buckets=3).collect()}
+        ours = {r["i"]: r["v_rank"] for r in W.rank(df, "v", False, method, order_by=["i"], n_buckets=3, two_pass=True).collect()}
         theirs = pdf["v"].rank(method=method, ascending=False)
         for i, t in zip(pdf["i"], theirs):
             o = ours[int(i)]
@@ -101,13 +101,13 @@ def test_rank_matches_pandas(spark, vals):
 def test_cumsum_and_rolling_match_pandas(spark, vals):
     pdf = pd.DataFrame({"i": range(len(vals)), "v": pd.Series(vals, dtype="float64")})
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, v double")
-    cs = {r["i"]: r["v_cumsum"] for r in W.cumulative_sum(df, "v", "i", n_buckets=3).collect()}
+    cs = {r["i"]: r["v_cumsum"] for r in W.cumulative_sum(df, "v", "i", n_buckets=3, two_pass=True).collect()}
     for i, t in zip(pdf["i"], pdf["v"].cumsum()):
         assert (cs[int(i)] is None and math.isnan(t)) or cs[int(i)] == pytest.approx(t)
     rm = {r["i"]: r["v_rolling_mean"] for r in W.rolling(df, "v", 3, "mean", "i", n_buckets=3,
-                                                          block_rows=4).collect()}
+                                                          block_rows=4, two_pass=True).collect()}
     for i, t in zip(pdf["i"], pdf["v"].rolling(3).mean()):
         assert (rm[int(i)] is None and math.isnan(t)) or rm[int(i)] == pytest.approx(t)
-    ff = {r["i"]: r["v"] for r in W.fill_forward_backward(df, ["v"], "i", n_buckets=3).collect()}
+    ff = {r["i"]: r["v"] for r in W.fill_forward_backward(df, ["v"], "i", n_buckets=3, two_pass=True).collect()}
     for i, t in zip(pdf["i"], pdf["v"].ffill()):
         assert (ff[int(i)] is None and np.isnan(t)) or ff[int(i)] == t
