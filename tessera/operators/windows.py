@@ -85,10 +85,29 @@ def _numeric_cut_buckets(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.withColumn(BUCKET, tree(0, len(cuts)))
 
 
+# Up to this many buckets the bucket is a CASE tree of cut points (cheap, no extra
+# write); beyond it Spark's range partitioner assigns them (binary search over the
+# bounds) and the assignment is checkpointed so both passes see the same one.
+TREE_MAX_BUCKETS = 1024
+
+
+def _partitioner_buckets(df: DataFrame, key_cols: Sequence[str], n: int) -> DataFrame:
+    """Bucket = index of the range partition (Spark's RangePartitioner: sampled
+    bounds, equal keys in one partition, partition i holds the i-th range). The
+    result is checkpointed (reliable, into ``spark.checkpoint.dir``), so the
+    passes that read it share one assignment even if executors are lost."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in key_cols])
+    return ranged.withColumn(BUCKET, F.spark_partition_id()).checkpoint(eager=True)
+
+
 def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | None = None,
                       seed: int = 17, unique_numeric_key: bool = False, total: int | None = None) -> DataFrame:
     """Add ``__bucket``: contiguous ranges of the key ``key_cols`` (ascending, NULLs last)."""
     n = n_buckets or _default_buckets(df)
+    if n > TREE_MAX_BUCKETS:
+        return _partitioner_buckets(df, key_cols, n)
     if unique_numeric_key and len(key_cols) == 1 and n > 1:
         return _numeric_cut_buckets(df, key_cols[0], n)
     fields = _sort_key_fields(df, key_cols)

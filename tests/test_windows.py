@@ -111,3 +111,18 @@ def test_cumsum_and_rolling_match_pandas(spark, vals):
     ff = {r["i"]: r["v"] for r in W.fill_forward_backward(df, ["v"], "i", n_buckets=3, two_pass=True).collect()}
     for i, t in zip(pdf["i"], pdf["v"].ffill()):
         assert (ff[int(i)] is None and np.isnan(t)) or ff[int(i)] == t
+
+
+def test_partitioner_buckets_match_plain(orders, monkeypatch):
+    """The range-partitioner assignment (used for many buckets) gives the same answers."""
+    monkeypatch.setattr(W, "TREE_MAX_BUCKETS", 2)
+    a = W.cumulative_sum(orders, "o_totalprice", ORDER, "o_orderpriority", n_buckets=6, two_pass=True)
+    b = W.cumulative_sum(orders, "o_totalprice", ORDER, "o_orderpriority", two_pass=False)
+    assert same(a, b, "o_orderkey", "o_totalprice_cumsum")
+    c = W.fill_forward_backward(orders, ["o_totalprice"], ORDER, direction="backward", n_buckets=5, two_pass=True)
+    d = W.fill_forward_backward(orders, ["o_totalprice"], ORDER, direction="backward", two_pass=False)
+    assert same(c, d, "o_orderkey", "o_totalprice")
+    o = orders.withColumn("p", F.round(F.col("o_totalprice") / 20000))
+    e = W.rank(o, "p", False, "min", n_buckets=5, two_pass=True)
+    f = W.rank(o, "p", False, "min", two_pass=False)
+    assert same(e, f, "o_orderkey", "p_rank")
