@@ -4,9 +4,10 @@ Spark's exact ``percentile`` and ``mode`` aggregates merge a value→count map
 of the whole column in a single task; on a large table that map is the
 column's distinct values. The forms here stay distributed:
 
-- quantiles: the range holding each target rank is narrowed with approximate
-  cut points and exact per-range counts until it is small, then ranked; only
-  bucket counts and the rows at the target ranks reach the driver.
+- quantiles: approximate brackets around each quantile, then exact counts
+  below and inside the brackets (two map-side passes); very large tables are
+  narrowed range by range instead. Only counts and the few values inside the
+  brackets reach the driver.
 - mode: per-value counts, then the top one by (count desc, value asc) —
   each partition keeps its best row before the merge.
 
@@ -92,25 +93,70 @@ def _values_at_ranks(base: DataFrame, n: int, ranks: list[int], max_rows: int, b
     return out
 
 
+def _bracketed(base: DataFrame, total: int, ranks: list[int], qs: Sequence[float], approx: list[float],
+               eps: float, bracket_rows: int) -> dict[int, float] | None:
+    """Exact values at ``ranks`` from approximate brackets, in one pass: rows below
+    each bracket are counted, values inside the brackets are counted per value and
+    brought back (about 4·eps·total distinct values). None if a rank falls outside."""
+    if 4 * eps * total > bracket_rows:
+        return None
+    lo_hi = [(approx[2 * i], approx[2 * i + 1]) for i in range(len(qs))]
+    x = F.col("__x")
+    inside = F.lit(False)
+    for a, b in lo_hi:
+        inside = inside | x.between(a, b)
+    key = F.when(inside, x)
+    g = (base.groupBy(key.alias("__k"))
+         .agg(F.count(F.lit(1)).alias("__n"), *[F.sum((x < a).cast("long")).alias(f"__b{i}")
+                                                for i, (a, _b) in enumerate(lo_hi)])
+         .collect())                                          # bracket values + one row for the rest
+    below = [sum(r[f"__b{i}"] for r in g) for i in range(len(qs))]
+    vals = sorted((r["__k"], r["__n"]) for r in g if r["__k"] is not None)
+    out: dict[int, float] = {}
+    for i, (a, b) in enumerate(lo_hi):
+        pos = below[i]
+        for v, n in vals:
+            if v < a:
+                continue
+            if v > b:                                         # values beyond this bracket are not contiguous
+                break
+            for r in ranks:
+                if pos <= r < pos + n and r not in out:
+                    out[r] = v
+            pos += n
+    return out if all(r in out for r in ranks) else None
+
+
 def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], max_rows: int = 2_000_000,
-                    buckets: int = 100) -> list[float | None]:
+                    buckets: int = 100, accuracy: int = 100_000, bracket_rows: int = 200_000
+                    ) -> list[float | None]:
     """Linear-interpolation quantiles (pandas/numpy default, N10) of the non-null values.
 
-    Exact and distributed: while the candidate range holds more than
-    ``max_rows`` rows it is cut into ``buckets`` ranges (approximate cut points,
-    exact counts) and only the ranges holding the target ranks are kept; the
-    last range (≤ max_rows rows) is ranked with one window. Nothing larger
-    than ``buckets`` rows or the final hits reaches the driver.
+    Exact and distributed. First one aggregate gives the row count and, per
+    quantile, approximate values just below and above it (relative rank error
+    1/accuracy, so the exact value lies between them); one more pass counts the
+    rows below each bracket and the rows per distinct value inside it, which is
+    all that reaches the driver. For tables too large for that bracket, the
+    candidate range is narrowed instead: cut into ``buckets`` ranges
+    (approximate cut points, exact counts) until it holds ≤ ``max_rows`` rows,
+    then ranked with one window.
     """
     base = df.select(F.col(column).cast("double").alias("__x")).where(F.col("__x").isNotNull())
-    total = one_row(base.agg(F.count(F.lit(1)).alias("n")))["n"]
+    eps = 1.0 / accuracy
+    pts = []
+    for q in qs:
+        pts += [max(0.0, q - 2 * eps), min(1.0, q + 2 * eps)]
+    r0 = one_row(base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("__x", pts, accuracy).alias("p")))
+    total = r0["n"]
     if not total:
         return [None for _ in qs]
     ranks = set()
     for q in qs:
         h = (total - 1) * q
         ranks.update({math.floor(h), min(math.floor(h) + 1, total - 1)})
-    values = _values_at_ranks(base, total, sorted(ranks), max_rows, buckets)
+    values = _bracketed(base, total, sorted(ranks), qs, list(r0["p"]), eps, bracket_rows)
+    if values is None:
+        values = _values_at_ranks(base, total, sorted(ranks), max_rows, buckets)
     out = []
     for q in qs:
         h = (total - 1) * q

@@ -29,6 +29,11 @@ def test_exact_quantiles_match_numpy_with_narrowing(spark):
     expected = np.quantile(vals, qs)
     assert st.exact_quantiles(df, "x", qs) == pytest.approx(list(expected))
     assert st.exact_quantiles(df, "x", qs, max_rows=50, buckets=8) == pytest.approx(list(expected))
+    # the narrowing path (bracket too large for bracket_rows), with and without the last window
+    assert st.exact_quantiles(df, "x", qs, bracket_rows=0) == pytest.approx(list(expected))
+    assert st.exact_quantiles(df, "x", qs, bracket_rows=0, max_rows=50, buckets=8) == pytest.approx(list(expected))
+    # coarse sketch: brackets wider, still exact
+    assert st.exact_quantiles(df, "x", qs, accuracy=50) == pytest.approx(list(expected))
 
 
 def test_mode(nulls):
