@@ -39,13 +39,27 @@ def daily_trend(performance: DataFrame, watermark: str = "1 day") -> DataFrame:
             .select(F.col("day.start").alias("day"), "team", "calls_handled", "sales_amount"))
 
 
-def start_to_table(df: DataFrame, table: str, checkpoint: str, mode: str = "update", trigger_once: bool = True):
-    """Run a streaming aggregate into a managed table through ``foreachBatch``
-    (each micro-batch overwrites the keys it carries: upsert by replacement)."""
-    def upsert(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("append").saveAsTable(table)
-
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(upsert)
-    if trigger_once:
+def start_to_folder(df: DataFrame, folder: str, checkpoint: str, mode: str = "update",
+                    available_now: bool = True):
+    """Run a streaming aggregate in update mode into a Parquet folder: each
+    micro-batch appends its changed rows tagged with ``batch_id`` (idempotent:
+    a replayed batch overwrites its own partition). ``read_latest`` gives the
+    current value per key. Without a table format that supports MERGE, this
+    is the append-only form of an upsert."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(folder))
+
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+    if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def read_latest(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """Latest row per key across the appended micro-batches (``max_by`` on batch_id,
+    partial aggregation, so a key updated in every batch is combined map-side)."""
+    rows = spark.read.parquet(folder)
+    others = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    g = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch_id")).alias("__r"))
+    return g.select(*keys, *[F.col("__r")[c].alias(c) for c in others])

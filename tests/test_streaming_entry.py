@@ -25,6 +25,36 @@ def test_streaming_latest_status_matches_batch(spark, tmp_dir):
     assert got.join(want, ["run_id", "status"]).count() == want.count()
 
 
+def test_streaming_to_folder_latest(spark, tmp_dir):
+    ev = status_events(spark, SF).withColumn("ts", F.col("ts").cast("timestamp"))
+    src = f"{tmp_dir}/ev2"
+    for seq in (0, 1, 2):
+        ev.where(F.col("seq") == seq).write.mode("append").parquet(src)
+    stream = sh.latest_status(sh.status_event_stream(spark, src, max_files_per_trigger=1))
+    q = sh.start_to_folder(stream, f"{tmp_dir}/latest", f"{tmp_dir}/ckpt2")
+    q.awaitTermination(300)
+    got = sh.read_latest(spark, f"{tmp_dir}/latest", ["run_id"])
+    want = hi.latest_status(ev)
+    assert got.count() == want.count()
+    assert got.join(want, ["run_id", "status"]).count() == want.count()
+
+
+def test_daily_trend_stream(spark, tmp_dir):
+    from tessera.sources import tables as tb
+    perf = tb.performance(spark, SF).select(F.col("date").cast("timestamp").alias("date"), "team", "sales_amount")
+    src = f"{tmp_dir}/perf"
+    perf.write.parquet(src)
+    stream = sh.daily_trend(spark.readStream.schema(perf.schema).parquet(src))
+    q = (stream.writeStream.outputMode("append").format("memory").queryName("trend_t")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt3").start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("trend_t")
+    batch = perf.groupBy(F.date_trunc("day", "date").alias("day"), "team").count()
+    # append mode emits a day once the watermark passes it: every emitted day is complete
+    assert got.join(batch, ["day", "team"]).where(F.col("calls_handled") != F.col("count")).count() == 0
+
+
 def test_entry_and_registry_consistent(spark):
     df = entry.entry(spark)
     assert df.count() > 0
