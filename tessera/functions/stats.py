@@ -181,3 +181,33 @@ def mode_and_count(df: DataFrame, column: str):
     top = (df.where(c.isNotNull()).groupBy(c.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
            .orderBy(F.col("__n").desc(), F.col("__v").asc()).limit(1).collect())
     return (top[0]["__v"], top[0]["__n"]) if top else (None, 0)
+
+
+def grouped_quantile(df: DataFrame, keys: Sequence[str], column: str, q: float, output: str) -> DataFrame:
+    """Exact linear-interpolation quantile of ``column`` per group of ``keys``
+    (NULL keys dropped, N1), without gathering a group in one task: per-(key,
+    value) counts, a running count per group (two-pass when the table is large,
+    so a hot group spreads over buckets), the group totals, and the rows that
+    cover the two target ranks."""
+    from ..operators.windows import cumulative_sum
+
+    keys = list(keys)
+    x = F.col(column).cast("double")
+    src = df.where(x.isNotNull())
+    for k in keys:
+        src = src.where(F.col(k).isNotNull())
+    vals = src.groupBy(*keys, x.alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
+    cum = cumulative_sum(vals, "__n", ["__x"], partition_by=keys, output="__le")
+    tot = vals.groupBy(*keys).agg(F.sum("__n").alias("__t"))
+    j = cum.join(tot, keys)
+    h = (F.col("__t") - 1) * F.lit(float(q))
+    lo = F.floor(h)
+    hi = F.least(lo + 1, F.col("__t") - 1)
+    start = F.col("__le") - F.col("__n")
+    covers_lo = (start <= lo) & (lo < F.col("__le"))
+    covers_hi = (start <= hi) & (hi < F.col("__le"))
+    g = j.groupBy(*keys).agg(F.max(F.when(covers_lo, F.col("__x"))).alias("__a"),
+                             F.max(F.when(covers_hi, F.col("__x"))).alias("__b"),
+                             F.first(h).alias("__h"))
+    return g.select(*keys, (F.col("__a") + (F.col("__h") - F.floor("__h")) * (F.col("__b") - F.col("__a")))
+                    .alias(output))

@@ -48,13 +48,24 @@ def aggregate(df: DataFrame, groupby: Sequence[str] | str, aggregations: dict[st
     name; a list names the outputs ``col_func``. NULL keys are dropped (N1),
     sums of nothing are 0 (N2), first/last follow ``order_by`` (N27)."""
     keys = as_list(groupby)
-    exprs = []
+    exprs, medians, order = [], [], []
     for c, funcs in aggregations.items():
-        if isinstance(funcs, (list, tuple)):
-            exprs += [agg_column(f, c, order_by).alias(f"{c}_{f}") for f in funcs]
-        else:
-            exprs.append(agg_column(funcs, c, order_by).alias(c))
-    return drop_null_keys(df, keys).groupBy(*keys).agg(*exprs)
+        multi = isinstance(funcs, (list, tuple))
+        for f in (funcs if multi else [funcs]):
+            name = f"{c}_{f}" if multi else c
+            order.append(name)
+            if f == "median" and keys:
+                medians.append((c, name))      # exact and distributed, see functions.stats
+            else:
+                exprs.append(agg_column(f, c, order_by).alias(name))
+    src = drop_null_keys(df, keys)
+    if not medians:
+        return src.groupBy(*keys).agg(*exprs)
+    from ..functions.stats import grouped_quantile
+    out = src.groupBy(*keys).agg(*exprs) if exprs else src.select(*keys).distinct()
+    for c, name in medians:
+        out = out.join(grouped_quantile(src, keys, c, 0.5, name), keys, "left")
+    return out.select(*keys, *order)
 
 
 def pivot(df: DataFrame, index: Sequence[str] | str, columns: str, values: str, aggfunc: str = "sum",
@@ -63,8 +74,7 @@ def pivot(df: DataFrame, index: Sequence[str] | str, columns: str, values: str,
     for sum, N19) and then spread with ``first``; absent cells are NULL. Pass
     ``column_values`` to skip the extra distinct job on big tables."""
     idx = as_list(index)
-    cell = (drop_null_keys(df, idx + [columns]).groupBy(*idx, columns)
-            .agg(agg_column(aggfunc, values).alias("__v")))
+    cell = aggregate(df, idx + [columns], {values: aggfunc}).withColumnRenamed(values, "__v")
     vals = sorted(column_values) if column_values is not None else None
     return cell.groupBy(*idx).pivot(columns, vals).agg(F.first("__v"))
 

@@ -227,3 +227,14 @@ def q_steps(spark, d):
     out = apply_transformations(tb.monthly(spark, d), MONTHLY_STEPS, order_by="date")
     r = out.withColumns({c: F.round(c, 2) for c in ("revenue", "costs", "profit", "productivity_index")})
     return rounded(r)
+
+
+@query("tx_aggregate_median", f"""
+WITH s AS ({tb.SALES_SQL})
+SELECT region, round(quantile_cont(total_amount, 0.5), 4) AS total_amount_median,
+       round(avg(total_amount), 4) AS total_amount_mean, round(quantile_cont(quantity, 0.5), 4) AS quantity
+FROM s WHERE region IS NOT NULL GROUP BY region
+""")
+def q_aggregate_median(spark, d):
+    return rounded(tr.aggregate(tb.sales(spark, d), "region",
+                                {"total_amount": ["median", "mean"], "quantity": "median"}))

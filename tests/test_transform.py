@@ -105,3 +105,21 @@ def test_steps(sales):
     assert [(r["category"], r["k"]) for r in out] == [("Electronics", 16.0)]
     with pytest.raises(ValueError):
         apply_transformations(sales, [{"type": "mystery"}])
+
+
+def test_grouped_median_matches_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    g = np.where(rng.random(3000) < 0.6, "hot", rng.choice(["a", "b", "c"], 3000))
+    v = np.round(rng.normal(10, 3, 3000), 1)
+    v[::17] = np.nan
+    pdf = pd.DataFrame({"g": g, "v": v})
+    df = spark.createDataFrame([(a, None if np.isnan(b) else float(b)) for a, b in zip(g, v)], "g string, v double")
+    ours = {r["g"]: r["v"] for r in tr.aggregate(df, "g", {"v": "median"}).collect()}
+    theirs = pdf.groupby("g")["v"].median().to_dict()
+    assert ours == pytest.approx(theirs)
+    multi = tr.aggregate(df, "g", {"v": ["median", "count"]}).columns
+    assert multi == ["g", "v_median", "v_count"]
+    cells = {r["g"]: r for r in tr.pivot(df.withColumn("k", F.lit("x")), "g", "k", "v", "median").collect()}
+    assert cells["hot"]["x"] == pytest.approx(theirs["hot"])
