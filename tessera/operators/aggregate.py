@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions.nulls import (TEMPORAL_TYPES, as_list, drop_null_keys, numeric_columns, sort_exprs,
                                string_columns, sum0)
 from ..functions import stats as st
+from ..functions.time import literal_like
 from . import transform as tr
 
 
@@ -109,11 +110,11 @@ def compare_periods(df: DataFrame, date_column: str, value_column: str, current_
     previous_period ≤ date < current_period instead.
     """
     d = F.col(date_column)
-    cur_start = F.lit(current_period)
+    cur_start = literal_like(df, date_column, current_period)
     is_cur = d >= cur_start
     is_prev = d < cur_start
     if bounded and previous_period is not None:
-        is_prev = is_prev & (d >= F.lit(previous_period))
+        is_prev = is_prev & (d >= literal_like(df, date_column, previous_period))
     v = F.col(value_column)
     row = df.agg(sum0(F.when(is_cur, v)).alias("current"), sum0(F.when(is_prev, v)).alias("previous"))
     change = F.col("current") - F.col("previous")

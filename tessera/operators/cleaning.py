@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import stats as st
 from ..functions import text as tx
+from ..functions.time import parse_ntz
 from ..functions.nulls import as_list, col_of, numeric_columns, string_columns
 
 
@@ -131,9 +132,8 @@ def _converted(df: DataFrame, c: str, kind: str, fmt: str | None) -> Column:
         if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
             return src
         if isinstance(dt, T.DateType):
-            return src.cast("timestamp")
-        s = src.cast("string")
-        return F.try_to_timestamp(s, F.lit(fmt)) if fmt else F.try_to_timestamp(s)
+            return src.cast("timestamp_ntz")
+        return parse_ntz(src.cast("string"), fmt)
     if kind == "numeric":
         return src.try_cast("double")
     return src.try_cast(_DTYPES.get(kind, kind))

@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import literal_like, seconds_between
+
 FINISHED = ("success", "failed", "cancelled")
 
 
@@ -42,7 +44,7 @@ def purge(executions: DataFrame, logs: DataFrame, cutoff: dt.datetime) -> tuple[
     Returns (kept runs, kept logs, one-row count of removed runs). The caller
     writes the kept tables (overwrite) — nothing is deleted in place.
     """
-    old = F.col("created_at") < F.lit(cutoff).cast(executions.schema["created_at"].dataType)
+    old = F.col("created_at") < literal_like(executions, "created_at", cutoff)
     kept = executions.where(~F.coalesce(old, F.lit(False)))
     removed = executions.where(old).select(F.col("id").alias("execution_id"))
     kept_logs = logs.join(removed, "execution_id", "left_anti")
@@ -52,9 +54,7 @@ def purge(executions: DataFrame, logs: DataFrame, cutoff: dt.datetime) -> tuple[
 
 def durations(executions: DataFrame) -> DataFrame:
     """duration_seconds (NULL while open), is_finished, can_retry."""
-    dur = F.when(F.col("started_at").isNotNull() & F.col("completed_at").isNotNull(),
-                 F.unix_micros(F.col("completed_at").cast("timestamp"))
-                 - F.unix_micros(F.col("started_at").cast("timestamp"))) / 1e6
+    dur = seconds_between(F.col("started_at"), F.col("completed_at"))
     return executions.select(
         "id", "report_name", "status", dur.alias("duration_seconds"),
         F.col("status").isin(*FINISHED).alias("is_finished"),
@@ -64,8 +64,7 @@ def durations(executions: DataFrame) -> DataFrame:
 def step_rows(executions: DataFrame) -> DataFrame:
     """One row per step (runs without steps keep one row with NULL step), with duration."""
     s = executions.select("id", F.posexplode_outer("steps").alias("step_index", "step"))
-    dur = (F.unix_micros(F.col("step.completed_at").cast("timestamp"))
-           - F.unix_micros(F.col("step.started_at").cast("timestamp"))) / 1e6
+    dur = seconds_between(F.col("step.started_at"), F.col("step.completed_at"))
     return s.select("id", "step_index", F.col("step.name").alias("step_name"),
                     F.col("step.status").alias("step_status"), dur.alias("step_seconds"))
 

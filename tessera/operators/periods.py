@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import literal_like
+
 PERIODS = ("today", "yesterday", "this_week", "last_week", "this_month", "last_month", "this_quarter", "this_year")
 
 
@@ -56,7 +58,7 @@ def date_range(period: str, as_of: dt.date | dt.datetime) -> tuple[dt.datetime,
 
 
 def _bound(df: DataFrame, column: str, value: dt.datetime):
-    return F.lit(value).cast(df.schema[column].dataType)
+    return literal_like(df, column, value)
 
 
 def filter_period(df: DataFrame, column: str, period: str, as_of: dt.date | dt.datetime) -> DataFrame:

@@ -178,13 +178,13 @@ def _period_start(d: Column, freq: str) -> Column:
     if f == "D":
         return F.to_date(d)
     if f == "W":
-        return F.to_date(F.date_trunc("week", d))
+        return F.trunc(F.to_date(d), "week")
     if f in ("M", "ME"):
-        return F.trunc(d, "month")
+        return F.trunc(F.to_date(d), "month")
     if f in ("Q", "QE"):
-        return F.to_date(F.date_trunc("quarter", d))
+        return F.trunc(F.to_date(d), "quarter")
     if f in ("Y", "A", "YE"):
-        return F.trunc(d, "year")
+        return F.trunc(F.to_date(d), "year")
     raise ValueError(f"unknown frequency: {freq}")
 
 

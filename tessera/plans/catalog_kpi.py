@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz_lit
 from ..operators import kpi as K
 from ..sources import tables as tb
 from .registry import query, rounded
@@ -184,7 +185,7 @@ _SPLIT = "TIMESTAMP '2024-01-16'"
         FROM c, p""" for n in _PERF_SQL))
 def q_kpi_compare(spark, d):
     perf = tb.performance(spark, d)
-    split = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    split = ntz_lit(dt.datetime(2024, 1, 16))
     cur, prev = perf.where(F.col("date") >= split), perf.where(F.col("date") < split)
     return rounded(K.compare_kpis(cur, prev, _perf_kpis()), 6)
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.time import trunc_ntz
 from ..operators import charts as ch
 from ..operators import history as hi
 from ..operators import periods as pe
@@ -86,7 +87,7 @@ SELECT day, team, 'sales_amount' AS series, round(sales_amount, 4) AS y FROM g
 UNION ALL SELECT day, team, 'calls_handled', CAST(calls_handled AS DOUBLE) FROM g
 """)
 def q_series(spark, d):
-    perf = tb.performance(spark, d).withColumn("day", F.date_trunc("day", "date"))
+    perf = tb.performance(spark, d).withColumn("day", trunc_ntz(F.col("date"), "day"))
     s = ch.series(perf.withColumn("calls_handled", F.col("calls_handled").cast("double")), "day",
                   ["sales_amount", "calls_handled"], color="team")
     return rounded(s)

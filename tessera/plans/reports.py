@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import literal_like, trunc_ntz
 from ..operators import cleaning as cl
 from ..operators import transform as tr
 
@@ -20,7 +21,8 @@ def daily_sales(sales: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     src = sales
     if as_of is not None:
         start = dt.datetime.combine(as_of, dt.time())
-        src = src.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(start + dt.timedelta(days=1))))
+        src = src.where((F.col("date") >= literal_like(src, "date", start))
+                        & (F.col("date") < literal_like(src, "date", start + dt.timedelta(days=1))))
     clean = cl.remove_nulls(cl.remove_duplicates(src))
     agg = tr.aggregate(clean, ["category"], {"total_amount": "sum", "quantity": "sum", "unit_price": "mean"})
     return tr.sort(agg, "total_amount", ascending=False)
@@ -31,7 +33,7 @@ def daily_sales(sales: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 DAILY_SQL = """
 SELECT date, product_id, product_name, category, quantity, unit_price, total_amount, customer_id, region
 FROM {sales}
-WHERE date >= :day_start AND date < :day_end
+WHERE date >= CAST(:day_start AS TIMESTAMP_NTZ) AND date < CAST(:day_end AS TIMESTAMP_NTZ)
 ORDER BY total_amount DESC
 """
 
@@ -39,7 +41,7 @@ WEEKLY_SQL = """
 SELECT date, agent_id, agent_name, team, calls_handled, avg_handling_time, first_call_resolution,
        customer_satisfaction, sales_amount, conversion_rate
 FROM {performance_metrics}
-WHERE date >= :since
+WHERE date >= CAST(:since AS TIMESTAMP_NTZ)
 ORDER BY date, agent_id
 """
 
@@ -47,23 +49,24 @@ MONTHLY_SQL = """
 SELECT date, department, revenue, costs, profit, headcount, productivity_index, customer_count, new_customers,
        churned_customers
 FROM {monthly_summary}
-WHERE date >= :month_start
+WHERE date >= CAST(:month_start AS TIMESTAMP_NTZ)
 """
 
 
 def sql_daily(spark, sales: DataFrame, as_of: dt.date) -> DataFrame:
     start = dt.datetime.combine(as_of, dt.time())
-    return spark.sql(DAILY_SQL, args={"day_start": start, "day_end": start + dt.timedelta(days=1)}, sales=sales)
+    return spark.sql(DAILY_SQL, args={"day_start": str(start), "day_end": str(start + dt.timedelta(days=1))},
+                     sales=sales)
 
 
 def sql_weekly(spark, performance: DataFrame, as_of: dt.date) -> DataFrame:
     since = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=7)
-    return spark.sql(WEEKLY_SQL, args={"since": since}, performance_metrics=performance)
+    return spark.sql(WEEKLY_SQL, args={"since": str(since)}, performance_metrics=performance)
 
 
 def sql_monthly(spark, monthly: DataFrame, as_of: dt.date) -> DataFrame:
     start = dt.datetime(as_of.year, as_of.month, 1)
-    return spark.sql(MONTHLY_SQL, args={"month_start": start}, monthly_summary=monthly)
+    return spark.sql(MONTHLY_SQL, args={"month_start": str(start)}, monthly_summary=monthly)
 
 
 WEEKLY_TEAM_METRICS = {"calls_handled": "sum", "avg_handling_time": "mean", "first_call_resolution": "mean",
@@ -79,7 +82,7 @@ def weekly_kpi(performance: DataFrame, as_of: dt.date | None = None) -> dict[str
     src = performance
     if as_of is not None:
         since = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=7)
-        src = src.where(F.col("date") >= F.lit(since).cast(performance.schema["date"].dataType))
+        src = src.where(F.col("date") >= literal_like(performance, "date", since))
     clean = cl.remove_nulls(cl.remove_duplicates(src))
     clean = clean.withColumn("first_call_resolution", F.col("first_call_resolution").cast("double"))
     by_team = tr.sort(tr.aggregate(clean, ["team"], WEEKLY_TEAM_METRICS), "sales_amount", ascending=False)
@@ -92,7 +95,7 @@ def weekly_kpi(performance: DataFrame, as_of: dt.date | None = None) -> dict[str
              {"name": "Total Sales", "column": "sales_amount", "aggregation": "sum", "category": "sales"},
              {"name": "Conversion Rate", "column": "conversion_rate", "aggregation": "mean", "category": "sales"}]
     kpis = K.kpi_summary(clean, K.spec_kpis(specs))
-    trend = tr.aggregate(clean.withColumn("day", F.date_trunc("day", "date")), ["day"],
+    trend = tr.aggregate(clean.withColumn("day", trunc_ntz(F.col("date"), "day")), ["day"],
                          {"calls_handled": "sum", "sales_amount": "sum"})
     return {"by_team": by_team, "kpis": kpis, "trend": trend}
 
@@ -114,7 +117,7 @@ def monthly_summary(monthly: DataFrame, as_of: dt.date | None = None) -> DataFra
     from .steps import apply_transformations
     src = monthly
     if as_of is not None:
-        src = src.where(F.col("date") >= F.lit(dt.datetime(as_of.year, as_of.month, 1)))
+        src = src.where(F.col("date") >= literal_like(src, "date", dt.datetime(as_of.year, as_of.month, 1)))
     clean = cl.remove_nulls(cl.remove_duplicates(src))
     return apply_transformations(clean, MONTHLY_STEPS, order_by="date")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.nulls import as_list, isin_with_null
+from ..functions.time import literal_like, parse_ntz
 
 DEFAULTS = {"header": "true"}
 
@@ -51,18 +52,8 @@ def read_csv_date_range(spark: SparkSession, path: str, date_column: str, start,
                         date_format: str | None = None, **options) -> DataFrame:
     """start ≤ date ≤ end, both inclusive; an end given as a date means its midnight."""
     df = read_csv(spark, path, schema, **options)
-    c = F.col(date_column)
     if df.schema[date_column].dataType.simpleString() == "string":
-        c = F.try_to_timestamp(c, F.lit(date_format)) if date_format else F.try_to_timestamp(c)
-        df = df.withColumn(date_column, c)
-        c = F.col(date_column)
-
-    def ts(v):
-        if isinstance(v, dt.datetime):
-            return v
-        if isinstance(v, dt.date):
-            return dt.datetime(v.year, v.month, v.day)
-        return dt.datetime.fromisoformat(str(v))
-
-    dtype = df.schema[date_column].dataType
-    return df.where((c >= F.lit(ts(start)).cast(dtype)) & (c <= F.lit(ts(end)).cast(dtype)))
+        df = df.withColumn(date_column, parse_ntz(F.col(date_column), date_format))
+    c = F.col(date_column)
+    lo, hi = literal_like(df, date_column, start), literal_like(df, date_column, end)
+    return df.where((c >= lo) & (c <= hi))

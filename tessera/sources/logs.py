@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import parse_ntz, wall_text
+
 # Level names in increasing severity.
 LEVELS = ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"]
 LINE_FORMAT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - (.*?) - ([A-Z]+) - (.*?) - (.*)$"
@@ -13,7 +15,7 @@ LINE_FORMAT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - (.*?) - ([A-Z]+) - (.*?
 
 def format_line(ts, name, level, location, message):
     """Columns → one log line in the format above."""
-    return F.concat_ws(" - ", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), name, level, location, message)
+    return F.concat_ws(" - ", wall_text(ts), name, level, location, message)
 
 
 def newest_file(spark: SparkSession, folder: str, glob: str = "*") -> str | None:
@@ -36,7 +38,7 @@ def scan(spark: SparkSession, path: str, min_level: str = "INFO", tail: int | No
         allowed = LEVELS[LEVELS.index(lvl):]
         lines = lines.where(F.col("line").rlike("|".join(allowed)))
     parsed = lines.select(
-        F.try_to_timestamp(F.regexp_extract("line", LINE_FORMAT, 1), F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"),
+        parse_ntz(F.regexp_extract("line", LINE_FORMAT, 1), "yyyy-MM-dd HH:mm:ss").alias("ts"),
         F.regexp_extract("line", LINE_FORMAT, 2).alias("logger"),
         F.regexp_extract("line", LINE_FORMAT, 3).alias("level"),
         F.regexp_extract("line", LINE_FORMAT, 4).alias("location"),

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import trunc_ntz
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -112,7 +114,7 @@ def monthly(spark: SparkSession, data_dir: str) -> DataFrame:
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
          .join(cust, orders.o_custkey == cust.c_custkey)
          .join(nation, cust.c_nationkey == nation.n_nationkey))
-    month = F.date_trunc("month", F.col("o_orderdate"))
+    month = trunc_ntz(F.col("o_orderdate"), "month")
     return (j.groupBy(month.alias("date"), F.col("n_name").alias("department"))
             .agg(F.sum("rev").alias("revenue"),
                  F.sum("cost").alias("costs"),
