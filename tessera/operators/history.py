@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import literal_like, seconds_between
+from ..functions.time import literal_like, seconds_between, wall_text
 
 FINISHED = ("success", "failed", "cancelled")
 
@@ -80,6 +80,12 @@ def to_json(executions: DataFrame) -> DataFrame:
     return executions.select("id", F.to_json(F.struct(*executions.columns)).alias("json"))
 
 
+def log_json(logs: DataFrame) -> DataFrame:
+    """JSON form of each log line (timestamp as wall-clock text)."""
+    return logs.select(F.to_json(F.struct(
+        "execution_id", wall_text(F.col("timestamp")).alias("timestamp"), "level", "message", "step")).alias("json"))
+
+
 def latest_status(events: DataFrame) -> DataFrame:
     """Latest status per run from the append-only event table: ``max_by`` (partial
     aggregation, so a run with a huge event count is combined map-side)."""

@@ -271,6 +271,15 @@ def q_hist_json(spark, d):
     return hi.to_json(executions(spark, d))
 
 
+@query("hist_log_json", f"""
+SELECT to_json({{'execution_id': execution_id, 'timestamp': strftime(timestamp, '%Y-%m-%d %H:%M:%S'),
+                 'level': level, 'message': message, 'step': step}}) AS json
+FROM ({LOGS_SQL})
+""")
+def q_hist_log_json(spark, d):
+    return hi.log_json(execution_logs(spark, d))
+
+
 @query("hist_latest_status", f"""
 SELECT id AS run_id, status, coalesce(completed_at, started_at) AS updated_at FROM ({EXECUTIONS_SQL})
 """)

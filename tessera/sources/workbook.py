@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 RAW_SCHEMA = "path string, sheet string, sheet_index int, row_idx int, cells array<string>"
+# Fixed value: rows per worksheet in the .xlsx format.
+SHEET_MAX_ROWS = 1_048_576
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "pr": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -208,9 +210,11 @@ def _cell_value(v):
 
 
 def write_workbooks(df: DataFrame, folder: str, sheet: str, leading_rows: Sequence[Sequence] = ()) -> DataFrame:
-    """Write each partition of ``df`` as ``folder/part-NNNNN.xlsx`` with one sheet
-    (header row first, after optional ``leading_rows``). Returns the lazy
-    (path, rows) manifest; the files are written when it is evaluated."""
+    """Write each partition of ``df`` as ``folder/part-NNNNN-KKK.xlsx`` with one sheet
+    (header row first, after optional ``leading_rows``); a partition larger than
+    a sheet is split into several files, so a task holds at most one sheet of
+    rows. Returns the lazy (path, rows) manifest; the files are written when it
+    is evaluated."""
     cols = df.columns
     lead = [list(r) for r in leading_rows]
     base = folder.rstrip("/")
@@ -218,21 +222,31 @@ def write_workbooks(df: DataFrame, folder: str, sheet: str, leading_rows: Sequen
     def write_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
         from pyspark import TaskContext
-        rows = lead + [cols]
-        n = 0
+
+        pid = TaskContext.get().partitionId()
+        room = max(1, SHEET_MAX_ROWS - len(lead) - 1)          # data rows per file
+        rows: list[list] = []
+        written: list[tuple[str, int]] = []
+
+        def flush() -> None:
+            target = f"{base}/part-{pid:05d}-{len(written):03d}.xlsx"
+            uri = "file://" + target[len("file:"):] if target.startswith("file:/") and not target.startswith(
+                "file://") else target
+            filesystem, fpath = pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
+            filesystem.create_dir(fpath.rsplit("/", 1)[0], recursive=True)
+            with filesystem.open_output_stream(fpath) as fh:
+                fh.write(workbook_bytes({sheet: lead + [cols] + rows}))
+            written.append((target, len(rows)))
+            rows.clear()
+
         for b in batches:
             for rec in b.itertuples(index=False, name=None):
                 rows.append([_cell_value(v) for v in rec])
-                n += 1
-        pid = TaskContext.get().partitionId()
-        target = f"{base}/part-{pid:05d}.xlsx"
-        uri = "file://" + target[len("file:"):] if target.startswith("file:/") and not target.startswith(
-            "file://") else target
-        filesystem, fpath = pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
-        filesystem.create_dir(fpath.rsplit("/", 1)[0], recursive=True)
-        with filesystem.open_output_stream(fpath) as fh:
-            fh.write(workbook_bytes({sheet: rows}))
-        yield pd.DataFrame({"path": [target], "rows": [n]})
+                if len(rows) >= room:
+                    flush()
+        if rows or not written:
+            flush()
+        yield pd.DataFrame({"path": [p for p, _ in written], "rows": [n for _, n in written]})
 
     return df.mapInPandas(write_part, "path string, rows long")
 

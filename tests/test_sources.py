@@ -95,6 +95,14 @@ def test_workbook_sheets_and_ranges(spark, tmp_dir):
     assert by_index.columns == ["product", "amount"]
 
 
+def test_workbook_writer_splits_large_partitions(spark, employees, tmp_dir, monkeypatch):
+    monkeypatch.setattr(wb, "SHEET_MAX_ROWS", 4)                     # 1 header + 3 data rows per file
+    manifest = wb.write_workbooks(employees.coalesce(1), f"{tmp_dir}/split", "emp").collect()
+    assert sorted(r["rows"] for r in manifest) == [2, 3]
+    back = wb.read_sheet(wb.read_raw(spark, f"{tmp_dir}/split"), "emp")
+    assert back.count() == 5
+
+
 def test_workbook_writer_round_trip(spark, employees, tmp_dir):
     manifest = wb.write_workbooks(employees.repartition(2), f"{tmp_dir}/out", "emp").collect()
     assert sum(r["rows"] for r in manifest) == 5
