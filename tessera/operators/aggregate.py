@@ -7,14 +7,12 @@ one-row scalar subqueries, multi-dimension tables are one ``groupingSets`` pass.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.nulls import (TEMPORAL_TYPES, as_list, drop_null_keys, numeric_columns, sort_exprs,
+from ..functions.nulls import (as_list, drop_null_keys, numeric_columns, sort_exprs,
                                string_columns, sum0)
 from ..functions import stats as st
 from ..functions.time import literal_like
@@ -196,13 +194,3 @@ def split_sheets(long_df: DataFrame, dimensions: Sequence[str]) -> dict[str, Dat
     """Named per-dimension tables from ``group_sheets`` (lazy filters, no recompute
     if the long table is persisted by the caller)."""
     return {d: long_df.where(F.col("dimension") == d).select(F.col("key").alias(d), "value") for d in dimensions}
-
-
-def is_temporal(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, TEMPORAL_TYPES)
-
-
-def as_of_literal(value) -> Column:
-    if isinstance(value, (dt.date, dt.datetime)):
-        return F.lit(value)
-    return F.lit(value).cast(T.TimestampNTZType())

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import as_list, drop_null_keys, sum0
-from . import aggregate as ag
 from . import transform as tr
 
 
@@ -56,5 +55,3 @@ def series(df: DataFrame, x: str, ys: Sequence[str] | str, color: str | None = N
     g = tr.aggregate(df, keys, {y: agg for y in ys})
     return g.unpivot(keys, ys, "series", "y")
 
-
-__all__ = ["histogram", "pie_share", "heatmap", "series", "ag"]

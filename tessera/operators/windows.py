@@ -147,10 +147,9 @@ def _order_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
-def _bucket_prefix(bdf: DataFrame, pb: list[str], aggs: dict[str, Column], n_buckets: int) -> DataFrame:
-    """Pass 1: per (bucket, group) aggregates; returned with pass-1 columns."""
-    g = bdf.groupBy(BUCKET, *pb).agg(*[e.alias(k) for k, e in aggs.items()])
-    return g
+def _bucket_prefix(bdf: DataFrame, pb: list[str], aggs: dict[str, Column]) -> DataFrame:
+    """Pass 1: one row of aggregates per (bucket, group)."""
+    return bdf.groupBy(BUCKET, *pb).agg(*[e.alias(k) for k, e in aggs.items()])
 
 
 def _join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool) -> DataFrame:
@@ -177,7 +176,7 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
         return df.withColumn(out, F.when(keep, F.sum(column).over(w)))
     n = n_buckets or _default_buckets(df)
     bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb, total=total)
-    p1 = _bucket_prefix(bdf, pb, {"__s": F.sum(column)}, n)
+    p1 = _bucket_prefix(bdf, pb, {"__s": F.sum(column)})
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre"))
     j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
@@ -196,7 +195,7 @@ def row_number(df: DataFrame, order_by: Sequence[str] | str, partition_by: Seque
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*order)))
     n = n_buckets or _default_buckets(df)
     bdf = with_range_bucket(df, pb + order, n, total=total)
-    p1 = _bucket_prefix(bdf, pb, {"__c": F.count(F.lit(1))}, n)
+    p1 = _bucket_prefix(bdf, pb, {"__c": F.count(F.lit(1))})
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__c").over(wp), F.lit(0)).alias("__pre"))
     j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
@@ -305,7 +304,7 @@ def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Seque
     bdf = with_range_bucket(df, pb + order, n, total=total)
     o = _order_struct(order)
     edge = F.max_by if fwd else F.min_by
-    p1 = _bucket_prefix(bdf, pb, {f"__e_{c}": edge(F.col(c), F.when(F.col(c).isNotNull(), o)) for c in cols}, n)
+    p1 = _bucket_prefix(bdf, pb, {f"__e_{c}": edge(F.col(c), F.when(F.col(c).isNotNull(), o)) for c in cols})
     wp = (Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1) if fwd
           else Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(1, _UNF))
     p1 = p1.select(BUCKET, *pb, *[pick(f"__e_{c}", ignorenulls=True).over(wp).alias(f"__in_{c}") for c in cols])

@@ -3,7 +3,6 @@ value filters and inclusive date ranges, all pushed into the scan where Spark ca
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
