@@ -114,3 +114,24 @@ SELECT round(CASE WHEN count(*) > 0 THEN sum(CAST(completed AS INTEGER)) / count
 """)
 def q_report_training(spark, d):
     return rounded(reports.training(tb.training(spark, d)), 6)
+
+
+def _monthly_kpi_sql():
+    m = f"(SELECT *, profit / revenue * 100 AS profit_margin, new_customers - churned_customers AS net_customer_growth FROM ({tb.MONTHLY_SQL}))"
+    kpis = [("Total Revenue", "revenue"), ("Total Profit", "profit"), ("Net Customer Growth", "net_customer_growth")]
+    parts = []
+    for name, col in kpis:
+        c = f"coalesce(sum({col}) FILTER (WHERE date >= TIMESTAMP '2001-07-01' AND date < TIMESTAMP '2001-08-01'), 0)"
+        p = f"coalesce(sum({col}) FILTER (WHERE date >= TIMESTAMP '2001-06-01' AND date < TIMESTAMP '2001-07-01'), 0)"
+        parts.append(f"""SELECT '{name}' AS kpi_name, round({c}, 2) AS current, round({p}, 2) AS previous,
+            round({c} - {p}, 2) AS change,
+            round(CASE WHEN {p} <> 0 THEN ({c} - {p}) / {p} * 100 ELSE 0 END, 4) AS change_percentage,
+            CASE WHEN {c} - {p} > 0 THEN 'up' WHEN {c} - {p} < 0 THEN 'down' ELSE 'stable' END AS trend FROM {m}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("report_monthly_kpis", _monthly_kpi_sql())
+def q_report_monthly_kpis(spark, d):
+    r = reports.monthly_kpis(tb.monthly(spark, d), _dt.date(2001, 7, 15))
+    return r.select("kpi_name", *[_F.round(c, 2).alias(c) for c in ("current", "previous", "change")],
+                    _F.round("change_percentage", 4).alias("change_percentage"), "trend")

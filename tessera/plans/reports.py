@@ -138,3 +138,32 @@ def training(records: DataFrame) -> DataFrame:
         kpis.append(K.average_assessment_score("score"))
     kpis.append(K.Kpi("records", "training", F.count(F.lit(1))))
     return K.kpi_frame(clean, kpis).select(*[k.name for k in kpis])
+
+
+MONTHLY_KPIS = [
+    {"name": "Total Revenue", "column": "revenue", "aggregation": "sum", "format": "currency",
+     "compare_previous": True},
+    {"name": "Total Profit", "column": "profit", "aggregation": "sum", "format": "currency",
+     "compare_previous": True},
+    {"name": "Profit Margin", "column": "profit_margin", "aggregation": "mean", "format": "percentage"},
+    {"name": "Customer Base", "column": "customer_count", "aggregation": "last", "format": "number"},
+    {"name": "Net Customer Growth", "column": "net_customer_growth", "aggregation": "sum", "format": "number",
+     "compare_previous": True},
+]
+
+
+def monthly_kpis(monthly: DataFrame, as_of: dt.date, specs: list[dict] | None = None) -> DataFrame:
+    """The declared monthly KPIs that ask for ``compare_previous``: the month of
+    ``as_of`` against the month before, one row per KPI (current, previous,
+    change, change_percentage, trend), from one aggregate over both months."""
+    from ..operators import kpi as K
+    specs = [s for s in (specs or MONTHLY_KPIS) if s.get("compare_previous")]
+    rows = (monthly.withColumn("profit_margin", F.try_divide(F.col("profit"), F.col("revenue")) * 100)
+            .withColumn("net_customer_growth", F.col("new_customers") - F.col("churned_customers")))
+    start = dt.datetime(as_of.year, as_of.month, 1)
+    prev = dt.datetime(start.year - (start.month == 1), (start.month - 2) % 12 + 1, 1)
+    nxt = dt.datetime(start.year + (start.month == 12), start.month % 12 + 1, 1)
+    d = F.col("date")
+    cur = rows.where((d >= literal_like(rows, "date", start)) & (d < literal_like(rows, "date", nxt)))
+    before = rows.where((d >= literal_like(rows, "date", prev)) & (d < literal_like(rows, "date", start)))
+    return K.compare_kpis(cur, before, K.spec_kpis(specs, order_by=F.struct("date", "department")))
