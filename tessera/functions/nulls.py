@@ -82,14 +82,16 @@ def ne_keep_null(c: str | Column, value) -> Column:
     return ~col_of(c).eqNullSafe(F.lit(value))
 
 
-# N7 — isin with None in the list matches NULL
+# N7 — isin with None in the list matches NULL. Meant for ``where`` (a NULL
+# outcome drops the row); kept free of wrappers so the scan can take it as
+# In(...) OR IsNull(...).
 def isin_with_null(c: str | Column, values: Sequence) -> Column:
     vals = list(values)
     non_null = [v for v in vals if v is not None]
     cond = col_of(c).isin(non_null) if non_null else F.lit(False)
     if len(non_null) != len(vals):
         cond = cond | col_of(c).isNull()
-    return F.coalesce(cond, F.lit(False))
+    return cond
 
 
 # N8 — str.contains is a regex, missing → False

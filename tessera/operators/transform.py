@@ -124,7 +124,7 @@ def predicate(column: str, condition: str, value) -> Column | None:
 def filter_rows(df: DataFrame, column: str, condition: str, value) -> DataFrame:
     """Eight predicates with pandas null rules (N6-N8); unknown condition → unchanged."""
     p = predicate(column, condition, value)
-    return df if p is None else df.where(F.coalesce(p, F.lit(False)))
+    return df if p is None else df.where(p)       # a NULL outcome drops the row; plain predicates reach the scan
 
 
 def filter_all(df: DataFrame, conditions: dict[str, object]) -> DataFrame:
