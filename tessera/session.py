@@ -32,7 +32,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     }
     if master and master.startswith("local"):
         # local mode: executors live in the driver JVM, so its heap is the only memory knob
-        conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "8g")
+        conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", _local_heap())
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -41,21 +41,38 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def _local_heap() -> str:
+    """60 % of physical memory, at most 8 GB, at least 1 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "2g"
+    mb = int(total * 0.6 / 2**20)
+    return f"{max(1024, min(8192, mb))}m"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The cluster names it in ``spark.checkpoint.dir``; we only pick our own
     folder when the session has none (local runs and tests).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
