@@ -68,7 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        if sc is None:
+            try:
+                spark.conf.set("spark.checkpoint.dir", configured)
+            except Exception:  # noqa: BLE001 - core settings may be read-only at runtime
+                pass
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
