@@ -75,9 +75,17 @@ def current_step(executions: DataFrame) -> DataFrame:
     return executions.select("id", F.try_element_at(running, F.lit(1))["name"].alias("current_step"))
 
 
+_TS = ("created_at", "started_at", "completed_at")
+
+
 def to_json(executions: DataFrame) -> DataFrame:
-    """JSON form of each run record."""
-    return executions.select("id", F.to_json(F.struct(*executions.columns)).alias("json"))
+    """JSON form of each run record: timestamps as wall-clock text, NULL fields kept."""
+    steps = F.transform("steps", lambda s: F.struct(
+        s["name"].alias("name"), s["status"].alias("status"), wall_text(s["started_at"]).alias("started_at"),
+        wall_text(s["completed_at"]).alias("completed_at"), s["error"].alias("error")))
+    fields = [wall_text(F.col(c)).alias(c) if c in _TS else steps.alias(c) if c == "steps" else F.col(c)
+              for c in executions.columns]
+    return executions.select("id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def log_json(logs: DataFrame) -> DataFrame:

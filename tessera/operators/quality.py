@@ -25,6 +25,7 @@ class Rule:
     name: str
     column: str
     passes: Column
+    kind: str = "check"          # "not_null" rules check every row, the others only non-null values
 
 
 def _null_ok(c: str, cond: Column) -> Column:
@@ -70,7 +71,7 @@ def choice(c: str, choices: Sequence, name: str | None = None) -> Rule:
 
 
 def not_null(c: str, name: str | None = None) -> Rule:
-    return Rule(name or f"{c}_not_null", c, F.col(c).isNotNull())
+    return Rule(name or f"{c}_not_null", c, F.col(c).isNotNull(), "not_null")
 
 
 def with_failures(df: DataFrame, rules: Sequence[Rule], output: str = "failed_rules") -> DataFrame:
@@ -90,7 +91,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     (all rows for not_null), in one aggregate."""
     parts = []
     for r in rules:
-        checked = F.count(F.lit(1)) if r.name.endswith("_not_null") else F.count(F.col(r.column))
+        checked = F.count(F.lit(1)) if r.kind == "not_null" else F.count(F.col(r.column))
         parts.append(F.struct(F.lit(r.name).alias("rule"), checked.alias("checked"),
                               F.count_if(~r.passes).alias("failed")))
     return df.agg(F.array(*parts).alias("__r")).select(F.inline("__r"))

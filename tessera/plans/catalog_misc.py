@@ -266,7 +266,32 @@ def q_hist_current_step(spark, d):
     return hi.current_step(executions(spark, d))
 
 
-@query("hist_json")
+_RUN_JSON_SQL = """
+WITH r AS (
+  SELECT o.*, CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'running' ELSE 'failed' END AS st,
+         o_orderdate + to_minutes(CAST(o_custkey % 60 AS INTEGER)) AS started
+  FROM orders o),
+r2 AS (SELECT *, CASE WHEN st IN ('success', 'failed') THEN started + to_seconds(CAST(o_orderkey % 3600 AS INTEGER)) END
+              AS completed,
+              CASE WHEN st = 'failed' THEN 'error in step transform' END AS err FROM r)
+SELECT 'run-' || CAST(o_orderkey AS VARCHAR) AS id, CAST(to_json({
+  'id': 'run-' || CAST(o_orderkey AS VARCHAR), 'report_name': 'report_' || substr(o_orderpriority, 1, 1),
+  'status': st, 'trigger': ['manual', 'scheduled', 'api', 'retry'][CAST(o_custkey % 4 + 1 AS INTEGER)],
+  'created_at': strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 'started_at': strftime(started, '%Y-%m-%d %H:%M:%S'),
+  'completed_at': strftime(completed, '%Y-%m-%d %H:%M:%S'),
+  'output_path': '/reports/run-' || CAST(o_orderkey AS VARCHAR) || '.xlsx', 'row_count': o_custkey,
+  'file_size': CAST(trunc(o_totalprice) AS BIGINT), 'error_message': err,
+  'retry_count': CAST(o_orderkey % 4 AS INTEGER), 'max_retries': 3,
+  'steps': [{'name': 'extract', 'status': 'success', 'started_at': strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+             'completed_at': strftime(started, '%Y-%m-%d %H:%M:%S'), 'error': CAST(NULL AS VARCHAR)},
+            {'name': 'transform', 'status': st, 'started_at': strftime(started, '%Y-%m-%d %H:%M:%S'),
+             'completed_at': strftime(completed, '%Y-%m-%d %H:%M:%S'), 'error': err}],
+  'metadata': MAP {'priority': o_orderpriority}}) AS VARCHAR) AS json
+FROM r2
+"""
+
+
+@query("hist_json", _RUN_JSON_SQL)
 def q_hist_json(spark, d):
     return hi.to_json(executions(spark, d))
 
