@@ -55,8 +55,16 @@ _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
 
-def _default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+# Target rows per bucket of the two-pass form: pass 2 runs one window per bucket
+# in one task, so buckets are sized to the data, never fewer than the shuffle partitions.
+BUCKET_TARGET_ROWS = 2_000_000
+
+
+def _default_buckets(df: DataFrame, total: int | None = None) -> int:
+    base = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if total:
+        base = max(base, -(-total // BUCKET_TARGET_ROWS))
+    return base
 
 
 def _sort_key_fields(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, Column]]:
@@ -174,7 +182,7 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
     if not two_pass:
         w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(_UNB, 0)
         return df.withColumn(out, F.when(keep, F.sum(column).over(w)))
-    n = n_buckets or _default_buckets(df)
+    n = n_buckets or _default_buckets(df, total)
     bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb, total=total)
     p1 = _bucket_prefix(bdf, pb, {"__s": F.sum(column)})
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
@@ -193,7 +201,7 @@ def row_number(df: DataFrame, order_by: Sequence[str] | str, partition_by: Seque
     two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*order)))
-    n = n_buckets or _default_buckets(df)
+    n = n_buckets or _default_buckets(df, total)
     bdf = with_range_bucket(df, pb + order, n, total=total)
     p1 = _bucket_prefix(bdf, pb, {"__c": F.count(F.lit(1))})
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
@@ -221,7 +229,7 @@ def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "den
     vals0 = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
     t = vals0.agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("vals")).take(1)[0]  # one row
     tot = {"rows": F.lit(t["rows"] or 0), "vals": F.lit(t["vals"] or 0)}
-    vals = _running_count_and_position(vals0, column, n_buckets)
+    vals = _running_count_and_position(vals0, column, n_buckets or _default_buckets(df, t["vals"]))
     le, cnt, dense = F.col("__le"), F.col("__n"), F.col("__d")
     if ascending:
         lo, hi, dn = le - cnt + 1, le, dense
@@ -300,7 +308,7 @@ def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Seque
     if not two_pass:
         w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in cols})
-    n = n_buckets or _default_buckets(df)
+    n = n_buckets or _default_buckets(df, total)
     bdf = with_range_bucket(df, pb + order, n, total=total)
     o = _order_struct(order)
     edge = F.max_by if fwd else F.min_by
@@ -342,12 +350,13 @@ def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_b
         full = F.count(column).over(w) == window
         return frame_df.withColumn(out, F.when(full, agg(column).over(w)))
 
-    two_pass, _ = _use_two_pass(df, two_pass)
+    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         order_cols = order
         return apply(df, pb)
     b = max(block_rows, window - 1, 1)
-    rn = row_number(df, order, pb, two_pass=True, n_buckets=n_buckets, output="__rn")
+    rn = row_number(df, order, pb, two_pass=True, n_buckets=n_buckets or _default_buckets(df, total),
+                    output="__rn")
     rn = rn.withColumn("__blk", F.floor((F.col("__rn") - 1) / b))
     halo = (rn.where(((F.col("__rn") - 1) % b) >= b - (window - 1))
             .withColumn("__blk", F.col("__blk") + 1).withColumn("__halo", F.lit(True)))
