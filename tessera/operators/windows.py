@@ -8,11 +8,12 @@ window partitioned by a key that holds a third of the table is not much
 better. The default form here is two-pass (``two_pass=True``):
 
 1. The composite key (partition columns, order columns) is cut into
-   ``n_buckets`` contiguous ranges. Cut points come from a seeded sample of
-   the key (its size is bounded by ``n_buckets * samples_per_bucket`` rows,
-   not by the data), and a row's bucket is a binary tree of struct
-   comparisons, evaluated inside whole-stage codegen. A hot group is split
-   over many buckets by its order columns.
+   contiguous ranges, about ``BUCKET_TARGET_ROWS`` rows each. Up to
+   ``TREE_MAX_BUCKETS`` buckets, cut points come from a seeded sample of the
+   key (at most 64 keys per bucket reach the driver) and a row's bucket is a
+   binary tree of struct comparisons inside whole-stage codegen; beyond that,
+   Spark's range partitioner assigns the buckets and the result is
+   checkpointed. A hot group is split over many buckets by its order columns.
    Below ``SINGLE_TASK_ROWS`` rows (counted first) the plain window is used:
    its size is checked, and it needs fewer jobs.
 2. Pass 1 aggregates one row per (bucket, group): a sum, a count, the last
