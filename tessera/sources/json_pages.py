@@ -13,23 +13,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 ENVELOPE_KEYS = ("data", "results", "items")
+POST_ENVELOPE_KEYS = ("data",)            # responses of POST requests only use "data"
 # Microsecond timestamps (the default JSON format keeps milliseconds only).
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def unwrap(doc: Column, row_schema: StructType) -> Column:
-    """array<row> held by one response document (string column)."""
+def unwrap(doc: Column, row_schema: StructType, keys: tuple[str, ...] = ENVELOPE_KEYS) -> Column:
+    """array<row> held by one response document (string column); ``keys`` are the
+    envelope fields tried in order."""
     arr = ArrayType(row_schema)
-    env = F.from_json(doc, StructType([StructField(k, arr) for k in ENVELOPE_KEYS]), JSON_OPTIONS)
+    env = F.from_json(doc, StructType([StructField(k, arr) for k in keys]), JSON_OPTIONS)
     trimmed = F.ltrim(doc)
     is_list = trimmed.startswith("[")
     is_obj = trimmed.startswith("{")
     as_list = F.from_json(doc, arr, JSON_OPTIONS)
     as_obj = F.array(F.from_json(doc, row_schema, JSON_OPTIONS))
-    keyed = F.coalesce(*[env[k] for k in ENVELOPE_KEYS])
+    keyed = F.coalesce(*[env[k] for k in keys])
     has_key = F.lit(False)
-    for k in ENVELOPE_KEYS:
+    for k in keys:
         has_key = has_key | F.get_json_object(doc, f"$.{k}").isNotNull()
     return (F.when(is_list, as_list)
             .when(is_obj & has_key, keyed)
@@ -37,9 +39,10 @@ def unwrap(doc: Column, row_schema: StructType) -> Column:
             .otherwise(F.array().cast(arr)))
 
 
-def read_responses(spark: SparkSession, path: str, row_schema: StructType, keep_doc_columns=()) -> DataFrame:
+def read_responses(spark: SparkSession, path: str, row_schema: StructType, keep_doc_columns=(),
+                   keys: tuple[str, ...] = ENVELOPE_KEYS) -> DataFrame:
     docs = spark.read.text(path)
-    rows = docs.select(*keep_doc_columns, F.explode(unwrap(F.col("value"), row_schema)).alias("__r"))
+    rows = docs.select(*keep_doc_columns, F.explode(unwrap(F.col("value"), row_schema, keys)).alias("__r"))
     return rows.select(*keep_doc_columns, "__r.*")
 
 

@@ -58,6 +58,10 @@ def test_json_envelopes(spark, tmp_dir):
     write_text(f"{tmp_dir}/resp/r.json", "\n".join(json.dumps(d) for d in docs))
     got = sorted(r["id"] for r in jp.read_responses(spark, f"{tmp_dir}/resp", ROW).collect())
     assert got == [1, 2, 3, 4, 5, 6, 7]                                  # the scalar gives no rows
+    post = jp.read_responses(spark, f"{tmp_dir}/resp", ROW, keys=jp.POST_ENVELOPE_KEYS).collect()
+    # POST responses know only "data": a "results"/"items" object is one (mostly empty) row
+    assert sorted(r["id"] for r in post if r["id"] is not None) == [1, 2, 5, 6, 7]
+    assert sum(1 for r in post if r["id"] is None) == 2
 
 
 def test_json_pages_stop_rules(spark):
