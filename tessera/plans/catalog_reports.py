@@ -44,13 +44,13 @@ def q_sql_weekly(spark, d):
 
 
 @query("sql_monthly", f"""
-SELECT date, department, round(revenue, 2) AS revenue, round(costs, 2) AS costs, round(profit, 2) AS profit, headcount,
-       round(productivity_index, 2) AS productivity_index, customer_count, new_customers, churned_customers
+SELECT date, department, round(revenue, 4) AS revenue, round(costs, 4) AS costs, round(profit, 4) AS profit, headcount,
+       round(productivity_index, 4) AS productivity_index, customer_count, new_customers, churned_customers
 FROM ({tb.MONTHLY_SQL}) WHERE date >= TIMESTAMP '2000-06-01'
 """)
 def q_sql_monthly(spark, d):
     r = reports.sql_monthly(spark, tb.monthly(spark, d), _dt.date(2000, 6, 15))
-    return r.withColumns({c: _F.round(c, 2) for c in ("revenue", "costs", "profit", "productivity_index")})
+    return rounded(r, 4)
 
 
 _WEEK = f"""(SELECT DISTINCT * FROM ({tb.PERFORMANCE_SQL}) WHERE date >= TIMESTAMP '2024-01-13')"""
@@ -94,16 +94,14 @@ a AS (SELECT department, sum(revenue) AS revenue, sum(costs) AS costs, sum(profi
              arg_max(customer_count, date) AS customer_count, sum(new_customers) AS new_customers,
              sum(churned_customers) AS churned_customers
       FROM m WHERE department IS NOT NULL GROUP BY department)
-SELECT department, round(revenue, 2) AS revenue, round(costs, 2) AS costs, round(profit, 2) AS profit,
-       round(headcount, 4) AS headcount, round(productivity_index, 2) AS productivity_index, customer_count,
+SELECT department, round(revenue, 4) AS revenue, round(costs, 4) AS costs, round(profit, 4) AS profit,
+       round(headcount, 4) AS headcount, round(productivity_index, 4) AS productivity_index, customer_count,
        new_customers, churned_customers, round(profit / revenue * 100, 4) AS profit_margin,
        new_customers - churned_customers AS net_customer_growth
 FROM a ORDER BY profit DESC
 """)
 def q_report_monthly(spark, d):
-    out = reports.monthly_summary(tb.monthly(spark, d))
-    r = out.withColumns({c: _F.round(c, 2) for c in ("revenue", "costs", "profit", "productivity_index")})
-    return rounded(r)
+    return rounded(reports.monthly_summary(tb.monthly(spark, d)), 4)
 
 
 @query("report_training", f"""
@@ -123,8 +121,8 @@ def _monthly_kpi_sql():
     for name, col in kpis:
         c = f"coalesce(sum({col}) FILTER (WHERE date >= TIMESTAMP '2001-07-01' AND date < TIMESTAMP '2001-08-01'), 0)"
         p = f"coalesce(sum({col}) FILTER (WHERE date >= TIMESTAMP '2001-06-01' AND date < TIMESTAMP '2001-07-01'), 0)"
-        parts.append(f"""SELECT '{name}' AS kpi_name, round({c}, 2) AS current, round({p}, 2) AS previous,
-            round({c} - {p}, 2) AS change,
+        parts.append(f"""SELECT '{name}' AS kpi_name, round({c}, 4) AS current, round({p}, 4) AS previous,
+            round({c} - {p}, 4) AS change,
             round(CASE WHEN {p} <> 0 THEN ({c} - {p}) / {p} * 100 ELSE 0 END, 4) AS change_percentage,
             CASE WHEN {c} - {p} > 0 THEN 'up' WHEN {c} - {p} < 0 THEN 'down' ELSE 'stable' END AS trend FROM {m}""")
     return "\nUNION ALL\n".join(parts)
@@ -133,5 +131,5 @@ def _monthly_kpi_sql():
 @query("report_monthly_kpis", _monthly_kpi_sql())
 def q_report_monthly_kpis(spark, d):
     r = reports.monthly_kpis(tb.monthly(spark, d), _dt.date(2001, 7, 15))
-    return r.select("kpi_name", *[_F.round(c, 2).alias(c) for c in ("current", "previous", "change")],
+    return r.select("kpi_name", *[_F.round(c, 4).alias(c) for c in ("current", "previous", "change")],
                     _F.round("change_percentage", 4).alias("change_percentage"), "trend")

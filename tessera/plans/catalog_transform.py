@@ -217,16 +217,15 @@ a AS (SELECT department, sum(revenue) AS revenue, sum(costs) AS costs, sum(profi
              arg_max(customer_count, date) AS customer_count, sum(new_customers) AS new_customers,
              sum(churned_customers) AS churned_customers
       FROM m WHERE department IS NOT NULL GROUP BY department)
-SELECT department, round(revenue, 2) AS revenue, round(costs, 2) AS costs, round(profit, 2) AS profit,
-       round(headcount, 4) AS headcount, round(productivity_index, 2) AS productivity_index, customer_count,
+SELECT department, round(revenue, 4) AS revenue, round(costs, 4) AS costs, round(profit, 4) AS profit,
+       round(headcount, 4) AS headcount, round(productivity_index, 4) AS productivity_index, customer_count,
        new_customers, churned_customers, round(profit / revenue * 100, 4) AS profit_margin,
        new_customers - churned_customers AS net_customer_growth
 FROM a WHERE revenue > 0 ORDER BY profit DESC
 """)
 def q_steps(spark, d):
-    out = apply_transformations(tb.monthly(spark, d), MONTHLY_STEPS, order_by="date")
-    r = out.withColumns({c: F.round(c, 2) for c in ("revenue", "costs", "profit", "productivity_index")})
-    return rounded(r)
+    # money columns have 4 exact decimals (price × (1 - discount)); rounding to 2 would sit on ties
+    return rounded(apply_transformations(tb.monthly(spark, d), MONTHLY_STEPS, order_by="date"), 4)
 
 
 @query("tx_aggregate_median", f"""
