@@ -218,16 +218,19 @@ def drop_columns(df: DataFrame, columns: Sequence[str] | str) -> DataFrame:
 class CleaningLog:
     """Row counts per cleaning step, gathered with ``df.observe`` while the
     final action runs (no extra count jobs). After the action, ``to_frame``
-    returns one row per step: (step, operation, rows_before, rows_after, rows_removed).
+    returns one row per step: (step, operation, rows_before, rows_after,
+    rows_removed, columns_after); column counts come from the schema.
     """
 
     def __init__(self, df: DataFrame):
         self._obs: list[tuple[str, Observation]] = []
+        self._widths: list[int] = []
         self.df = self._tap(df, "original")
 
     def _tap(self, df: DataFrame, name: str) -> DataFrame:
         o = Observation(f"tessera_{len(self._obs)}_{name}")
         self._obs.append((name, o))
+        self._widths.append(len(df.columns))
         return df.observe(o, F.count(F.lit(1)).alias("rows"))
 
     def apply(self, name: str, fn, *args, **kwargs) -> "CleaningLog":
@@ -239,6 +242,7 @@ class CleaningLog:
         rows = []
         for i in range(1, len(counts)):
             before, after = counts[i - 1][1], counts[i][1]
-            rows.append((i, counts[i][0], before, after, before - after))
-        schema = "step int, operation string, rows_before long, rows_after long, rows_removed long"
+            rows.append((i, counts[i][0], before, after, before - after, self._widths[i]))
+        schema = ("step int, operation string, rows_before long, rows_after long, rows_removed long, "
+                  "columns_after int")
         return spark.createDataFrame(rows, schema)

@@ -207,9 +207,10 @@ nn AS (SELECT * FROM d WHERE o_orderstatus IS NOT NULL AND o_totalprice IS NOT N
 s2 AS (SELECT count(*) AS n FROM nn),
 z AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS sd FROM nn),
 s3 AS (SELECT count(*) AS n FROM nn, z WHERE abs(o_totalprice - m) / sd <= 2)
-SELECT 1 AS step, 'remove_duplicates' AS operation, s0.n AS rows_before, s1.n AS rows_after, s0.n - s1.n AS rows_removed FROM s0, s1
-UNION ALL SELECT 2, 'remove_nulls', s1.n, s2.n, s1.n - s2.n FROM s1, s2
-UNION ALL SELECT 3, 'remove_outliers', s2.n, s3.n, s2.n - s3.n FROM s2, s3
+SELECT 1 AS step, 'remove_duplicates' AS operation, s0.n AS rows_before, s1.n AS rows_after, s0.n - s1.n AS rows_removed,
+       6 AS columns_after FROM s0, s1
+UNION ALL SELECT 2, 'remove_nulls', s1.n, s2.n, s1.n - s2.n, 6 FROM s1, s2
+UNION ALL SELECT 3, 'remove_outliers', s2.n, s3.n, s2.n - s3.n, 6 FROM s2, s3
 """)
 def q_summary(spark, d):
     log = cl.CleaningLog(orders_nulls(spark, d))

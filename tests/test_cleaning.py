@@ -98,3 +98,6 @@ def test_cleaning_log(spark, duplicates):
     log.df.write.format("noop").mode("overwrite").save()
     row = log.to_frame(spark).first()
     assert (row["rows_before"], row["rows_after"], row["rows_removed"]) == (5, 3, 2)
+    log2 = cl.CleaningLog(duplicates).apply("drop", cl.drop_columns, ["value"])
+    log2.df.write.format("noop").mode("overwrite").save()
+    assert log2.to_frame(spark).first()["columns_after"] == 2
