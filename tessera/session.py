@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,9 +39,35 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions passed to ``mapInPandas`` and the like are pickled by reference,
+    so a worker must be able to import ``tessera``. Applications started with
+    ``--py-files tessera.zip`` may skip this.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    to = os.path.join(tempfile.mkdtemp(prefix="tessera-package-"), "tessera.zip")
+    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(top, n)
+                    z.write(path, os.path.join("tessera", os.path.relpath(path, here)))
+    sc.addPyFile(to)
+    _SHIPPED.add(sc.applicationId)
+
+
 def _local_heap() -> str:
     """60 % of physical memory, at most 8 GB, at least 1 GB."""
     try:
