@@ -1,12 +1,13 @@
 """Token ids and counts of whole texts, by the ``tokenizers`` library.
 
-A text may be cut before any U+0020 that a non-space character follows: the
-byte-level pre-tokenizer starts a new piece there whatever stands before, and
-neither merges nor added tokens reach over it. So the token sequence of a text
-is the concatenation of the sequences of such chunks. Chunks repeat a lot (words
-with a space before them), so a worker keeps the results of the chunks it has
-seen, up to a fixed number of characters, and sends only new chunks to the
-library, in batches of a fixed number of characters.
+A text may be cut before a space or line feed that stands alone between two
+non-space characters, and between an ASCII letter and a comma or full stop: the
+byte-level pre-tokenizer starts a new piece there, and neither merges nor added
+tokens reach over it. So the token sequence of a text is the
+concatenation of the sequences of such chunks. Chunks repeat a lot (words with a
+space before them), so a worker keeps the results of the chunks it has seen, up
+to a fixed number of characters, and sends only new chunks to the library, in
+batches of a fixed number of characters.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from collections.abc import Callable, Iterator
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark runs one task per core
 
-CUT = re.compile(r" (?=\S)")
-CUT_BACK = re.compile(r"(?s).* (?=\S)")
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+CUT_BACK = re.compile(r"(?s).*\S(?=[ \n]\S)")
+OTHER_SPACE = re.compile(r"[^\S \n]")
+SPACE = "\u0120"             # how the byte-level alphabet writes a space
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 BLOCK_CHARS = 1 << 18       # a long text is handled in blocks of about this many characters
 BATCH_CHARS = 1 << 15       # what one call of the library gets, at least one chunk
-KEPT_CHARS = 4 << 20        # chunks remembered by a worker, in characters
+KEPT_CHARS = 12 << 20       # chunks remembered by a worker, in characters
 
 _CODERS: dict = {}
 
@@ -32,14 +36,8 @@ def blocks(text: str, size: int = BLOCK_CHARS) -> Iterator[str]:
     at = 0
     while len(text) - at > size:
         m = CUT_BACK.match(text, at, at + size)
-        if m:
-            to = m.end() - 1
-        else:
-            n = CUT.search(text, at + size - 1)
-            to = n.start() if n else len(text)
-        if to <= at:
-            n = CUT.search(text, at + 1)
-            to = n.start() if n else len(text)
+        n = m or CUT.search(text, at + size - 1)
+        to = n.end() if n else len(text)
         yield text[at:to]
         at = to
     if at < len(text):
@@ -60,16 +58,18 @@ def by_size(chunks: list[str], limit: int = BATCH_CHARS) -> Iterator[list[str]]:
 
 
 class ChunkCoder:
-    """Remembers ``value(encoding)`` of chunks; ``chunk values`` of a block come in text order."""
+    """Remembers ``value(encoding)`` of chunks; values of neighbouring chunks add up."""
 
-    def __init__(self, path: str, value: Callable):
+    def __init__(self, path: str, value: Callable, of_tokens: Callable):
         from tokenizers import Tokenizer
 
-        self.tok, self.value = Tokenizer.from_file(path), value
+        self.tok, self.value, self.of_tokens = Tokenizer.from_file(path), value, of_tokens
+        self.model = self.tok.model
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.kept: dict = {}        # chunk without its leading space -> value
+        self.kept: dict = {}        # chunk (without a leading space) -> value
         self.chars = 0
+        self.tail = dict(zip(",.", self.encode([",", "."])))
 
     def encode(self, texts: list[str]) -> list:
         out = []
@@ -78,34 +78,47 @@ class ChunkCoder:
         return out
 
     def values(self, block: str) -> list:
-        chunks = block.split(" ")
-        head = chunks[0]
-        del chunks[0]
+        """The values of the block's chunks, in text order."""
+        chunks = block.replace("\n", " \n").split(" ")
+        head = chunks.pop(0)
         new = set(chunks).difference(self.kept)
-        if any(not c or c[0].isspace() for c in new):        # runs of white space: cut only where it is safe
-            chunks = CUT.split(block)
-            head = chunks[0]
-            del chunks[0]
-            new = set(chunks).difference(self.kept)
+        if "" in new or "\n" in new or OTHER_SPACE.search(block):
+            return self.encode(CUT.split(block))      # runs of white space: cut only where it is safe, remember nothing
         if new:
             if self.chars > KEPT_CHARS:
                 self.kept.clear()
                 self.chars = 0
                 new = set(chunks)
-            new = list(new)
-            self.kept.update(zip(new, self.encode([" " + c for c in new])))
-            self.chars += sum(map(len, new))
+            self.learn(new)
         out = list(map(self.kept.__getitem__, chunks))
         if head:
             out[:0] = self.encode([head])
         return out
 
+    def learn(self, new: set[str]) -> None:
+        kept, tail = self.kept, self.tail
+        ended = [c for c in new if c[-1] in tail and c[-2:-1] in LETTERS]
+        plain = new.difference(ended)
+        plain.update({c[:-1] for c in ended}.difference(kept))
+        # a space and ASCII letters are one piece of the pre-tokenizer: they go straight to the library's model
+        letters = [c for c in plain if c.isascii() and c.isalpha()]
+        tokenize, of_tokens = self.model.tokenize, self.of_tokens
+        kept.update((c, of_tokens(tokenize(SPACE + c))) for c in letters)
+        rest = list(plain.difference(letters))
+        kept.update(zip(rest, self.encode([c if c[0] == "\n" else " " + c for c in rest])))
+        for c in ended:
+            kept[c] = kept[c[:-1]] + tail[c[-1]]
+        self.chars += sum(map(len, new)) + sum(map(len, plain))
+
 
 def _coder(path: str, kind: str) -> ChunkCoder:
     """One coder per worker process, tokenizer and kind of value."""
     if (path, kind) not in _CODERS:
-        value = len if kind == "count" else lambda e: array("I", e.ids).tobytes()
-        _CODERS[path, kind] = ChunkCoder(path, value)
+        if kind == "count":
+            _CODERS[path, kind] = ChunkCoder(path, len, len)
+        else:
+            _CODERS[path, kind] = ChunkCoder(path, lambda e: array("I", e.ids).tobytes(),
+                                             lambda tokens: array("I", [t.id for t in tokens]).tobytes())
     return _CODERS[path, kind]
 
 
