@@ -94,6 +94,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = (chunks.groupBy("digest", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("digest", "size", F.col("first.doc_id").alias("first_doc_id"),
                                     F.col("first.key").alias("key0"), F.col("first.i").alias("i0")))
+    first = staged(first, "first-chunks")    # so the join below reads plain exchanges, of which a hot one can be split
     repeats = (chunks.join(first, ["digest", "size"])
                .where((F.col("key") != F.col("key0")) | (F.col("i") != F.col("i0"))))
     rank = F.row_number().over(Window.partitionBy("key").orderBy("i"))

@@ -43,8 +43,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               F.monotonically_increasing_id().alias("row")), "digests")
     best = F.min(F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("x"),
                           F.col("doc_id").alias("id"), F.col("row").alias("row")))
-    groups = (rows.where("open").groupBy("sha").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
-              .where("n > 1"))
+    # written first: so the join below reads plain exchanges, of which a hot one can be split
+    groups = staged(rows.where("open").groupBy("sha").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
+                    .where("n > 1"), "groups")
     return (rows.join(groups, "sha", "left")
             .select("doc_id", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("best.id")).alias("keep_id"),
                     F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),

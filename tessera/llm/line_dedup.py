@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 GRAM = 2
 WINDOW = 2
 
@@ -68,6 +70,7 @@ def repeated_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> D
     first = (prints.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
              .select("hash", F.col("first.key").alias("key0"), F.col("first.pos").alias("pos0"),
                      F.col("first.before").alias("before0"), F.col("first.after").alias("after0")))
+    first = staged(first, "first-lines")     # so the join below reads plain exchanges, of which a hot one can be split
     later = prints.join(first, "hash").where((F.col("key") != F.col("key0")) | (F.col("pos") > F.col("pos0")))
     lines = F.sequence(F.col("pos") - _same("before", "before0"),
                        F.col("pos") + F.col("lines") - 1 + _same("after", "after0"))

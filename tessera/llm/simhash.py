@@ -131,8 +131,8 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, shard: int = SHAR
     pairs = list(combinations(range(len(BLOCKS)), 2))
     keys = [F.lit(k << 26).bitwiseOR(F.shiftleft(block[i], 13)).bitwiseOR(block[j]) for k, (i, j) in enumerate(pairs)]
     keyed = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
-    sizes = keyed.groupBy("key").count().where("count > 1").select(
-        "key", F.ceil(F.col("count") / shard).alias("parts"))
+    sizes = staged(keyed.groupBy("key").count().where("count > 1").select(
+        "key", F.ceil(F.col("count") / shard).alias("parts")), "shard-sizes")
     own = F.pmod(F.xxhash64("fp"), F.col("parts"))
     meet = (keyed.join(sizes, "key").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
