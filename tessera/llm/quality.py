@@ -185,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bits:
     # a hash of doc_id chooses about `sample` rows; one in four of them calibrates the scores
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     taken = F.when(draw < int(sample / max(n, 1) * (1 << 30)), F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)))
-    marked = (documents(docs).where(F.col("doc_id").isNotNull() & ~held_out()).join(marks, "doc_id")
+    # labels grow with the documents: both sides are sorted and merged at every size
+    marked = (documents(docs).where(F.col("doc_id").isNotNull() & ~held_out()).join(marks.hint("merge"), "doc_id")
               .withColumn("taken", taken.cast("long")).select("text", "label", "taken"))
     found = staged(marked.mapInArrow(lambda b: _counts_and_sample(b, bits), "kind long, label int, data binary"), "counted")
     sums = found.where("kind >= 0").repartition("kind").mapInArrow(_sums, "kind long, label int, data binary").toPandas()
