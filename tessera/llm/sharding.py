@@ -30,7 +30,7 @@ def propagate(units: DataFrame, n: int, shards: int, rounds: int = ROUNDS) -> Da
     """``units`` (hub, part, size, shard) after moves; the load of a shard never passes its capacity by a move.
 
     Each round a group prefers, among the shards with room, the one that holds
-    most of it. A unit moves if that lowers the number of cut links. A shard
+    most of it, then the one with most room. A unit moves if that lowers the number of cut links. A shard
     takes moves in the order of their gain as far as its room goes: the moves are
     counted by (shard, gain class, hash level), at most ``shards * 64 * LEVELS`` rows.
     """
@@ -43,7 +43,7 @@ def propagate(units: DataFrame, n: int, shards: int, rounds: int = ROUNDS) -> Da
             (_capacity(n, shards, F.col("shard")) - F.coalesce("load", F.lit(0))).alias("room")), "room")
         held = units.groupBy("hub", "shard").agg(F.sum("size").alias("held"))
         best = (held.join(room.where("room > 0"), F.col("shard") == F.col("to")).groupBy("hub")
-                .agg(F.max(F.struct("held", F.xxhash64("hub", "shard").alias("tie"), "shard")).alias("best"))
+                .agg(F.max(F.struct("held", "room", "shard")).alias("best"))
                 .select("hub", F.col("best.shard").alias("to"), F.col("best.held").alias("there")))
         here = held.withColumnRenamed("held", "here")
         gain = F.col("there") - (F.col("here") - F.col("size"))
