@@ -103,6 +103,8 @@ def contains_regex(c: str | Column, pattern: str) -> Column:
 def sort_exprs(by: Sequence[str] | str, ascending: bool | Sequence[bool] = True) -> list[Column]:
     by = as_list(by)
     asc = as_list(ascending) if isinstance(ascending, (list, tuple)) else [ascending] * len(by)
+    if len(asc) != len(by):
+        raise ValueError(f"{len(by)} sort columns but {len(asc)} directions")
     return [F.col(b).asc_nulls_last() if a else F.col(b).desc_nulls_last() for b, a in zip(by, asc)]
 
 

@@ -21,8 +21,9 @@ from ..functions.nulls import as_list, col_of, numeric_columns, string_columns
 
 
 def _order_key(order_by) -> Column:
+    """A key whose order is that of the columns with NULLs last; never NULL itself, so no group loses its row."""
     cols = [col_of(c) for c in as_list(order_by)]
-    return cols[0] if len(cols) == 1 else F.struct(*cols)
+    return F.struct(*[x for i, c in enumerate(cols) for x in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))])
 
 
 def remove_duplicates(df: DataFrame, subset: Sequence[str] | str | None = None, keep: str | bool = "first",
@@ -32,7 +33,7 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] | str | None = None,
     keep='first'/'last' keeps the row with the smallest/largest ``order_by``
     inside each duplicate group; without a subset all copies are identical and
     any one is kept. keep=False removes every row whose key occurs more than
-    once. All forms are aggregates (hash partial aggregation before the
+    once. All forms are aggregates (partial aggregation before the
     shuffle), so a key holding a third of the table is combined map-side
     instead of landing whole in one task.
     """

@@ -32,11 +32,12 @@ plain window form, used in tests as the reference.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import as_list
+from ..functions.nulls import as_list, sort_exprs
 
 BUCKET = "__bucket"
 _SAMPLES_PER_BUCKET = 64
@@ -164,7 +165,10 @@ def _bucket_prefix(bdf: DataFrame, pb: list[str], aggs: dict[str, Column]) -> Da
 def _join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool) -> DataFrame:
     # The pass-1 table has at most n_buckets rows when there is no partition key:
     # a proven bound, so it is broadcast. With groups its size is left to the planner.
-    return big.join(F.broadcast(small) if bounded else small, on, "left")
+    # NULL group keys match each other, as they share a window.
+    small = small.withColumnsRenamed({k: f"__{k}_small" for k in on})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}_small")) for k in on])
+    return big.join(F.broadcast(small) if bounded else small, cond, "left").drop(*[f"__{k}_small" for k in on])
 
 
 def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
@@ -181,7 +185,7 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
         keep = keep & F.col(p).isNotNull()
     two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
-        w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(_UNB, 0)
+        w = Window.partitionBy(*pb).orderBy(*sort_exprs(order)).rowsBetween(_UNB, 0)
         return df.withColumn(out, F.when(keep, F.sum(column).over(w)))
     n = n_buckets or _default_buckets(df, total)
     bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb, total=total)
@@ -189,7 +193,7 @@ def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre"))
     j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
-    w = Window.partitionBy(BUCKET, *pb).orderBy(*order).rowsBetween(_UNB, 0)
+    w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order)).rowsBetween(_UNB, 0)
     res = j.withColumn(out, F.when(keep, F.col("__pre") + F.sum(column).over(w)))
     return res.drop(BUCKET, "__pre")
 
@@ -201,14 +205,14 @@ def row_number(df: DataFrame, order_by: Sequence[str] | str, partition_by: Seque
     pb = as_list(partition_by)
     two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
-        return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*order)))
+        return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*sort_exprs(order))))
     n = n_buckets or _default_buckets(df, total)
     bdf = with_range_bucket(df, pb + order, n, total=total)
     p1 = _bucket_prefix(bdf, pb, {"__c": F.count(F.lit(1))})
     wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
     p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__c").over(wp), F.lit(0)).alias("__pre"))
     j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
-    w = Window.partitionBy(BUCKET, *pb).orderBy(*order)
+    w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order))
     return j.withColumn(output, F.col("__pre") + F.row_number().over(w)).drop(BUCKET, "__pre")
 
 
@@ -307,7 +311,7 @@ def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Seque
     pick = F.last if fwd else F.first
     two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
-        w = Window.partitionBy(*pb).orderBy(*order).rowsBetween(*frame)
+        w = Window.partitionBy(*pb).orderBy(*sort_exprs(order)).rowsBetween(*frame)
         return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in cols})
     n = n_buckets or _default_buckets(df, total)
     bdf = with_range_bucket(df, pb + order, n, total=total)
@@ -318,7 +322,7 @@ def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Seque
           else Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(1, _UNF))
     p1 = p1.select(BUCKET, *pb, *[pick(f"__e_{c}", ignorenulls=True).over(wp).alias(f"__in_{c}") for c in cols])
     j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
-    w = Window.partitionBy(BUCKET, *pb).orderBy(*order).rowsBetween(*frame)
+    w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order)).rowsBetween(*frame)
     res = j.withColumns({c: F.coalesce(pick(c, ignorenulls=True).over(w), F.col(f"__in_{c}")) for c in cols})
     return res.drop(BUCKET, *[f"__in_{c}" for c in cols])
 

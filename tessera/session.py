@@ -29,8 +29,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
     }
+    # off local masters the cluster's own setting stands unless one is passed
+    if shuffle_partitions or (master and master.startswith("local")):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cores)
     if master and master.startswith("local"):
         # local mode: executors live in the driver JVM, so its heap is the only memory knob
         conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", _local_heap())
@@ -81,8 +83,8 @@ def _local_heap() -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when the session has none (local runs and tests).
+    The cluster names it in ``spark.checkpoint.dir``; a temporary folder stands
+    in only on local masters. Elsewhere a session without the setting raises.
     """
     try:
         sc = spark.sparkContext
@@ -94,6 +96,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is not None and not (sc.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
         if sc is None:
             try:

@@ -46,12 +46,13 @@ def read_responses(spark: SparkSession, path: str, row_schema: StructType, keep_
     return rows.select(*keep_doc_columns, "__r.*")
 
 
-def paginate(pages: DataFrame, page_column: str, limit: int = 100, max_pages: int = 100) -> DataFrame:
-    """Rows of pages 1..max_pages up to the first short or empty page (kept, as the
+def paginate(pages: DataFrame, page_column: str, limit: int = 100, max_pages: int | None = None) -> DataFrame:
+    """Rows of pages 1..max_pages (default: all) up to the first short or empty page (kept, as the
     client appends it before stopping) or the first missing page (not kept).
 
     ``pages`` holds one row per record with its page number. The stop page comes
-    from the per-page counts (one row per page, at most ``max_pages`` rows kept)."""
+    from the per-page counts (one row per page, one more than the last page at most)."""
+    max_pages = max_pages or (1 << 31) - 2
     counts = (pages.where(F.col(page_column).between(1, max_pages))
               .groupBy(page_column).agg(F.count(F.lit(1)).alias("__n")))
     spine = counts.agg(F.max(page_column).alias("__hi")).select(

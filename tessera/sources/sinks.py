@@ -15,15 +15,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
 
 def write_bundle(spark: SparkSession, tables: dict[str, DataFrame], folder: str, fmt: str = "parquet",
                  mode: str = "overwrite") -> DataFrame:
-    """Write several named tables, one folder each (names cut to 31 characters,
-    empty tables allowed), counting rows while writing (``observe``), and a
+    """Write several named tables, one folder each under its full name (empty
+    tables allowed; the manifest's names are cut to 31 characters and made unique), counting rows while writing (``observe``), and a
     ``_manifest`` table (name, path, rows, format) beside them."""
     base = folder.rstrip("/")
-    entries = []
+    entries, taken = [], set()
     for name, df in tables.items():
-        short = name[:31]
-        obs = Observation(f"bundle_{short}")
-        target = f"{base}/{short}"
+        short, k = name[:31], 1
+        while short in taken:
+            k += 1
+            short = f"{name[:30 - len(str(k))]}~{k}"
+        taken.add(short)
+        obs = Observation(f"bundle_{name}")
+        target = f"{base}/{name}"
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).option("header", "true") \
             .save(target)
         entries.append((short, target, int(obs.get["rows"]), fmt))

@@ -101,3 +101,10 @@ def test_cleaning_log(spark, duplicates):
     log2 = cl.CleaningLog(duplicates).apply("drop", cl.drop_columns, ["value"])
     log2.df.write.format("noop").mode("overwrite").save()
     assert log2.to_frame(spark).first()["columns_after"] == 2
+
+
+def test_dedup_keeps_rows_whose_order_key_is_null(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, 5, "b"), (2, None, "c")], "k long, o long, v string")
+    for keep, two in (("first", "b"), ("last", "c")):
+        got = cl.remove_duplicates(df, "k", keep=keep, order_by="o").collect()
+        assert {(r["k"], r["v"]) for r in got} == {(1, "a"), (2, two)}

@@ -135,6 +135,8 @@ def test_bundle_and_manifest(spark, employees, tmp_dir):
     m = sk.write_bundle(spark, {"employees": employees, "x" * 40: employees.where("false")}, f"{tmp_dir}/b")
     rows = {r["name"]: r["rows"] for r in m.collect()}
     assert rows == {"employees": 5, "x" * 31: 0}
+    twins = sk.write_bundle(spark, {"y" * 31 + "a": employees, "y" * 31 + "b": employees.limit(2)}, f"{tmp_dir}/twins").collect()
+    assert len({r["name"] for r in twins}) == 2 and sorted(spark.read.parquet(r["path"]).count() for r in twins) == [2, 5]
     files = sk.file_manifest(spark, f"{tmp_dir}/b/employees", "*.parquet").collect()
     for f in files:
         local = f["path"].replace("file:", "")

@@ -61,5 +61,15 @@ def test_entry_and_registry_consistent(spark):
     qs, sqls = entry.queries(), entry.oracle_sql()
     assert set(sqls) <= set(qs)
     assert len(qs) >= 150
-    assert not any(k.startswith("op") or "pipeline" in k for k in qs)
     assert os.path.exists(os.path.join(os.path.dirname(entry.__file__), "bench.py"))
+
+
+def test_existing_shuffle_partitions_stay_off_local_masters(spark):
+    from tessera.session import get_spark
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert get_spark().conf.get("spark.sql.shuffle.partitions") == "37"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
