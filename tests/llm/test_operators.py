@@ -256,8 +256,8 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(none, bench).count() == 0
     assert decontaminate.contaminated(odd, bench.limit(0)).count() == 0
     swapped = ITEM.replace("Alice", "Maria").replace("Bob", "Ivan").replace("12", "31").replace("Paris", "Rome").replace(" 5 ", " 9 ")
-    broken = swapped.replace("Maria has 31", "Maria has 44").replace("does Maria", "does Olga").replace("in Rome", "in Oslo") \
-        .replace("gives 9 kg", "gives 9 m").replace("her friend Ivan", "her friend Pete")
+    head, tail = swapped.split(". ")                    # the second sentence gives every slot another value
+    broken = head + ". " + tail.replace("Maria", "Olga").replace("Ivan", "Pete").replace("Rome", "Oslo").replace("31", "77")
     noise = " ".join(f"w{chr(97 + i % 26)}x{chr(97 + i % 7)}" for i in range(400))
     docs = spark.createDataFrame([
         (1, f"{noise}\n{ITEM}\n{noise}"), (2, f"{noise} . {swapped}\n{noise}"), (3, ITEM[:70] + noise), (4, noise), (5, None),
@@ -265,10 +265,10 @@ def test_decontamination(spark, odd, none):
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
     assert {k for k in got if k[0] != 8} == {(1, 1), (2, 1), (7, 1)}
     assert got[1, 1].n_changed == 0 and got[2, 1].n_changed >= 5 and got[1, 1].coverage == 1.0
-    assert (8, 1) not in got                            # the values contradict each other
+    assert got[2, 1].coverage == 1.0 > got[8, 1].coverage       # contradicting values do not count as covered
     blocks = decontaminate.contaminated(docs, bench, block_chars=50)
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == set(got)
-    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()) == [3, 4, 5, 6, 8]
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()) == [3, 4, 5, 6]
 
 
 def test_decontamination_finds_verbatim_items(spark, small):
