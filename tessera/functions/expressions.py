@@ -3,7 +3,9 @@
 The text is parsed with Python's own ``ast`` module (pandas ``eval`` uses
 Python expression syntax) and turned into a Spark Column tree, so the work
 stays in whole-stage codegen. Division becomes ``try_divide`` (N18: NULL
-instead of inf/NaN).
+instead of inf/NaN). ``%`` takes the sign of the divisor. A comparison with a
+missing value is False, ``!=`` is True. ``&``, ``|`` and ``~`` work on
+conditions like ``and``, ``or`` and ``not``.
 """
 
 from __future__ import annotations
@@ -15,18 +17,31 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def _mod(a: Column, b: Column) -> Column:
+    r = F.try_mod(a, b)
+    return F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
+
+
+def _compare(op, missing: bool):
+    return lambda a, b: F.coalesce(op(a, b), F.lit(missing))
+
+
 _BIN = {
     ast.Add: operator.add,
     ast.Sub: operator.sub,
     ast.Mult: operator.mul,
     ast.Div: lambda a, b: F.try_divide(a, b),
-    ast.Mod: lambda a, b: F.try_mod(a, b),
+    ast.Mod: _mod,
+    ast.BitAnd: operator.and_,
+    ast.BitOr: operator.or_,
     ast.Pow: lambda a, b: F.pow(a, b),
     ast.FloorDiv: lambda a, b: F.floor(F.try_divide(a, b)),
 }
 _CMP = {
-    ast.Eq: operator.eq, ast.NotEq: operator.ne, ast.Lt: operator.lt,
-    ast.LtE: operator.le, ast.Gt: operator.gt, ast.GtE: operator.ge,
+    ast.Eq: _compare(operator.eq, False), ast.NotEq: _compare(operator.ne, True),
+    ast.Lt: _compare(operator.lt, False), ast.LtE: _compare(operator.le, False),
+    ast.Gt: _compare(operator.gt, False), ast.GtE: _compare(operator.ge, False),
 }
 
 

@@ -139,9 +139,14 @@ def compare_kpis(current: DataFrame, previous: DataFrame, kpis: Sequence[Kpi]) -
     """Per KPI: current, previous, change, change_percentage (0 if previous is 0), trend.
 
     Both periods go through one aggregate grouped by a period tag; the rest
-    works on two rows."""
-    tagged = current.withColumn("__period", F.lit("current")).unionByName(
-        previous.withColumn("__period", F.lit("previous")), allowMissingColumns=True)
+    works on two rows. Where both come from one table, tag its rows instead
+    (``compare_tagged``), so that it is read once."""
+    return compare_tagged(current.withColumn("__period", F.lit("current")).unionByName(
+        previous.withColumn("__period", F.lit("previous")), allowMissingColumns=True), kpis)
+
+
+def compare_tagged(tagged: DataFrame, kpis: Sequence[Kpi]) -> DataFrame:
+    """``compare_kpis`` of one table whose column ``__period`` is 'current' or 'previous'."""
     wide = kpi_frame(tagged, kpis, ["__period"])
     long = wide.select("__period", F.inline(F.array(*[
         F.struct(F.lit(k.name).alias("kpi_name"), F.col(k.name).alias("value")) for k in kpis])))

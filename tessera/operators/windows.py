@@ -1,32 +1,30 @@
 """Order-dependent operators: running sums, ranks, forward/backward fill, rolling windows.
 
 Spark rows have no order, so every operator takes an explicit ``order_by``
-(with a unique tie-breaker where the result depends on it).
+(with a unique tie-breaker where the result depends on it). NULL order keys
+come last, NULL groups form one window, NaN counts as missing.
 
 Scaling. A window without ``partitionBy`` moves every row into one task, and a
 window partitioned by a key that holds a third of the table is not much
-better. The default form here is two-pass (``two_pass=True``):
-
-1. The composite key (partition columns, order columns) is cut into
-   contiguous ranges, about ``BUCKET_TARGET_ROWS`` rows each. Up to
-   ``TREE_MAX_BUCKETS`` buckets, cut points come from a seeded sample of the
-   key (at most 64 keys per bucket reach the driver) and a row's bucket is a
-   binary tree of struct comparisons inside whole-stage codegen; beyond that,
-   Spark's range partitioner assigns the buckets and the result is
-   checkpointed. A hot group is split over many buckets by its order columns.
-   Below ``SINGLE_TASK_ROWS`` rows (counted first) the plain window is used:
-   its size is checked, and it needs fewer jobs.
+better. So there is one form for every size:
+
+1. The composite key (partition columns, order columns) is cut into contiguous
+   ranges by Spark's range partitioner (``repartitionByRange``); a row's bucket
+   is its range partition. A hot group is split over many buckets by its order
+   columns. The bucketed rows are checkpointed in the shared folder, so what
+   follows reads them and not the input, which is evaluated twice (the
+   partitioner's sample and the shuffle).
 2. Pass 1 aggregates one row per (bucket, group): a sum, a count, the last
-   non-null value. A window over that small table gives each bucket what comes
-   before it (an exclusive prefix, a carry-in value).
-3. Pass 2 runs the ordinary window inside (bucket, group) and combines it
-   with the carry-in from pass 1 (joined on the bucket; broadcast when the
-   pass-1 table is bounded by ``n_buckets``).
-
-Ranks with ties are computed on the distinct values with their counts
-(aggregated map-side, so a hot value is one row), ranked with the two-pass
-running count and joined back on the value. ``two_pass=False`` gives the
-plain window form, used in tests as the reference.
+   non-null value. A window over that table gives what earlier buckets hold of
+   a group. Only the first group of a bucket can go on from an earlier one, so
+   the carry table has at most one row per bucket.
+3. Pass 2 joins the carry on the bucket and runs the ordinary window inside
+   (bucket, group); both use the same exchange.
+
+Ranks with ties cut the key (value, hash of the row), so a hot value spreads
+over buckets too; its counts per bucket are added up and joined back on
+(bucket, value). ``two_pass=False`` is the plain window, for a caller who knows
+that every group fits a task; tests use it as the reference.
 """
 
 from __future__ import annotations
@@ -36,188 +34,92 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.nulls import as_list, sort_exprs
+from ..functions.nulls import as_list, nan_to_null, sort_exprs
+from ..session import ensure_checkpoint_dir
 
 BUCKET = "__bucket"
-_SAMPLES_PER_BUCKET = 64
-# Size check for the plain form: at or below this many rows one task holds the
-# whole frame comfortably, so the plain window (fewer jobs) is chosen; above
-# it the two-pass form. ``two_pass=True/False`` overrides the check.
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def _use_two_pass(df: DataFrame, two_pass: bool | None) -> tuple[bool, int | None]:
-    """(two-pass?, row count if it was counted)."""
-    if two_pass is not None:
-        return two_pass, None
-    n = df.count()
-    return n > SINGLE_TASK_ROWS, n
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
 
-# Target rows per bucket of the two-pass form: pass 2 runs one window per bucket
-# in one task, so buckets are sized to the data, never fewer than the shuffle partitions.
-BUCKET_TARGET_ROWS = 2_000_000
-
-
-def _default_buckets(df: DataFrame, total: int | None = None) -> int:
-    base = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    if total:
-        base = max(base, -(-total // BUCKET_TARGET_ROWS))
-    return base
-
-
-def _sort_key_fields(df: DataFrame, cols: Sequence[str]) -> list[tuple[str, Column]]:
-    """(name, expr) pairs whose struct ordering equals ``ORDER BY c ASC NULLS LAST``."""
-    out = []
-    for i, c in enumerate(cols):
-        out.append((f"n{i}", F.col(c).isNull()))
-        out.append((f"v{i}", F.col(c)))
-    return out
-
-
-def _numeric_cut_buckets(df: DataFrame, col: str, n: int) -> DataFrame:
-    """Buckets for a single non-null numeric key that is unique (e.g. a distinct-value
-    table): cut points from one ``percentile_approx`` job (memory O(accuracy))."""
-    qs = [i / n for i in range(1, n)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, max(10000, 100 * n)).alias("q")).take(1)
-    cuts = sorted(set(v for v in (row[0]["q"] or []) if v is not None)) if row else []
-    x = F.col(col).cast("double")
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(x < F.lit(cuts[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return df.withColumn(BUCKET, tree(0, len(cuts)))
-
-
-# Up to this many buckets the bucket is a CASE tree of cut points (cheap, no extra
-# write); beyond it Spark's range partitioner assigns them (binary search over the
-# bounds) and the assignment is checkpointed so both passes see the same one.
-TREE_MAX_BUCKETS = 1024
-
+def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | None = None,
+                      ascending: bool | Sequence[bool] = True) -> DataFrame:
+    """Add ``__bucket``: contiguous ranges of the key ``key_cols`` (NULLs last), equal keys in one.
 
-def _partitioner_buckets(df: DataFrame, key_cols: Sequence[str], n: int) -> DataFrame:
-    """Bucket = index of the range partition (Spark's RangePartitioner: sampled
-    bounds, equal keys in one partition, partition i holds the i-th range). The
-    result is checkpointed (reliable, into ``spark.checkpoint.dir``), so the
-    passes that read it share one assignment even if executors are lost."""
-    from ..session import ensure_checkpoint_dir
+    ``n_buckets`` defaults to ``spark.sql.shuffle.partitions``. The result is
+    checkpointed (reliable, into ``spark.checkpoint.dir``), so all passes share
+    one assignment even if executors are lost.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in key_cols])
+    n = n_buckets or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(n, *sort_exprs(list(key_cols), ascending))
     return ranged.withColumn(BUCKET, F.spark_partition_id()).checkpoint(eager=True)
 
 
-def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | None = None,
-                      seed: int = 17, unique_numeric_key: bool = False, total: int | None = None) -> DataFrame:
-    """Add ``__bucket``: contiguous ranges of the key ``key_cols`` (ascending, NULLs last)."""
-    n = n_buckets or _default_buckets(df)
-    if n > TREE_MAX_BUCKETS:
-        return _partitioner_buckets(df, key_cols, n)
-    if unique_numeric_key and len(key_cols) == 1 and n > 1:
-        return _numeric_cut_buckets(df, key_cols[0], n)
-    fields = _sort_key_fields(df, key_cols)
-    key = F.struct(*[e.alias(name) for name, e in fields])
-    if n <= 1:
-        return df.withColumn(BUCKET, F.lit(0))
-    total = df.count() if total is None else total
-    if total == 0:
-        return df.withColumn(BUCKET, F.lit(0))
-    frac = min(1.0, n * _SAMPLES_PER_BUCKET / total)
-    sample = (df.select(key.alias("k")).sample(False, frac, seed).select("k.*")
-              .orderBy(*[F.col(name) for name, _ in fields]).collect())
-    if not sample:
-        return df.withColumn(BUCKET, F.lit(0))
-    cuts = []
-    for i in range(1, n):
-        row = sample[min(len(sample) - 1, i * len(sample) // n)]
-        if not cuts or tuple(row) != tuple(cuts[-1]):
-            cuts.append(row)
-    types = {name: e for name, e in fields}
-    dtypes = dict(df.select(*[e.alias(name) for name, e in fields]).dtypes)
-
-    def lit_struct(row):
-        return F.struct(*[F.lit(row[name]).cast(dtypes[name]).alias(name) for name in types])
-
-    def tree(lo: int, hi: int) -> Column:
-        # bucket b holds keys with cuts[b-1] <= key < cuts[b]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lit_struct(cuts[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return df.withColumn(BUCKET, tree(0, len(cuts)))
-
-
 def _order_struct(cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
-
+    """A struct that compares like ``ORDER BY cols ASC NULLS LAST``."""
+    return F.struct(*[x for c in cols for x in (F.col(c).isNull(), F.col(c))])
 
-def _bucket_prefix(bdf: DataFrame, pb: list[str], aggs: dict[str, Column]) -> DataFrame:
-    """Pass 1: one row of aggregates per (bucket, group)."""
-    return bdf.groupBy(BUCKET, *pb).agg(*[e.alias(k) for k, e in aggs.items()])
 
+def _with_carry(bdf: DataFrame, pb: list[str], aggs: dict[str, Column], carry: dict[str, Column],
+                forward: bool = True) -> DataFrame:
+    """``bdf`` with what the buckets before (``forward``) or after hold of a row's group.
 
-def _join_small(big: DataFrame, small: DataFrame, on: list[str], bounded: bool) -> DataFrame:
-    # The pass-1 table has at most n_buckets rows when there is no partition key:
-    # a proven bound, so it is broadcast. With groups its size is left to the planner.
-    # NULL group keys match each other, as they share a window.
-    small = small.withColumnsRenamed({k: f"__{k}_small" for k in on})
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}_small")) for k in on])
-    return big.join(F.broadcast(small) if bounded else small, cond, "left").drop(*[f"__{k}_small" for k in on])
+    ``aggs`` are the pass-1 aggregates per (bucket, group), ``carry`` aggregates over them; NULL
+    for a group that does not go on from another bucket.
+    """
+    w = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(*((_UNB, -1) if forward else (1, _UNF)))
+    p1 = bdf.groupBy(BUCKET, *pb).agg(*[e.alias(k) for k, e in aggs.items()])
+    p1 = (p1.select(BUCKET, *[F.col(p).alias(f"__g_{p}") for p in pb], F.count(F.lit(1)).over(w).alias("__others"),
+                    *[e.over(w).alias(k) for k, e in carry.items()])
+          .where("__others > 0"))                      # at most one group of each bucket
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__g_{p}")) for p in pb], F.col("__others").isNotNull())
+    return (bdf.join(p1, BUCKET, "left").withColumns({k: F.when(same, F.col(k)) for k in carry})
+            .drop("__others", *[f"__g_{p}" for p in pb]))
 
 
 def cumulative_sum(df: DataFrame, column: str, order_by: Sequence[str] | str,
-                   partition_by: Sequence[str] | str | None = None, two_pass: bool | None = None,
-                   n_buckets: int | None = None, output: str | None = None,
-                   unique_numeric_key: bool = False) -> DataFrame:
+                   partition_by: Sequence[str] | str | None = None, two_pass: bool = True,
+                   n_buckets: int | None = None, output: str | None = None) -> DataFrame:
     """Running total ``{column}_cumsum`` in ``order_by`` order (N15: NULL at a NULL
     value or NULL group key, the total carries on past it)."""
     order = as_list(order_by)
     pb = as_list(partition_by)
     out = output or f"{column}_cumsum"
+    df = nan_to_null(df, [column])
     keep = F.col(column).isNotNull()
     for p in pb:
         keep = keep & F.col(p).isNotNull()
-    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         w = Window.partitionBy(*pb).orderBy(*sort_exprs(order)).rowsBetween(_UNB, 0)
         return df.withColumn(out, F.when(keep, F.sum(column).over(w)))
-    n = n_buckets or _default_buckets(df, total)
-    bdf = with_range_bucket(df, pb + order, n, unique_numeric_key=unique_numeric_key and not pb, total=total)
-    p1 = _bucket_prefix(bdf, pb, {"__s": F.sum(column)})
-    wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
-    p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre"))
-    j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
+    bdf = with_range_bucket(df, pb + order, n_buckets)
+    j = _with_carry(bdf, pb, {"__s": F.sum(column)}, {"__pre": F.sum("__s")})
     w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order)).rowsBetween(_UNB, 0)
-    res = j.withColumn(out, F.when(keep, F.col("__pre") + F.sum(column).over(w)))
-    return res.drop(BUCKET, "__pre")
+    total = F.coalesce(F.col("__pre"), F.lit(0)) + F.sum(column).over(w)
+    return j.withColumn(out, F.when(keep, total)).drop(BUCKET, "__pre")
 
 
 def row_number(df: DataFrame, order_by: Sequence[str] | str, partition_by: Sequence[str] | str | None = None,
-               two_pass: bool | None = None, n_buckets: int | None = None, output: str = "row_number") -> DataFrame:
+               two_pass: bool = True, n_buckets: int | None = None, output: str = "row_number",
+               ascending: bool | Sequence[bool] = True) -> DataFrame:
     """Exact 1-based position in ``order_by`` order (order must be unique for a stable answer)."""
     order = as_list(order_by)
     pb = as_list(partition_by)
-    two_pass, total = _use_two_pass(df, two_pass)
+    asc = list(ascending) if isinstance(ascending, (list, tuple)) else [ascending] * len(order)
     if not two_pass:
-        return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*sort_exprs(order))))
-    n = n_buckets or _default_buckets(df, total)
-    bdf = with_range_bucket(df, pb + order, n, total=total)
-    p1 = _bucket_prefix(bdf, pb, {"__c": F.count(F.lit(1))})
-    wp = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1)
-    p1 = p1.select(BUCKET, *pb, F.coalesce(F.sum("__c").over(wp), F.lit(0)).alias("__pre"))
-    j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
-    w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order))
-    return j.withColumn(output, F.col("__pre") + F.row_number().over(w)).drop(BUCKET, "__pre")
+        return df.withColumn(output, F.row_number().over(Window.partitionBy(*pb).orderBy(*sort_exprs(order, asc))))
+    bdf = with_range_bucket(df, pb + order, n_buckets, [True] * len(pb) + asc)
+    j = _with_carry(bdf, pb, {"__c": F.count(F.lit(1))}, {"__pre": F.sum("__c")})
+    w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order, asc))
+    position = F.coalesce(F.col("__pre"), F.lit(0)) + F.row_number().over(w)
+    return j.withColumn(output, position).drop(BUCKET, "__pre")
 
 
 def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "dense",
-         order_by: Sequence[str] | str | None = None, two_pass: bool | None = None,
+         order_by: Sequence[str] | str | None = None, two_pass: bool = True,
          n_buckets: int | None = None) -> DataFrame:
     """``{column}_rank`` as double; NULL values get NULL (N16).
 
@@ -225,103 +127,83 @@ def rank(df: DataFrame, column: str, ascending: bool = False, method: str = "den
     which must make the order unique).
     """
     out = f"{column}_rank"
-    v = F.col(column)
+    if method not in ("dense", "min", "max", "average", "first"):
+        raise ValueError(f"unknown rank method: {method}")
     if method == "first" and not order_by:
         raise ValueError("rank(method='first') needs order_by to break ties")
-    two_pass, _ = _use_two_pass(df, two_pass)
-    if not two_pass:
-        return _rank_plain(df, column, ascending, method, as_list(order_by), out)
-    vals0 = df.where(v.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    t = vals0.agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("vals")).take(1)[0]  # one row
-    tot = {"rows": F.lit(t["rows"] or 0), "vals": F.lit(t["vals"] or 0)}
-    vals = _running_count_and_position(vals0, column, n_buckets or _default_buckets(df, t["vals"]))
-    le, cnt, dense = F.col("__le"), F.col("__n"), F.col("__d")
-    if ascending:
-        lo, hi, dn = le - cnt + 1, le, dense
-    else:
-        lo, hi, dn = tot["rows"] - le + 1, tot["rows"] - le + cnt, tot["vals"] - dense + 1
+    df = nan_to_null(df, [column])
     if method == "first":
         keys = [column] + [c for c in as_list(order_by) if c != column]
-        pos = row_number(df.where(v.isNotNull()), keys, two_pass=True, n_buckets=n_buckets, output="__p")
-        j = pos.join(vals.select(column, "__le", "__n"), column, "left")
-        within = F.col("__p") - (le - cnt)           # position inside the tie group, in order_by order
-        r = F.col("__p") if ascending else (tot["rows"] - le + within)
-        res = j.withColumn(out, r.cast("double")).drop("__p", "__le", "__n")
-        nulls = df.where(v.isNull()).withColumn(out, F.lit(None).cast("double"))
-        return res.unionByName(nulls)
-    expr = {"dense": dn, "min": lo, "max": hi, "average": (lo + hi) / 2.0}.get(method)
-    if expr is None:
-        raise ValueError(f"unknown rank method: {method}")
-    table = vals.select(column, expr.cast("double").alias(out))
-    return df.join(table, column, "left")
-
-
-def _running_count_and_position(vals: DataFrame, column: str, n_buckets: int | None) -> DataFrame:
-    """On a table with one row per value of ``column`` and its count ``__n``: the
-    inclusive running count ``__le`` and the 1-based position ``__d``, from one
-    bucketing pass (numeric keys: cut points from ``percentile_approx``)."""
-    n = n_buckets or _default_buckets(vals)
-    numeric = vals.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double",
-                                                        "decimal")
-    bdf = with_range_bucket(vals, [column], n, unique_numeric_key=numeric)
-    p1 = bdf.groupBy(BUCKET).agg(F.sum("__n").alias("__s"), F.count(F.lit(1)).alias("__c"))
-    wp = Window.orderBy(BUCKET).rowsBetween(_UNB, -1)
-    p1 = p1.select(BUCKET, F.coalesce(F.sum("__s").over(wp), F.lit(0)).alias("__pre_s"),
-                   F.coalesce(F.sum("__c").over(wp), F.lit(0)).alias("__pre_c"))
-    j = bdf.join(F.broadcast(p1), BUCKET, "left")
-    w = Window.partitionBy(BUCKET).orderBy(column)
-    wr = w.rowsBetween(_UNB, 0)
-    return (j.withColumn("__le", F.col("__pre_s") + F.sum("__n").over(wr))
-            .withColumn("__d", F.col("__pre_c") + F.row_number().over(w))
-            .drop(BUCKET, "__pre_s", "__pre_c"))
-
-
-def _rank_plain(df, column, ascending, method, order_by, out):
+        pos = row_number(df, keys, two_pass=two_pass, n_buckets=n_buckets, output=out,
+                         ascending=[ascending] + [True] * (len(keys) - 1))
+        return pos.withColumn(out, F.when(F.col(column).isNotNull(), F.col(out).cast("double")))
+    if not two_pass:
+        return _rank_plain(df, column, ascending, method, out)
+    # rows of one value spread over buckets by a hash of the row
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    bdf = with_range_bucket(df.withColumn("__salt", F.xxhash64(*hashed)), [column, "__salt"], n_buckets,
+                            [ascending, True]).drop("__salt")
+    ranks = _bucket_ranks(bdf, column, ascending, method).withColumnRenamed("__rank", out)
+    return bdf.join(ranks, [BUCKET, column], "left").drop(BUCKET).select(*df.columns, out)
+
+
+def _bucket_ranks(bdf: DataFrame, column: str, ascending: bool, method: str) -> DataFrame:
+    """One row per bucket and value (NULL left out) with the value's rank among all rows."""
     v = F.col(column)
-    o = v.asc() if ascending else v.desc()
-    w = Window.orderBy(o)
-    peers = Window.partitionBy(column)
+    inside = Window.partitionBy(BUCKET).orderBy(v.asc() if ascending else v.desc())
+    per = (bdf.where(v.isNotNull()).groupBy(BUCKET, column).agg(F.count(F.lit(1)).alias("__n"))
+           .withColumn("__d", F.row_number().over(inside).cast("long"))
+           .withColumn("__le", F.sum("__n").over(inside.rowsBetween(_UNB, 0))))
+    low, high = (F.min(v), F.max(v)) if ascending else (F.max(v), F.min(v))
+    by = Window.orderBy(BUCKET)                        # one row per bucket
+    before = by.rowsBetween(_UNB, -1)
+    # the first value of a bucket may go on from the bucket before: then it is no new value
+    pre = (per.groupBy(BUCKET).agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__vals"),
+                                   low.alias("__low"), high.alias("__high"))
+           .withColumn("__goes_on", F.coalesce((F.lag("__high").over(by) == F.col("__low")).cast("long"), F.lit(0)))
+           .select(BUCKET, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__pre_rows"),
+                   (F.coalesce(F.sum(F.col("__vals") - F.col("__goes_on")).over(before), F.lit(0))
+                    - F.col("__goes_on")).alias("__pre_vals")))
+    j = per.join(pre, BUCKET)
     if method == "dense":
-        r = F.dense_rank().over(w)
-    elif method == "min":
-        r = F.rank().over(w)
-    elif method == "max":
-        r = F.rank().over(w) + F.count(F.lit(1)).over(peers) - 1
-    elif method == "average":
-        r = F.rank().over(w) + (F.count(F.lit(1)).over(peers) - 1) / 2.0
-    elif method == "first":
-        r = F.row_number().over(Window.orderBy(o, *[F.col(c) for c in order_by if c != column]))
-    else:
-        raise ValueError(f"unknown rank method: {method}")
-    nn = df.where(v.isNotNull()).withColumn(out, r.cast("double"))
-    return nn.unionByName(df.where(v.isNull()).withColumn(out, F.lit(None).cast("double")))
+        return j.select(BUCKET, column, (F.col("__pre_vals") + F.col("__d")).cast("double").alias("__rank"))
+    whole = Window.partitionBy(column)                 # a value has at most one row per bucket
+    first = F.min(F.col("__pre_rows") + F.col("__le") - F.col("__n")).over(whole) + 1
+    n = F.sum("__n").over(whole)
+    r = {"min": first, "max": first + n - 1, "average": first + (n - 1) / 2.0}[method]
+    return j.select(BUCKET, column, r.cast("double").alias("__rank"))
+
+
+def _rank_plain(df, column, ascending, method, out):
+    v = F.col(column)
+    w = Window.orderBy(v.asc_nulls_last() if ascending else v.desc_nulls_last())
+    more = F.count(F.lit(1)).over(Window.partitionBy(column)) - 1
+    r = {"dense": F.dense_rank().over(w), "min": F.rank().over(w), "max": F.rank().over(w) + more,
+         "average": F.rank().over(w) + more / 2.0}[method]
+    return df.withColumn(out, F.when(v.isNotNull(), r.cast("double")))
 
 
 def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Sequence[str] | str,
                           partition_by: Sequence[str] | str | None = None, direction: str = "forward",
-                          two_pass: bool | None = None, n_buckets: int | None = None) -> DataFrame:
+                          two_pass: bool = True, n_buckets: int | None = None) -> DataFrame:
     """Carry the last (forward) or next (backward) non-null value along ``order_by``."""
     if order_by is None:
         raise ValueError("ffill/bfill needs order_by (Spark rows have no order)")
     order = as_list(order_by)
     pb = as_list(partition_by)
     cols = [c for c in as_list(columns) if c in df.columns and c not in pb]
+    df = nan_to_null(df, cols)
     fwd = direction == "forward"
     frame = (_UNB, 0) if fwd else (0, _UNF)
     pick = F.last if fwd else F.first
-    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
         w = Window.partitionBy(*pb).orderBy(*sort_exprs(order)).rowsBetween(*frame)
         return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in cols})
-    n = n_buckets or _default_buckets(df, total)
-    bdf = with_range_bucket(df, pb + order, n, total=total)
+    bdf = with_range_bucket(df, pb + order, n_buckets)
     o = _order_struct(order)
     edge = F.max_by if fwd else F.min_by
-    p1 = _bucket_prefix(bdf, pb, {f"__e_{c}": edge(F.col(c), F.when(F.col(c).isNotNull(), o)) for c in cols})
-    wp = (Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(_UNB, -1) if fwd
-          else Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(1, _UNF))
-    p1 = p1.select(BUCKET, *pb, *[pick(f"__e_{c}", ignorenulls=True).over(wp).alias(f"__in_{c}") for c in cols])
-    j = _join_small(bdf, p1, [BUCKET, *pb], bounded=not pb)
+    j = _with_carry(bdf, pb, {f"__e_{c}": edge(F.col(c), F.when(F.col(c).isNotNull(), o)) for c in cols},
+                    {f"__in_{c}": pick(f"__e_{c}", ignorenulls=True) for c in cols}, forward=fwd)
     w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order)).rowsBetween(*frame)
     res = j.withColumns({c: F.coalesce(pick(c, ignorenulls=True).over(w), F.col(f"__in_{c}")) for c in cols})
     return res.drop(BUCKET, *[f"__in_{c}" for c in cols])
@@ -331,14 +213,14 @@ _ROLL = {"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stdde
 
 
 def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_by: Sequence[str] | str = None,
-            partition_by: Sequence[str] | str | None = None, two_pass: bool | None = None,
+            partition_by: Sequence[str] | str | None = None, two_pass: bool = True,
             n_buckets: int | None = None, block_rows: int = 100_000) -> DataFrame:
     """Trailing ``window``-row aggregate ``{column}_rolling_{func}``; NULL until the
     frame holds ``window`` non-null values (N14). Unknown func → unchanged.
 
-    Two-pass form: exact row numbers (two-pass), blocks of ``block_rows`` rows,
-    the last ``window - 1`` rows of each block copied into the next block as a
-    halo, the window run per block, halo rows dropped.
+    Two-pass form: exact row numbers, blocks of ``block_rows`` rows, the last
+    ``window - 1`` rows of each block copied into the next block as a halo, the
+    window run per block, halo rows dropped.
     """
     if func not in _ROLL:
         return df
@@ -347,26 +229,21 @@ def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_b
     order = as_list(order_by)
     pb = as_list(partition_by)
     out = f"{column}_rolling_{func}"
-    agg = _ROLL[func]
-    frame = (-(window - 1), 0)
+    df = nan_to_null(df, [column])
 
-    def apply(frame_df, part):
-        w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(*frame)
-        full = F.count(column).over(w) == window
-        return frame_df.withColumn(out, F.when(full, agg(column).over(w)))
+    def over(w):
+        w = w.rowsBetween(-(window - 1), 0)
+        return F.when(F.count(column).over(w) == window, _ROLL[func](column).over(w))
 
-    two_pass, total = _use_two_pass(df, two_pass)
     if not two_pass:
-        order_cols = order
-        return apply(df, pb)
+        return df.withColumn(out, over(Window.partitionBy(*pb).orderBy(*sort_exprs(order))))
     b = max(block_rows, window - 1, 1)
-    rn = row_number(df, order, pb, two_pass=True, n_buckets=n_buckets or _default_buckets(df, total),
-                    output="__rn")
-    rn = rn.withColumn("__blk", F.floor((F.col("__rn") - 1) / b))
-    halo = (rn.where(((F.col("__rn") - 1) % b) >= b - (window - 1))
-            .withColumn("__blk", F.col("__blk") + 1).withColumn("__halo", F.lit(True)))
-    both = rn.withColumn("__halo", F.lit(False)).unionByName(halo) if window > 1 else rn.withColumn(
-        "__halo", F.lit(False))
-    order_cols = ["__rn"]
-    res = apply(both, pb + ["__blk"])
+    rn = row_number(df, order, pb, n_buckets=n_buckets, output="__rn")
+    at = F.col("__rn") - 1
+    block = F.floor(at / b)
+    own = F.struct(block.alias("blk"), F.lit(False).alias("halo"))
+    ahead = F.struct((block + 1).alias("blk"), F.lit(True).alias("halo"))
+    both = rn.withColumn("__in", F.explode(F.when(at % b >= b - (window - 1), F.array(own, ahead)).otherwise(F.array(own))))
+    both = both.withColumns({"__blk": F.col("__in.blk"), "__halo": F.col("__in.halo")}).drop("__in")
+    res = both.withColumn(out, over(Window.partitionBy(*pb, "__blk").orderBy("__rn")))
     return res.where(~F.col("__halo")).drop("__rn", "__blk", "__halo")

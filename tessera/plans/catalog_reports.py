@@ -49,7 +49,7 @@ SELECT date, department, round(revenue, 4) AS revenue, round(costs, 4) AS costs,
 FROM ({tb.MONTHLY_SQL}) WHERE date >= TIMESTAMP '2000-06-01'
 """)
 def q_sql_monthly(spark, d):
-    r = reports.sql_monthly(spark, tb.monthly(spark, d), _dt.date(2000, 6, 15))
+    r = reports.sql_monthly(spark, tb.monthly(spark, d, since=_dt.datetime(2000, 6, 1)), _dt.date(2000, 6, 15))
     return rounded(r, 4)
 
 
@@ -125,11 +125,17 @@ def _monthly_kpi_sql():
             round({c} - {p}, 4) AS change,
             round(CASE WHEN {p} <> 0 THEN ({c} - {p}) / {p} * 100 ELSE 0 END, 4) AS change_percentage,
             CASE WHEN {c} - {p} > 0 THEN 'up' WHEN {c} - {p} < 0 THEN 'down' ELSE 'stable' END AS trend FROM {m}""")
+    july = "FILTER (WHERE date >= TIMESTAMP '2001-07-01' AND date < TIMESTAMP '2001-08-01')"
+    for name, value in (("Profit Margin", f"avg(profit_margin) {july}"),
+                        ("Customer Base", f"CAST(last(customer_count ORDER BY date, department) {july} AS DOUBLE)")):
+        parts.append(f"""SELECT '{name}', round({value}, 4), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+            CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR) FROM {m}""")
     return "\nUNION ALL\n".join(parts)
 
 
 @query("report_monthly_kpis", _monthly_kpi_sql())
 def q_report_monthly_kpis(spark, d):
-    r = reports.monthly_kpis(tb.monthly(spark, d), _dt.date(2001, 7, 15))
+    both = tb.monthly(spark, d, since=_dt.datetime(2001, 6, 1), until=_dt.datetime(2001, 8, 1))
+    r = reports.monthly_kpis(both, _dt.date(2001, 7, 15))
     return r.select("kpi_name", *[_F.round(c, 4).alias(c) for c in ("current", "previous", "change")],
                     _F.round("change_percentage", 4).alias("change_percentage"), "trend")

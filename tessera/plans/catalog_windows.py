@@ -98,7 +98,7 @@ def q_row_number_group(spark, d):
     return W.row_number(tb.table(spark, d, "events"), ["ts", "event_id"], "event_type")
 
 
-# ---- the scalable forms forced on, so the oracle also checks them at small scale ----
+# ---- keys of earlier rounds, when small tables took another form ----
 @query("win_cumsum_two_pass", f"""
 SELECT *, round(CASE WHEN o_totalprice IS NOT NULL THEN sum(o_totalprice) OVER ({_W} ROWS UNBOUNDED PRECEDING) END, 2)
        AS o_totalprice_cumsum
@@ -156,3 +156,39 @@ FROM ({ORDERS_NULLS_SQL})
 def q_cumsum_group_2p(spark, d):
     return rounded(W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", ORDER, "o_orderpriority",
                                     two_pass=True), 2)
+
+
+# ---- NULL order keys, NULL groups and NaN values ----
+@query("win_cumsum_null_order", f"""
+SELECT *, round(CASE WHEN o_totalprice IS NOT NULL THEN sum(o_totalprice) OVER
+       (ORDER BY o_orderpriority NULLS LAST, o_orderkey ROWS UNBOUNDED PRECEDING) END, 2) AS o_totalprice_cumsum
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_cumsum_null_order(spark, d):
+    return rounded(W.cumulative_sum(orders_nulls(spark, d), "o_totalprice", ["o_orderpriority", "o_orderkey"]), 2)
+
+
+@query("win_row_number_null_group", f"""
+SELECT *, row_number() OVER (PARTITION BY o_orderstatus {_W}) AS row_number FROM ({ORDERS_NULLS_SQL})
+""")
+def q_row_number_null_group(spark, d):
+    return W.row_number(orders_nulls(spark, d), ORDER, "o_orderstatus")
+
+
+@query("clean_ffill_null_group", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+       last_value(o_totalprice IGNORE NULLS) OVER (PARTITION BY o_orderpriority
+           ORDER BY o_orderstatus NULLS LAST, o_orderkey ROWS UNBOUNDED PRECEDING) AS o_totalprice
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_ffill_null_group(spark, d):
+    return W.fill_forward_backward(orders_nulls(spark, d), ["o_totalprice"], ["o_orderstatus", "o_orderkey"], "o_orderpriority")
+
+
+@query("win_rank_nan", f"""
+SELECT o_orderkey, p, CASE WHEN p IS NOT NULL THEN CAST(rank() OVER (ORDER BY p DESC NULLS LAST) AS DOUBLE) END AS p_rank
+FROM {_RANKED}
+""")
+def q_rank_nan(spark, d):
+    o = orders_nulls(spark, d).select("o_orderkey", F.coalesce(F.round(F.col("o_totalprice") / 10000), F.lit(float("nan"))).alias("p"))
+    return W.rank(o, "p", ascending=False, method="min")

@@ -153,17 +153,21 @@ MONTHLY_KPIS = [
 
 
 def monthly_kpis(monthly: DataFrame, as_of: dt.date, specs: list[dict] | None = None) -> DataFrame:
-    """The declared monthly KPIs that ask for ``compare_previous``: the month of
-    ``as_of`` against the month before, one row per KPI (current, previous,
-    change, change_percentage, trend), from one aggregate over both months."""
+    """The declared monthly KPIs, one row each, from one aggregate over one read of
+    both months: the month of ``as_of`` and, for KPIs that ask for
+    ``compare_previous``, the month before with change, change_percentage and
+    trend (NULL for the others)."""
     from ..operators import kpi as K
-    specs = [s for s in (specs or MONTHLY_KPIS) if s.get("compare_previous")]
+    specs = list(specs or MONTHLY_KPIS)
     rows = (monthly.withColumn("profit_margin", F.try_divide(F.col("profit"), F.col("revenue")) * 100)
             .withColumn("net_customer_growth", F.col("new_customers") - F.col("churned_customers")))
     start = dt.datetime(as_of.year, as_of.month, 1)
     prev = dt.datetime(start.year - (start.month == 1), (start.month - 2) % 12 + 1, 1)
     nxt = dt.datetime(start.year + (start.month == 12), start.month % 12 + 1, 1)
     d = F.col("date")
-    cur = rows.where((d >= literal_like(rows, "date", start)) & (d < literal_like(rows, "date", nxt)))
-    before = rows.where((d >= literal_like(rows, "date", prev)) & (d < literal_like(rows, "date", start)))
-    return K.compare_kpis(cur, before, K.spec_kpis(specs, order_by=F.struct("date", "department")))
+    both = (rows.where((d >= literal_like(rows, "date", prev)) & (d < literal_like(rows, "date", nxt)))
+            .withColumn("__period", F.when(d >= literal_like(rows, "date", start), "current").otherwise("previous")))
+    table = K.compare_tagged(both, K.spec_kpis(specs, order_by=F.struct("date", "department")))
+    compared = F.col("kpi_name").isin([s["name"] for s in specs if s.get("compare_previous")])
+    return table.select("kpi_name", "current", *[F.when(compared, F.col(c)).alias(c)
+                                                 for c in ("previous", "change", "change_percentage", "trend")])

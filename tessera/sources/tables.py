@@ -11,10 +11,12 @@ broadcast hash join only when the runtime size is below
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import trunc_ntz
+from ..functions.time import literal_like, trunc_ntz
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -97,28 +99,37 @@ FROM events
 """
 
 
-def monthly(spark: SparkSession, data_dir: str) -> DataFrame:
+def monthly(spark: SparkSession, data_dir: str, since: dt.datetime | None = None,
+            until: dt.datetime | None = None) -> DataFrame:
     """monthly_summary: one row per (month, department = nation name).
 
-    lineitem is reduced to one row per order before the joins (partial
-    aggregation map-side), so the joins and the final group-by see orders,
-    not line items."""
+    ``since`` and ``until`` (starts of months, half-open) reach the scan of
+    orders; lineitem is then semi-joined with those orders first. lineitem is
+    reduced to one row per order before the other joins (partial aggregation
+    map-side), so they and the final group-by see orders, not line items."""
     t = lambda n: table(spark, data_dir, n)
-    li = (t("lineitem").groupBy("l_orderkey")
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = t("lineitem")
+    if since is not None:
+        orders = orders.where(F.col("o_orderdate") >= literal_like(orders, "o_orderdate", since))
+    if until is not None:
+        orders = orders.where(F.col("o_orderdate") < literal_like(orders, "o_orderdate", until))
+    if since is not None or until is not None:
+        lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    li = (lines.groupBy("l_orderkey")
           .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"),
                F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("cost"),
                F.count(F.lit(1)).alias("lines")))
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = t("customer").select("c_custkey", "c_nationkey")
     nation = F.broadcast(t("nation").select("n_nationkey", "n_name"))
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-         .join(cust, orders.o_custkey == cust.c_custkey)
-         .join(nation, cust.c_nationkey == nation.n_nationkey))
+    j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+         .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     month = trunc_ntz(F.col("o_orderdate"), "month")
     return (j.groupBy(month.alias("date"), F.col("n_name").alias("department"))
             .agg(F.sum("rev").alias("revenue"),
                  F.sum("cost").alias("costs"),
-                 F.count_distinct("o_orderkey").alias("headcount"),
+                 F.count(F.lit(1)).alias("headcount"),
                  F.sum("lines").alias("customer_count"),
                  F.count_distinct("o_custkey").alias("new_customers"))
             .withColumn("profit", F.col("revenue") - F.col("costs"))

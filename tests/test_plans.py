@@ -61,10 +61,19 @@ def test_two_pass_window_has_no_single_partition_fact_exchange(spark):
     assert "hashpartitioning(__bucket" in p
 
 
-def test_plain_window_below_bound(spark):
+def test_windows_have_one_form(spark):
     o = tb.table(spark, SF, "orders")
-    p = plan(W.cumulative_sum(o, "o_totalprice", ["o_orderdate", "o_orderkey"]))
-    assert "__bucket" not in p                                    # small input: one checked task
+    for df in (W.cumulative_sum(o, "o_totalprice", ["o_orderdate", "o_orderkey"]),
+               W.rank(o, "o_totalprice"), W.row_number(o, "o_orderkey", "o_orderstatus")):
+        p = plan(df)
+        assert "__bucket" in p and "Scan parquet" not in p        # whatever the size; reads the checkpoint only
+
+
+def test_monthly_prunes_orders_and_reads_lineitem_once(spark):
+    p = plan(reports.monthly_kpis(tb.monthly(spark, SF, dt.datetime(2001, 6, 1), dt.datetime(2001, 8, 1)), dt.date(2001, 7, 15)))
+    assert "GreaterThanOrEqual(o_orderdate,2001-06-01T00:00)" in p and "LessThan(o_orderdate,2001-08-01T00:00)" in p
+    assert nodes(plan(tb.monthly(spark, SF)), "Expand") == 0
+    assert len(re.findall(r"Location: .*lineitem", p)) == 1
 
 
 def test_kpis_are_one_aggregate(spark):

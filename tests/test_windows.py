@@ -114,10 +114,9 @@ def test_cumsum_and_rolling_match_pandas(spark, vals):
         assert (ff[int(i)] is None and np.isnan(t)) or ff[int(i)] == t
 
 
-def test_partitioner_buckets_match_plain(orders, monkeypatch):
-    """The range-partitioner assignment (used for many buckets) gives the same answers."""
-    monkeypatch.setattr(W, "TREE_MAX_BUCKETS", 2)
-    a = W.cumulative_sum(orders, "o_totalprice", ORDER, "o_orderpriority", n_buckets=6, two_pass=True)
+def test_grouped_and_backward_match_plain(orders):
+    """Groups that go on over several buckets, backward carries and ties."""
+    a =W.cumulative_sum(orders, "o_totalprice", ORDER, "o_orderpriority", n_buckets=6, two_pass=True)
     b = W.cumulative_sum(orders, "o_totalprice", ORDER, "o_orderpriority", two_pass=False)
     assert same(a, b, "o_orderkey", "o_totalprice_cumsum")
     c = W.fill_forward_backward(orders, ["o_totalprice"], ORDER, direction="backward", n_buckets=5, two_pass=True)
