@@ -141,7 +141,7 @@ def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], max_rows: i
     (approximate cut points, exact counts) until it holds ≤ ``max_rows`` rows,
     then ranked with one window.
     """
-    base = df.select(F.col(column).cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    base = df.select(F.col(column).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     eps = 1.0 / accuracy
     pts = []
     for q in qs:
@@ -193,7 +193,7 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], column: str, q: float,
 
     keys = list(keys)
     x = F.col(column).cast("double")
-    src = df.where(x.isNotNull())
+    src = df.where(x.isNotNull() & ~F.isnan(x))
     for k in keys:
         src = src.where(F.col(k).isNotNull())
     vals = src.groupBy(*keys, x.alias("__x")).agg(F.count(F.lit(1)).alias("__n"))

@@ -3,6 +3,7 @@ comparison, cross tabs, percentiles, total rows, metric sets.
 
 All of them are aggregates with map-side partial aggregation; grand totals are
 one-row scalar subqueries, multi-dimension tables are one ``groupingSets`` pass.
+NaN values count as missing (N3).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import (as_list, drop_null_keys, numeric_columns, sort_exprs,
+from ..functions.nulls import (as_list, drop_null_keys, nan_to_null, numeric_columns, sort_exprs,
                                string_columns, sum0)
 from ..functions import stats as st
 from ..functions.time import literal_like
@@ -39,6 +40,7 @@ def summarize(df: DataFrame, numeric_only: bool = True, exact: bool = True) -> D
     Moments come from one aggregate; quantiles and top values from the
     distributed forms in functions.stats; the result has one row per column.
     """
+    df = nan_to_null(df)
     nums = numeric_columns(df)
     strs = [] if numeric_only else string_columns(df)
     if not nums and not strs:
@@ -69,6 +71,7 @@ def summarize(df: DataFrame, numeric_only: bool = True, exact: bool = True) -> D
 
 def calculate_totals(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, total) for each numeric column (listed non-numeric columns are skipped)."""
+    df = nan_to_null(df)
     nums = numeric_columns(df)
     cols = [c for c in (as_list(columns) or nums) if c in nums]
     row = df.agg(F.array(*[F.struct(F.lit(c).alias("column"), sum0(F.col(c).cast("double")).alias("total"))
@@ -80,6 +83,7 @@ def calculate_percentages(df: DataFrame, value_column: str, group_column: str |
                           output: str = "percentage") -> DataFrame:
     """Group share of the grand total × 100 (group, percentage), or every row
     plus its share. The grand total is a scalar subquery (one aggregate)."""
+    df = nan_to_null(df, [value_column])
     total = df.select(F.sum(value_column).alias("t")).scalar()
     if group_column:
         g = drop_null_keys(df, [group_column]).groupBy(group_column).agg(sum0(value_column).alias("__s"))
@@ -91,6 +95,7 @@ def top_n(df: DataFrame, column: str, n: int = 10, ascending: bool = False,
           tie_breaker: Sequence[str] | str | None = None) -> DataFrame:
     """n largest (or smallest) rows; NULLs last (N17). Planned as TakeOrderedAndProject:
     each partition keeps its own top n, the driver merges n × partitions rows."""
+    df = nan_to_null(df, [column])
     order = sort_exprs([column], [ascending]) + [F.col(c).asc_nulls_last() for c in as_list(tie_breaker)]
     return df.orderBy(*order).limit(n)
 
@@ -107,6 +112,7 @@ def compare_periods(df: DataFrame, date_column: str, value_column: str, current_
     earlier (the reference ignores ``previous_period``); ``bounded=True`` uses
     previous_period ≤ date < current_period instead.
     """
+    df = nan_to_null(df, [value_column])
     d = F.col(date_column)
     cur_start = literal_like(df, date_column, current_period)
     is_cur = d >= cur_start
@@ -145,6 +151,7 @@ def add_total_row(df: DataFrame, label_column: str, sum_columns: Sequence[str],
                   flag_column: str = "is_total") -> DataFrame:
     """Append one TOTAL row (label in ``label_column``, sums of ``sum_columns``);
     ``flag_column`` marks it so a sort can keep it last."""
+    df = nan_to_null(df, sum_columns)
     total = df.agg(*[sum0(c).alias(c) for c in sum_columns]).withColumn(label_column, F.lit(label))
     return (df.withColumn(flag_column, F.lit(False))
             .unionByName(total.withColumn(flag_column, F.lit(True)), allowMissingColumns=True))
@@ -153,6 +160,7 @@ def add_total_row(df: DataFrame, label_column: str, sum_columns: Sequence[str],
 def calculate_metrics(df: DataFrame, value_column: str, dimensions: Sequence[str]) -> DataFrame:
     """Long (metric, key, value): total, mean, max, min and the sum per value of
     each dimension, from one ``groupingSets`` pass over the table."""
+    df = nan_to_null(df, [value_column])
     dims = as_list(dimensions)
     v = F.col(value_column)
     sets = [[]] + [[d] for d in dims]
@@ -176,6 +184,7 @@ def calculate_metrics(df: DataFrame, value_column: str, dimensions: Sequence[str
 
 def group_sheets(df: DataFrame, value_column: str, dimensions: Sequence[str]) -> DataFrame:
     """One sum table per dimension in one pass: long (dimension, key, value)."""
+    df = nan_to_null(df, [value_column])
     dims = as_list(dimensions)
     g = df.groupingSets([[d] for d in dims], *dims).agg(sum0(value_column).alias("value"),
                                                           F.grouping_id().alias("__gid"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import stats as st
 from ..functions import text as tx
 from ..functions.time import parse_ntz
-from ..functions.nulls import as_list, col_of, numeric_columns, string_columns
+from ..functions.nulls import as_list, col_of, nan_to_null, numeric_columns, string_columns
 
 
 def _order_key(order_by) -> Column:
@@ -88,6 +88,7 @@ def fill_nulls(df: DataFrame, value=None, method: str | None = None, columns: Se
         if value is None:
             return df
         return df.fillna(value, subset=cols)
+    df = nan_to_null(df, cols)
     m = method.lower()
     if m in ("ffill", "bfill"):
         from .windows import fill_forward_backward
@@ -181,9 +182,9 @@ def remove_outliers(df: DataFrame, columns: Sequence[str] | str, method: str = "
     iqr: keep Q1 - t*IQR <= x <= Q3 + t*IQR (t default 1.5, linear quantiles N10;
     ``exact=False`` switches to approx_percentile for very large tables).
     zscore: keep |x - mean| / std <= t (t default 3, std n-1); std 0 drops all.
-    Rows with NULL in the column are dropped.
+    Rows with NULL or NaN in the column are dropped.
     """
-    out = df
+    out = nan_to_null(df, as_list(columns))
     for c in as_list(columns):
         if c not in numeric_columns(out):
             continue

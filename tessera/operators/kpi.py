@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import agg_column
-from ..functions.nulls import col_of, drop_null_keys, sum0
+from ..functions.nulls import col_of, drop_null_keys, nan_to_null, sum0
 
 
 @dataclass(frozen=True)
@@ -121,6 +121,7 @@ def average_order_value_by_order(df: DataFrame, amount: str, order: str) -> Data
 
 def kpi_frame(df: DataFrame, kpis: Sequence[Kpi], group_by: Sequence[str] = ()) -> DataFrame:
     """All KPIs of one table in one aggregate: one row (or one row per group)."""
+    df = nan_to_null(df)
     exprs = [k.value.cast("double").alias(k.name) for k in kpis]
     exprs += [k.record_expr().alias(f"__rec_{k.name}") for k in kpis]
     return df.groupBy(*group_by).agg(*exprs)

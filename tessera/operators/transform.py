@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from ..functions import expressions
 from ..functions.aggs import agg_column
-from ..functions.nulls import (as_list, contains_regex, drop_null_keys, isin_with_null, ne_keep_null,
-                               numeric_columns, sort_exprs)
+from ..functions.nulls import (as_list, contains_regex, drop_null_keys, isin_with_null, nan_to_null,
+                               ne_keep_null, numeric_columns, sort_exprs)
 
 
 def add_column(df: DataFrame, name: str, value=None, formula=None, return_type: str = "double") -> DataFrame:
@@ -45,9 +45,10 @@ def calculate_column(df: DataFrame, name: str, expression: str) -> DataFrame:
 def aggregate(df: DataFrame, groupby: Sequence[str] | str, aggregations: dict[str, str | list[str]],
               order_by: str | Column | None = None) -> DataFrame:
     """Group-by with pandas-named functions. A single function keeps the column
-    name; a list names the outputs ``col_func``. NULL keys are dropped (N1),
+    name; a list names the outputs ``col_func``. NULL and NaN keys are dropped (N1, N3),
     sums of nothing are 0 (N2), first/last follow ``order_by`` (N27)."""
     keys = as_list(groupby)
+    df = nan_to_null(df, [*keys, *aggregations])
     exprs, medians, order = [], [], []
     for c, funcs in aggregations.items():
         multi = isinstance(funcs, (list, tuple))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as cl
 from ..sources import tables as tb
-from .fixtures import ORDERS_NULLS_SQL, ORDERS_TEXT_SQL, orders_nulls, orders_text
+from .fixtures import ORDERS_NULLS_SQL, ORDERS_TEXT_SQL, orders_nan, orders_nulls, orders_text
 from .registry import query, rounded
 
 EV_SQL = "SELECT * FROM events"
@@ -219,3 +219,60 @@ def q_summary(spark, d):
     log.apply("remove_outliers", cl.remove_outliers, "o_totalprice", "zscore", 2.0)
     log.df.write.format("noop").mode("overwrite").save()   # the one action; counts are observed on the way
     return log.to_frame(spark)
+
+
+# ---- NaN counts as missing; NULL order keys come last ----
+@query("clean_fill_mean_nan", f"""
+SELECT o_orderkey, round(coalesce(o_totalprice, (SELECT avg(o_totalprice) FROM ({ORDERS_NULLS_SQL}))), 4) AS o_totalprice
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_fill_mean_nan(spark, d):
+    o = orders_nan(spark, d).select("o_orderkey", "o_totalprice")
+    return rounded(cl.fill_nulls(o, method="mean", columns=["o_totalprice"]))
+
+
+@query("clean_fill_median_nan", f"""
+SELECT o_orderkey, round(coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM ({ORDERS_NULLS_SQL}))), 4)
+       AS o_totalprice
+FROM ({ORDERS_NULLS_SQL})
+""")
+def q_fill_median_nan(spark, d):
+    o = orders_nan(spark, d).select("o_orderkey", "o_totalprice")
+    return rounded(cl.fill_nulls(o, method="median", columns=["o_totalprice"]))
+
+
+@query("clean_outliers_zscore_nan", f"""
+WITH o AS ({ORDERS_NULLS_SQL}), s AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS sd FROM o)
+SELECT o.* FROM o, s WHERE abs(o_totalprice - m) / sd <= 1.5
+""")
+def q_zscore_nan(spark, d):
+    return cl.remove_outliers(orders_nan(spark, d), "o_totalprice", "zscore", 1.5)
+
+
+@query("agg_group_nan", f"""
+SELECT o_orderpriority, count(o_totalprice) AS o_totalprice_count, round(avg(o_totalprice), 4) AS o_totalprice_mean,
+       round(sum(o_totalprice), 2) AS o_totalprice_sum
+FROM ({ORDERS_NULLS_SQL}) WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority
+""")
+def q_group_nan(spark, d):
+    from ..operators import transform as tr
+    g = tr.aggregate(orders_nan(spark, d), "o_orderpriority", {"o_totalprice": ["count", "mean", "sum"]})
+    return rounded(g).withColumn("o_totalprice_sum", F.round("o_totalprice_sum", 2))
+
+
+@query("topk_top_nan", f"""
+SELECT o_orderkey, o_totalprice FROM ({ORDERS_NULLS_SQL}) ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 10
+""")
+def q_top_nan(spark, d):
+    from ..operators import aggregate as ag
+    return ag.top_n(orders_nan(spark, d).select("o_orderkey", "o_totalprice"), "o_totalprice", 10, tie_breaker="o_orderkey")
+
+
+@query("clean_dedup_first_null_order", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority NULLS LAST, o_totalprice NULLS LAST,
+             o_orderkey) AS rn FROM ({ORDERS_NULLS_SQL})) WHERE rn = 1
+""")
+def q_dedup_null_order(spark, d):
+    return cl.remove_duplicates(orders_nulls(spark, d), "o_custkey", "first",
+                                order_by=["o_orderpriority", "o_totalprice", "o_orderkey"])

@@ -34,6 +34,12 @@ FROM orders
 """
 
 
+def orders_nan(spark, d):
+    """``orders_nulls`` with NaN in place of the missing prices (the SQL form has NULL there)."""
+    price = F.coalesce("o_totalprice", F.lit(float("nan")))
+    return orders_nulls(spark, d).withColumn("o_totalprice", price)
+
+
 def orders_text(spark, d):
     """String-typed copies of order fields with unparsable values mixed in."""
     o = tb.table(spark, d, "orders")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.nulls import as_list, isin_with_null
+from ..functions.nulls import as_list, isin_with_null, nan_to_null
 from ..functions.time import literal_like, parse_ntz
 
 DEFAULTS = {"header": "true"}
@@ -18,14 +18,15 @@ DEFAULTS = {"header": "true"}
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
              columns: Sequence[str] | None = None, **options) -> DataFrame:
     """Read CSV file(s); call options override the defaults. With ``schema`` no
-    inference pass is made (recommended at scale). ``columns`` prunes the scan."""
+    inference pass is made (recommended at scale). ``columns`` prunes the scan.
+    NaN cells become NULL (N3)."""
     opts = {**DEFAULTS, **{k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}}
     r = spark.read.options(**opts)
     if schema is not None:
         r = r.schema(schema)
     elif "inferSchema" not in opts:
         r = r.option("inferSchema", "true")
-    df = r.csv(path if isinstance(path, str) else list(path))
+    df = nan_to_null(r.csv(path if isinstance(path, str) else list(path)))
     return df.select(*as_list(columns)) if columns else df
 
 

@@ -123,3 +123,13 @@ def test_grouped_median_matches_pandas(spark):
     assert multi == ["g", "v_median", "v_count"]
     cells = {r["g"]: r for r in tr.pivot(df.withColumn("k", F.lit("x")), "g", "k", "v", "median").collect()}
     assert cells["hot"]["x"] == pytest.approx(theirs["hot"])
+
+
+def test_expressions_like_pandas_eval(spark):
+    df = spark.createDataFrame([(1, -7, 3), (2, 7, -3), (3, 7, 0), (4, None, 3), (5, 6, 3)], "i int, a int, b int")
+    out = {r["i"]: r for r in df.select("i", *[tr.expressions.to_column(e).alias(n) for n, e in (
+        ("m", "a % b"), ("ne", "a != 6"), ("both", "(a > 0) & (b > 0)"), ("any", "(a > 0) | (b > 0)"))]).collect()}
+    assert [out[i]["m"] for i in range(1, 6)] == [2, -2, None, None, 0]
+    assert [out[i]["ne"] for i in range(1, 6)] == [True, True, True, True, False]
+    assert [out[i]["both"] for i in range(1, 6)] == [False, False, False, False, True]
+    assert [out[i]["any"] for i in range(1, 6)] == [True, True, True, True, True]
