@@ -99,6 +99,7 @@ def balanced_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     n = rows.count()
     start = F.pmod(F.xxhash64("row", "doc_id"), F.lit(shards)).cast("int")
     hubs = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    hubs = staged(hubs, "groups")            # so the join below reads plain exchanges, of which a hot group can be split
     linked = rows.join(hubs, "hub").withColumn("shard", start)
     # a unit: the members of a group that start in one shard, in parts of bounded size
     most = max(1, n // shards // UNITS)
