@@ -114,6 +114,16 @@ def q_report_training(spark, d):
     return rounded(reports.training(tb.training(spark, d)), 6)
 
 
+@query("report_training_window", f"""
+WITH t AS (SELECT DISTINCT * FROM ({tb.TRAINING_SQL}) WHERE completion_date >= DATE '2024-05-16')
+SELECT round(CASE WHEN count(*) > 0 THEN sum(CAST(completed AS INTEGER)) / count(*) * 100 ELSE 0 END, 6)
+       AS training_completion_rate, round(avg(score), 6) AS average_assessment_score,
+       CAST(count(*) AS DOUBLE) AS records FROM t
+""")
+def q_report_training_window(spark, d):
+    return rounded(reports.training(tb.training(spark, d), _dt.date(2024, 6, 15)), 6)
+
+
 def _monthly_kpi_sql():
     m = f"(SELECT *, profit / revenue * 100 AS profit_margin, new_customers - churned_customers AS net_customer_growth FROM ({tb.MONTHLY_SQL}))"
     kpis = [("Total Revenue", "revenue"), ("Total Profit", "profit"), ("Net Customer Growth", "net_customer_growth")]

@@ -113,6 +113,27 @@ def q_src_json_envelope(spark, d):
     return jp.read_responses(spark, path, EVENTS_SCHEMA)
 
 
+@query("src_json_broken", """
+SELECT e.* REPLACE (CASE WHEN floor(event_id / 50) % 7 = 3 THEN NULL ELSE event_id END AS event_id,
+                    CASE WHEN floor(event_id / 50) % 7 = 3 THEN NULL ELSE user_id END AS user_id,
+                    CASE WHEN floor(event_id / 50) % 7 = 3 THEN NULL ELSE ts END AS ts,
+                    CASE WHEN floor(event_id / 50) % 7 = 3 THEN NULL ELSE event_type END AS event_type,
+                    CASE WHEN floor(event_id / 50) % 7 = 3 THEN NULL ELSE value END AS value,
+                    CASE WHEN floor(event_id / 50) % 7 = 3 THEN NULL ELSE props END AS props),
+       CASE WHEN floor(event_id / 50) % 7 = 3 THEN '{"data": [{"event_id": ' || event_id || ', "cut' END AS broken
+FROM events e
+""")
+def q_src_json_broken(spark, d):
+    """One object per event under ``data``; those of some pages are cut off in the middle."""
+    ev = tb.table(spark, d, "events")
+    row = F.to_json(F.struct(F.struct(*ev.columns).alias("data")), jp.JSON_OPTIONS)
+    cut = F.concat(F.lit('{"data": [{"event_id": '), F.col("event_id").cast("string"), F.lit(', "cut'))
+    path = staging_path(spark, "src_json_broken")
+    (ev.select(F.when(F.floor(F.col("event_id") / 50) % 7 == 3, cut).otherwise(row).alias("value"))
+     .write.mode("overwrite").text(path))
+    return jp.read_responses(spark, path, EVENTS_SCHEMA, corrupt_column="broken")
+
+
 @query("src_json_pages", """
 SELECT * FROM events
 WHERE floor(event_id / 100) + 1 < 37 OR (floor(event_id / 100) + 1 = 37 AND event_type <> 'error')
@@ -149,6 +170,22 @@ def q_src_log_scan(spark, d):
     return lg.scan(spark, path, min_level="WARNING")
 
 
+@query("src_log_tail", f"""
+SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - ' || logger || ' - ' || level || ' - ' || location || ' - ' || message
+       AS line
+FROM ({_LOG_SQL}) ORDER BY ts DESC, line DESC LIMIT 200
+""")
+def q_src_log_tail(spark, d):
+    """The last 200 lines of the whole log."""
+    logs = execution_logs(spark, d)
+    loc = F.concat(F.lit("jobs:run:"), F.regexp_extract("step", r"(\d+)$", 1))
+    lines = logs.select(lg.format_line(F.col("timestamp"), F.lit("tessera.jobs"), F.col("level"), loc,
+                                       F.col("message")).alias("value"))
+    path = staging_path(spark, "src_log_tail")
+    lines.write.mode("overwrite").text(path)
+    return lg.scan(spark, path, min_level="DEBUG", tail=200)
+
+
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
     T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),

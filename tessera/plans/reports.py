@@ -69,6 +69,7 @@ def sql_monthly(spark, monthly: DataFrame, as_of: dt.date) -> DataFrame:
     return spark.sql(MONTHLY_SQL, args={"month_start": str(start)}, monthly_summary=monthly)
 
 
+# fixed values: as declared for the report
 WEEKLY_TEAM_METRICS = {"calls_handled": "sum", "avg_handling_time": "mean", "first_call_resolution": "mean",
                        "customer_satisfaction": "mean", "sales_amount": "sum", "conversion_rate": "mean"}
 
@@ -100,6 +101,7 @@ def weekly_kpi(performance: DataFrame, as_of: dt.date | None = None) -> dict[str
     return {"by_team": by_team, "kpis": kpis, "trend": trend}
 
 
+# fixed values: as declared for the report
 MONTHLY_STEPS = [
     {"type": "aggregate", "groupby": ["department"],
      "metrics": {"revenue": "sum", "costs": "sum", "profit": "sum", "headcount": "mean",
@@ -122,14 +124,14 @@ def monthly_summary(monthly: DataFrame, as_of: dt.date | None = None) -> DataFra
     return apply_transformations(clean, MONTHLY_STEPS, order_by="date")
 
 
-def training(records: DataFrame) -> DataFrame:
+def training(records: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """dedup → completion rate and average score (when the columns exist), one row.
-    The test data has no completion date, so the 30-day window applies only
-    when a ``completion_date`` column is present."""
+    With ``as_of``, only records completed in the 30 days before it or later."""
     from ..operators import kpi as K
     src = records
-    if "completion_date" in src.columns:
-        src = src.where(F.col("completion_date") >= F.date_sub(F.current_date(), 30))
+    if as_of is not None:
+        since = dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=30)
+        src = src.where(F.col("completion_date") >= literal_like(src, "completion_date", since))
     clean = cl.remove_duplicates(src)
     kpis = []
     if "completed" in clean.columns:
@@ -140,6 +142,7 @@ def training(records: DataFrame) -> DataFrame:
     return K.kpi_frame(clean, kpis).select(*[k.name for k in kpis])
 
 
+# fixed values: as declared for the report
 MONTHLY_KPIS = [
     {"name": "Total Revenue", "column": "revenue", "aggregation": "sum", "format": "currency",
      "compare_previous": True},

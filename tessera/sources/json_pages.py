@@ -1,8 +1,9 @@
 """Landed JSON responses: envelope unwrapping and page-stop rules.
 
 A response document is one line of a text file. Its rows are the array under
-``data``, else ``results``, else ``items``; a bare array is the rows; a bare
-object is one row; a scalar gives no rows. Parsing is ``from_json`` with the
+``data``, else ``results``, else ``items`` (an object there is one row); a bare
+array is the rows; a bare object is one row; a scalar or an empty line gives no
+rows. Documents that do not parse are kept apart or fail the read. Parsing is ``from_json`` with the
 row schema (JVM-side); nothing is collected.
 """
 
@@ -10,7 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from ..functions.nulls import nan_to_null
 
 ENVELOPE_KEYS = ("data", "results", "items")
 POST_ENVELOPE_KEYS = ("data",)            # responses of POST requests only use "data"
@@ -19,31 +22,56 @@ JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+SCALAR = r'^\s*(null|true|false|-?\d+(\.\d+)?([eE][+-]?\d+)?|"([^"\\]|\\.)*")?\s*$'
+
+
+def _parsed(text: Column, field: str, row_schema: StructType) -> Column:
+    """struct<rows, bad> of the rows under ``field``; bad if anything of it does not fit the schema."""
+    schema = StructType([StructField(field, ArrayType(row_schema)), StructField("__bad", StringType())])
+    p = F.from_json(text, schema, {**JSON_OPTIONS, "columnNameOfCorruptRecord": "__bad"})
+    return F.struct(p[field].alias("rows"), p["__bad"].isNotNull().alias("bad"))
+
+
 def unwrap(doc: Column, row_schema: StructType, keys: tuple[str, ...] = ENVELOPE_KEYS) -> Column:
-    """array<row> held by one response document (string column); ``keys`` are the
-    envelope fields tried in order."""
-    arr = ArrayType(row_schema)
-    env = F.from_json(doc, StructType([StructField(k, arr) for k in keys]), JSON_OPTIONS)
-    trimmed = F.ltrim(doc)
-    is_list = trimmed.startswith("[")
-    is_obj = trimmed.startswith("{")
-    as_list = F.from_json(doc, arr, JSON_OPTIONS)
-    as_obj = F.array(F.from_json(doc, row_schema, JSON_OPTIONS))
-    keyed = F.coalesce(*[env[k] for k in keys])
-    has_key = F.lit(False)
+    """struct<rows: array<row>, bad: boolean> of one response document (string column).
+
+    ``keys`` are the envelope fields; the first one that is present counts, whatever
+    its value: an array is the rows, an object one row, null no rows. ``bad`` marks a
+    document that is no JSON or whose rows do not fit ``row_schema``."""
+    start = F.ltrim(doc)
+    present = F.json_object_keys(doc)                       # NULL unless doc is a whole object
+    in_list = lambda x: _parsed(F.concat(F.lit('{"rows":['), x, F.lit("]}")), "rows", row_schema)
+    none = F.struct(F.array().cast(ArrayType(row_schema)).alias("rows"), F.lit(False).alias("bad"))
+    broken = F.struct(F.array().cast(ArrayType(row_schema)).alias("rows"), F.lit(True).alias("bad"))
+    out = F.when(start.startswith("["), _parsed(F.concat(F.lit('{"rows":'), doc, F.lit("}")), "rows", row_schema))
+    out = out.when(start.startswith("{") & present.isNull(), broken)
     for k in keys:
-        has_key = has_key | F.get_json_object(doc, f"$.{k}").isNotNull()
-    return (F.when(is_list, as_list)
-            .when(is_obj & has_key, keyed)
-            .when(is_obj, as_obj)
-            .otherwise(F.array().cast(arr)))
+        value = F.get_json_object(doc, f"$.{k}")
+        here = F.array_contains(present, k)
+        out = out.when(here & value.startswith("{"), in_list(value)).when(here, _parsed(doc, k, row_schema))
+    return out.when(start.startswith("{"), in_list(doc)).when(doc.rlike(SCALAR), none).otherwise(broken)
 
 
 def read_responses(spark: SparkSession, path: str, row_schema: StructType, keep_doc_columns=(),
-                   keys: tuple[str, ...] = ENVELOPE_KEYS) -> DataFrame:
-    docs = spark.read.text(path)
-    rows = docs.select(*keep_doc_columns, F.explode(unwrap(F.col("value"), row_schema, keys)).alias("__r"))
-    return rows.select(*keep_doc_columns, "__r.*")
+                   keys: tuple[str, ...] = ENVELOPE_KEYS, corrupt_column: str | None = None) -> DataFrame:
+    """The rows of all response documents under ``path``; NaN counts as missing (N3).
+
+    A document that is broken, or of which a value does not fit ``row_schema``,
+    fails the read. With ``corrupt_column`` it becomes one row instead, with its
+    text in that column and the others NULL; none of its rows is returned."""
+    docs = spark.read.text(path).select(*keep_doc_columns, "value", unwrap(F.col("value"), row_schema, keys).alias("__u"))
+    bad = F.col("__u.bad")
+    if corrupt_column is None:
+        message = F.concat(F.lit("response document that does not fit the schema: "), F.substring("value", 1, 200))
+        docs = docs.withColumn("__rows", F.when(bad, F.raise_error(message)).otherwise(F.col("__u.rows")))
+        rows = docs.select(*keep_doc_columns, F.explode("__rows").alias("__r")).select(*keep_doc_columns, "__r.*")
+    else:
+        one = F.array(F.lit(None).cast(row_schema))
+        docs = docs.withColumn("__rows", F.when(bad, one).otherwise(F.col("__u.rows")))
+        rows = docs.select(*keep_doc_columns, F.when(bad, F.col("value")).alias(corrupt_column),
+                           F.explode("__rows").alias("__r"))
+        rows = rows.select(*keep_doc_columns, "__r.*", corrupt_column)
+    return nan_to_null(rows, row_schema.fieldNames())
 
 
 def paginate(pages: DataFrame, page_column: str, limit: int = 100, max_pages: int | None = None) -> DataFrame:

@@ -153,7 +153,8 @@ GROUP BY 1, 2
 
 def training(spark: SparkSession, data_dir: str) -> DataFrame:
     """training_records = labels ⋈ documents: completed = quality, score = n_chars,
-    certified = 1 - toxic, hours = n_chars / 1000, employee = source."""
+    certified = 1 - toxic, hours = n_chars / 1000, employee = source,
+    completion_date = a day of 2024 by doc_id."""
     lab = table(spark, data_dir, "labels")
     docs = table(spark, data_dir, "documents").select("doc_id", "n_chars", "source", "lang")
     j = lab.join(docs, "doc_id")
@@ -165,11 +166,13 @@ def training(spark: SparkSession, data_dir: str) -> DataFrame:
         (F.col("toxic") == 0).alias("certified"),
         F.col("n_chars").cast("double").alias("score"),
         (F.col("n_chars") / 1000.0).alias("hours"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(365)).cast("int")).alias("completion_date"),
     )
 
 
 TRAINING_SQL = """
 SELECT l.doc_id, d.source AS employee, d.lang AS course, (l.quality = 1) AS completed, (l.toxic = 0) AS certified,
-       CAST(d.n_chars AS DOUBLE) AS score, d.n_chars / 1000.0 AS hours
+       CAST(d.n_chars AS DOUBLE) AS score, d.n_chars / 1000.0 AS hours,
+       DATE '2024-01-01' + CAST(l.doc_id % 365 AS INTEGER) AS completion_date
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 """

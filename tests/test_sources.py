@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.sources import csv as cs
+import pytest
+
 from tessera.sources import json_pages as jp
 from tessera.sources import logs as lg
 from tessera.sources import sinks as sk
@@ -64,6 +66,19 @@ def test_json_envelopes(spark, tmp_dir):
     assert sum(1 for r in post if r["id"] is None) == 2
 
 
+def test_json_documents_kept_apart(spark, tmp_dir):
+    good = ['{"data": {"id": 1, "name": "a"}}', '{"data": null, "results": [{"id": 9}]}', '{"data": [{"id": 2}], "items": 3}',
+            '{"results": []}', "[]", "", '"text"', "null", '{"id": 3, "name": null}', '{"data": [{"id": 4, "extra": [1]}]}']
+    bad = ['{"data": [{"id": 5}', '[{"id": 6}', "oops", '{"data": [{"id": "x"}, {"id": 7}]}', '{"data": "text"}', '{"id": 1.5e']
+    write_text(f"{tmp_dir}/mixed/r.json", "\n".join(good + bad))
+    got = jp.read_responses(spark, f"{tmp_dir}/mixed", ROW, corrupt_column="broken").collect()
+    assert sorted(r["id"] for r in got if r["broken"] is None) == [1, 2, 3, 4]
+    assert sorted(r["broken"] for r in got if r["broken"] is not None) == sorted(bad)
+    assert all(r["id"] is None and r["name"] is None for r in got if r["broken"] is not None)
+    with pytest.raises(Exception, match="does not fit the schema"):
+        jp.read_responses(spark, f"{tmp_dir}/mixed", ROW).collect()
+
+
 def test_json_pages_stop_rules(spark):
     def pages(sizes):
         rows = [(p, i) for p, n in enumerate(sizes, start=1) for i in range(n)]
