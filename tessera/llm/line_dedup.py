@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-GRAM = 2
+GRAM = 2             # of the registered query, whose SQL states this form
 WINDOW = 2
 
 
@@ -77,10 +77,14 @@ def repeated_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> D
     return later.groupBy("key").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set(lines)))).alias("cut"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
-               window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = 1,
+               window: int = 1) -> DataFrame:
     """``docs`` with the later copies of repeated runs of lines deleted; two columns are added.
 
+    By default every line is a fingerprint, so each later copy of a line that is
+    not empty goes, whatever stands around it, and so does every longer run. With ``gram`` > 1 single
+    repeated lines stay, and with ``window`` > 1 runs of under ``window + gram - 1`` lines may.
+
     ``n_lines`` and ``n_cut`` (integers) count a text's lines and those deleted;
     columns of these names in ``docs`` are replaced. The first copy in the order
     of doc_id (null last), then position stays. Repeats inside one text count

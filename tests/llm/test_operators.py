@@ -350,6 +350,17 @@ def test_line_dedup(spark, odd, none, small, gram, window):
                 assert r.text == want[k, r.was] and r.n_lines == r.was.count("\n") + 1
 
 
+def test_single_lines_and_pairs_whatever_their_neighbours(spark):
+    import corpus_pipeline
+    line = "This work is licensed under the General Public Licence, version two or any later one."
+    docs = spark.createDataFrame([(1, f"a\n{line}\nb"), (2, f"c\n{line}\nd"), (3, f"{line}\ne\n{line}"),
+                                  (4, "x\ny"), (5, "w\nx\ny\np"), (6, "q\nw\nx\ny\nr"), (7, "s\nx\ny\nt\n\nu"), (8, None)],
+                                 "doc_id long, text string")
+    want = {1: f"a\n{line}\nb", 2: "c\nd", 3: "e", 4: "x\ny", 5: "w\np", 6: "q\nr", 7: "s\nt\n\nu", 8: None}
+    assert {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()} == want
+    assert {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, "").collect()} == want
+
+
 def test_line_dedup_stays_native(small):
     plan = line_dedup.line_dedup(small)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
