@@ -4,8 +4,10 @@ Documents start in hashed shards and move towards the shard where most of the
 documents linked with them are, under quotas of the shards' capacity. The links
 are groups (by default equal texts). Documents of a group that stand in one
 shard are interchangeable, so they move as one unit and a round joins units, not
-documents. Documents without links fill the shards up: row counts end at most
-one apart, whatever the groups are.
+documents. Then each group goes whole to the shard that holds most of it or, where
+that is full, to one with room; full shards thereby exchange groups. Documents
+without links fill the shards up: row counts end at most one apart, whatever the
+groups are.
 """
 
 from __future__ import annotations
@@ -64,18 +66,87 @@ def propagate(units: DataFrame, n: int, shards: int, rounds: int = ROUNDS) -> Da
     return units
 
 
-def _numbered(rows: DataFrame, n: int, order: list, by: list[str]) -> DataFrame:
-    """``rows`` with ``rank``: numbers from 0 within ``by``, without gaps, counted in hash buckets of bounded size."""
+def _numbered(rows: DataFrame, n: int, order: list, by: list[str], size=None) -> DataFrame:
+    """``rows`` with ``rank``: the sum of ``size`` (default: 1) before each within ``by``, counted in hash buckets of bounded size."""
+    size = F.lit(1) if size is None else size
     buckets = max(1, n // BUCKET_ROWS)
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    counts = rows.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(*by, "bucket").agg(F.sum(size).alias("n"))
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offset = counts.select(*by, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy(*by, "bucket").orderBy(*order)
-    return (rows.withColumn("rank", F.row_number().over(inside) - 1)
+    inside = Window.partitionBy(*by, "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("rank", F.coalesce(F.sum(size).over(inside), F.lit(0)))
             .join(offset, [*by, "bucket"]).withColumn("rank", F.col("rank") + F.col("first")).drop("bucket", "first"))
 
 
+def _put(groups: list[tuple], room: list[int]) -> list[tuple]:
+    """(hub, shard, first, last) of ``groups`` (hub, members, shard that holds most), the largest first; ``room`` shrinks.
+
+    A group goes whole to its shard, else to the fullest one with room for it, else
+    over the shards with most room. ``first`` and ``last`` bound the members' numbers.
+    """
+    out = []
+    for hub, members, best in sorted(groups, key=lambda g: (-g[1], g[0])):
+        at = 0
+        while at < members:
+            left = members - at
+            fits = [s for s, r in enumerate(room) if r >= left]
+            to = best if not at and best in fits else min(fits, key=lambda s: room[s]) if fits else max(
+                range(len(room)), key=lambda s: room[s])
+            k = min(left, room[to])
+            out.append((hub, to, at, at + k))
+            room[to] -= k
+            at += k
+    return out
+
+
+def _ranges(room: list[int]) -> list[tuple[int, int, int]]:
+    """(shard, first, last) that number the rooms of all shards one after the other."""
+    out, at = [], 0
+    for s, r in enumerate(room):
+        out.append((s, at, at + r))
+        at += r
+    return out
+
+
+def place(units: DataFrame, n: int, shards: int) -> DataFrame:
+    """``hub, shard, first, last``: where a group's members of these numbers go; all of a group in one row if it stays whole.
+
+    Groups of more than 1/UNITS of a shard are few (their number is bounded by
+    shards and UNITS) and are placed first, on the driver. The others go to
+    the shard that holds most of them as far as it has room; the rest
+    fill the rooms of all shards in one sequence. The groups that lie
+    across the ends of rooms, fewer than there are shards, are placed last.
+    """
+    spark, schema = units.sparkSession, "hub binary, shard int, first long, last long"
+    held = units.groupBy("hub", "shard").agg(F.sum("size").alias("held"))
+    best = F.max(F.struct("held", F.xxhash64("hub", "shard").alias("tie"), "shard")).alias("best")
+    groups = staged(held.groupBy("hub").agg(F.sum("held").alias("members"), best)
+                    .select("hub", "members", F.col("best.shard").alias("shard")), "wholes")
+    most = max(1, n // shards // UNITS)
+    room = [n // shards + (s < n % shards) for s in range(shards)]
+    listed = lambda df: [(bytes(r["hub"]), r["members"], r["shard"]) for r in df.collect()]
+    pieces = _put(listed(groups.where(F.col("members") > most)), room)
+    small = _numbered(groups.where(F.col("members") <= most), n, ["hub"], ["shard"], F.col("members"))
+    limit = F.element_at(F.array(*[F.lit(r).cast("long") for r in room]), F.col("shard") + 1)
+    small = staged(small.withColumn("stays", F.col("rank") + F.col("members") <= limit).drop("rank"), "small")
+
+    def take(df):
+        for r in df.groupBy("shard").agg(F.sum("members").alias("n")).collect():     # one row per shard
+            room[r["shard"]] -= r["n"]
+        return df.select("hub", "shard", F.lit(0).cast("long").alias("first"), F.col("members").cast("long").alias("last"))
+
+    stay = take(small.where("stays"))
+    rest = _numbered(small.where("not stays").drop("stays").withColumn("all", F.lit(0)), n, ["hub"], ["all"], F.col("members"))
+    to = F.coalesce(*[F.when((F.col("rank") >= a) & (F.col("rank") + F.col("members") <= b), F.lit(s))
+                      for s, a, b in _ranges(room)])
+    rest = staged(rest.select("hub", "members", F.col("shard").alias("held_by"), to.cast("int").alias("shard")), "rest")
+    moved = take(rest.where("shard is not null"))
+    pieces += _put(listed(rest.where("shard is null").select("hub", "members", F.col("held_by").alias("shard"))), room)
+    return staged(stay.unionByName(moved).unionByName(spark.createDataFrame(
+        [(bytearray(h), s, a, b) for h, s, a, b in pieces], schema)), "places")
+
+
 def balanced_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
                     group_col: str | None = None, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
@@ -108,10 +179,14 @@ def balanced_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     units = staged(linked.groupBy("hub", "part", "shard").agg(F.count(F.lit(1)).alias("size"))
                    .select("hub", "part", "size", "shard"), "units")
     units = propagate(units, n, shards, rounds)
-    put = linked.drop("shard").join(units.select("hub", "part", "shard"), ["hub", "part"]).select("row", "hub", "shard")
-    # what stands beyond a shard's capacity (possible only if nearly all rows are linked) is placed anew, like rows without links
-    put = staged(_numbered(put, n, ["hub", "row"], ["shard"]), "placed")
-    fits = put.where(F.col("rank") < _capacity(n, shards, F.col("shard"))).select("row", "shard")
+    places = place(units, n, shards)
+    cut = places.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")      # few: see place()
+    whole = places.join(F.broadcast(cut), "hub", "left_anti").select("hub", "shard")
+    fits = linked.select("row", "hub").join(staged(whole, "whole"), "hub").select("row", "shard")
+    parted = _numbered(linked.select("row", "hub").join(F.broadcast(cut), "hub"), n, ["row"], ["hub"])
+    parted = (parted.join(F.broadcast(places.join(F.broadcast(cut), "hub")), "hub")
+              .where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))).select("row", "shard"))
+    fits = staged(fits.unionByName(parted), "placed")
     load = fits.groupBy("shard").agg(F.count(F.lit(1)).alias("load"))
     room = (rows.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).join(load, "shard", "left")
             .withColumn("room", _capacity(n, shards, F.col("shard")) - F.coalesce("load", F.lit(0))))

@@ -204,6 +204,17 @@ def test_sharding(spark, odd, none, small, shards):
         assert max(where.pop("hot").values()) >= 150 and sum(len(s) > 1 for s in where.values()) <= 3
 
 
+@pytest.mark.parametrize("rows_, members, linked", [(4000, 2, 4000), (4000, 4, 4000), (4000, 3, 2400), (4000, 7, 4000)])
+def test_sharding_keeps_groups_whole_in_full_shards(spark, rows_, members, linked):
+    docs = spark.createDataFrame([(i, f"g{i // members}" if i < linked else f"own {i}") for i in range(rows_)],
+                                 "doc_id long, text string")
+    got = sharding.balanced_shards(docs, 10).toPandas()
+    n = got.groupby("shard").size()
+    cut = (got[got.doc_id < linked].groupby(got.doc_id // members).shard.nunique() > 1).sum()
+    assert len(got) == got.doc_id.nunique() == rows_ and len(n) == 10 and n.min() == n.max()
+    assert cut == 0 if members < 7 else cut < 10      # 400 rows a shard are no multiple of 7
+
+
 # ---- 5: exact dedup
 def test_exact_dedup(odd, none, small):
     assert exact_dedup.exact_dedup(none).count() == 0
