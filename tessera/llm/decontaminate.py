@@ -84,6 +84,7 @@ class Template:
         k = kind[word]
         unit = (k == UNIT) & np.r_[False, k[:-1] == NUMBER][:len(k)]
         self.toks, self.word = toks, word
+        self.bares: dict[tuple[int, int], np.ndarray] = {}
         self.hashes = []
         self.slots = []
         for reading in (0, 1):
@@ -114,6 +115,13 @@ class Template:
         c = np.cumsum(np.r_[0, self.slots[reading] == 0])
         return c[width:] - c[:-width] if n > 0 else np.zeros(0, np.int64)
 
+    def bare(self, reading: int, width: int) -> np.ndarray:
+        """The windows of placeholders alone, if others hold words; the benchmark's hashes leave them out."""
+        if (reading, width) not in self.bares:
+            lit = self.literal(reading, width)
+            self.bares[reading, width] = np.flatnonzero(lit == 0) if (lit > 0).any() else np.zeros(0, np.int64)
+        return self.bares[reading, width]
+
 
 class Benchmark:
     """The items of one block with their sorted window hashes."""
@@ -136,6 +144,23 @@ class Benchmark:
         self.hash, self.item = h[order], cat(item, np.int64)[order]
         self.pos, self.reading = cat(pos, np.int64)[order], cat(reading, np.int64)[order]
 
+    def _along(self, doc: Template, item: Template, found: set) -> set:
+        """Windows of placeholders alone that stand at the shift of a matched window, with the slot types of the item."""
+        more = set()
+        for r in {r for _, _, r in found}:
+            at = item.bare(r, self.width)
+            if not len(at):
+                continue
+            want = item.slots[r][at[:, None] + np.arange(self.width)]
+            for shift in {p - b for p, b, x in found if x == r}:
+                in_doc = (at + shift >= 0) & (at + shift + self.width <= len(doc))
+                places = (at[in_doc] + shift)[:, None] + np.arange(self.width)
+                same = np.zeros(len(places), bool)
+                for slots in doc.slots[:2]:
+                    same |= (slots[places] == want[in_doc]).all(axis=1)
+                more |= {(b + shift, b, r) for b in at[in_doc][same].tolist()}
+        return found | more
+
     def matches(self, text: str, share: float):
         """(item id, windows matched, share of the item's words covered, slots that changed) of contained items."""
         for t in parts(text):
@@ -159,6 +184,7 @@ class Benchmark:
                 pairs[i].add((p, b, rb))
         for i, found in pairs.items():
             item = self.items[i]
+            found = self._along(doc, item, found)
             if len({b for _, b, _ in found}) + self.width - 1 < share * len(item):
                 continue
             best = self._consistent(doc, item, found)

@@ -282,6 +282,19 @@ def test_decontamination(spark, odd, none):
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()) == [3, 4, 5, 6]
 
 
+def found_in(item, *texts):
+    bench = decontaminate.Benchmark([(1, item)], decontaminate.WINDOW)
+    return [next(iter(bench.matches(t, decontaminate.SHARE)), None) for t in texts]
+
+
+def test_decontamination_of_number_series():
+    item = "Sort the numbers 17, 4, 9, 12, 45, 6, 8, 21, 5, 7, 2, 30, 11, 19"
+    other = "Sort the numbers 18, 3, 10, 13, 46, 60, 80, 22, 50, 70, 20, 31, 12, 15"
+    same, changed, twice, words = found_in(item, f"noise here {item} and more", other, other.replace("22", "18").replace("50", "18")
+                                           .replace("70", "18").replace("15", "18"), "Sort the numbers one by one " * 5)
+    assert same[2:] == (1.0, 0) and changed[2:] == (1.0, 14) and twice is None and words is None
+
+
 def test_decontamination_finds_verbatim_items(spark, small):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     want = {(d.doc_id, b.item_id) for d in small.collect() for b in bench.collect() if b.text in d.text}
