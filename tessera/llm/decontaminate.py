@@ -38,7 +38,7 @@ NUMBERS = set("zero one two three four five six seven eight nine ten eleven twel
               "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand "
               "million billion".split())
 
-WORD, CAPITAL, NUMBER, UNIT, END = range(5)
+WORD, CAPITAL, NUMBER, UNIT, END, CAPITAL_UNIT = range(6)
 SLOT = np.array([0, 0x1F123BB5159A55E5, 0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)   # placeholder hashes
 P = 0x9E3779B97F4A7C15
 
@@ -55,7 +55,7 @@ class Tokens(dict):
         elif token[0].isdigit() or low in NUMBERS:
             kind = NUMBER
         elif token[0] != low[0]:
-            kind = CAPITAL
+            kind = CAPITAL_UNIT if low in UNITS else CAPITAL
         else:
             kind = UNIT if low in UNITS else WORD
         out = kind, zlib.crc32(low.encode("utf-8", "surrogatepass")) + 1
@@ -68,10 +68,11 @@ KNOWN = Tokens()
 
 
 class Template:
-    """Words of a text, their slot types, and template hashes in two readings.
+    """Words of a text, their slot types, and template hashes in three readings.
 
     A capital at the start of a sentence may be a name or any word: reading 0
-    takes it as a word, reading 1 as a name.
+    takes it as a word, reading 1 as a name. Reading 2 takes all names as words in lower
+    case, so that a copy is found whatever its case.
     """
 
     def __init__(self, text: str):
@@ -82,17 +83,20 @@ class Template:
         word = np.flatnonzero(kind != END)
         first = np.r_[True, kind[:-1] == END][word] if len(kind) else np.zeros(0, bool)
         k = kind[word]
-        unit = (k == UNIT) & np.r_[False, k[:-1] == NUMBER][:len(k)]
+        name = (k == CAPITAL) | (k == CAPITAL_UNIT)
+        counted = np.r_[False, k[:-1] == NUMBER][:len(k)]
+        unit = (k == UNIT) & counted
         self.toks, self.word = toks, word
         self.bares: dict[tuple[int, int], np.ndarray] = {}
         self.hashes = []
         self.slots = []
-        for reading in (0, 1):
-            slot = np.where(k == NUMBER, 2, np.where(unit, 3, np.where((k == CAPITAL) & (~first | (reading == 1)), 1, 0)))
+        for names, units in ((name & ~first, unit), (name, unit), (name & False, unit | (k == CAPITAL_UNIT) & counted)):
+            slot = np.where(k == NUMBER, 2, np.where(units, 3, np.where(names, 1, 0)))
             self.slots.append(slot)
             self.hashes.append(np.where(slot > 0, SLOT[slot], low[word] * np.uint64(0xD6E8FEB86659FD93)))
         # reading 1 differs only where a capital starts a sentence
         self.second = bool((self.slots[0] != self.slots[1]).any())
+        self.named = bool((self.slots[0] != self.slots[2]).any())
 
     def __len__(self):
         return len(self.word)
@@ -109,6 +113,16 @@ class Template:
             out = out * np.uint64(P) + h[j:j + n] if n > 0 else out
         return out ^ (out >> np.uint64(29))
 
+    def readings(self, width: int):
+        """(reading, windows to look at): all of readings 0 and 1, of reading 2 those that differ from reading 0."""
+        every = np.arange(max(len(self) - width + 1, 0))
+        yield 0, every
+        if self.second:
+            yield 1, every
+        if self.named and len(every):
+            c = np.cumsum(np.r_[0, self.slots[0] != self.slots[2]])
+            yield 2, np.flatnonzero(c[width:] > c[:-width])
+
     def literal(self, reading: int, width: int) -> np.ndarray:
         """Words of each window that are not slots."""
         n = len(self) - width + 1
@@ -130,10 +144,10 @@ class Benchmark:
         self.width, self.ids, self.items = width, [i for i, _ in items], [Template(t) for _, t in items]
         hashes, item, pos, reading = [], [], [], []
         for n, t in enumerate(self.items):
-            for r in (0, 1) if t.second else (0,):
+            for r, at in t.readings(width):
                 # windows of placeholders alone would match anything; an item of nothing else keeps them
                 lit = t.literal(r, width)
-                at = np.flatnonzero(lit > 0) if (lit > 0).any() else np.arange(len(lit))
+                at = at[lit[at] > 0] if (lit > 0).any() else at
                 hashes.append(t.windows(r, width)[at])
                 item.append(np.full(len(at), n))
                 pos.append(at)
@@ -156,7 +170,7 @@ class Benchmark:
                 in_doc = (at + shift >= 0) & (at + shift + self.width <= len(doc))
                 places = (at[in_doc] + shift)[:, None] + np.arange(self.width)
                 same = np.zeros(len(places), bool)
-                for slots in doc.slots[:2]:
+                for slots in doc.slots:
                     same |= (slots[places] == want[in_doc]).all(axis=1)
                 more |= {(b + shift, b, r) for b in at[in_doc][same].tolist()}
         return found | more
@@ -168,10 +182,10 @@ class Benchmark:
 
     def _matches(self, doc: Template, share: float):
         pairs = defaultdict(set)
-        for r in (0, 1) if doc.second else (0,):
-            h = doc.windows(r, self.width)
-            if not len(h) or not len(self.hash):
-                return
+        for r, look in doc.readings(self.width):
+            if not len(look) or not len(self.hash):
+                break
+            h = doc.windows(r, self.width)[look]
             lo = np.searchsorted(self.hash, h)
             hit = np.flatnonzero(self.hash[np.minimum(lo, len(self.hash) - 1)] == h)
             if not len(hit):
@@ -179,7 +193,7 @@ class Benchmark:
             hi = np.searchsorted(self.hash, h[hit], side="right")
             n = hi - lo[hit]
             at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
-            for p, i, b, rb in zip(np.repeat(hit, n).tolist(), self.item[at].tolist(), self.pos[at].tolist(),
+            for p, i, b, rb in zip(np.repeat(look[hit], n).tolist(), self.item[at].tolist(), self.pos[at].tolist(),
                                    self.reading[at].tolist()):
                 pairs[i].add((p, b, rb))
         for i, found in pairs.items():

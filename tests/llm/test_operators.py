@@ -295,6 +295,14 @@ def test_decontamination_of_number_series():
     assert same[2:] == (1.0, 0) and changed[2:] == (1.0, 14) and twice is None and words is None
 
 
+def test_decontamination_whatever_the_case():
+    german = ("Der Bäcker verkauft am Morgen 12 Brote und am Abend 7 Brote an die Kinder der Stadt Bremen. Wie viele Brote hat "
+              "der Bäcker am Ende der Woche verkauft?")
+    for item in (ITEM, german, "Which of these came first: The Lord Of The Rings, The Return Of The King or The Hobbit?"):
+        assert all(m[2:] == (1.0, 0) for m in found_in(item, item, item.lower(), item.upper(), item.title()))
+        assert found_in(item, item.lower().replace("e", "o")) == [None]
+
+
 def test_decontamination_finds_verbatim_items(spark, small):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     want = {(d.doc_id, b.item_id) for d in small.collect() for b in bench.collect() if b.text in d.text}
