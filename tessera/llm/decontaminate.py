@@ -25,8 +25,11 @@ BLOCK_CHARS = 32 << 20       # characters of benchmark items that one pass over
 KEPT_TOKENS = 400_000
 TEXT_PART = 1 << 20          # a long text is read in parts of about this many characters
 
-# a number, a word, or what ends a sentence
-TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]")
+# scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, Chinese characters
+UNSPACED = ("\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            "\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff")
+# a number, a word (a character of a script without spaces), or what ends a sentence
+TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|[^\W\d_{UNSPACED}]+|(?![\W\d_])[{UNSPACED}]|[.!?\n]")
 # fixed values: units of measure, currencies and time
 UNITS = set("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms pound "
             "pounds lb lbs oz ounce ounces ton tons ml l liter liters litre litres gallon gallons second seconds "
@@ -96,6 +99,7 @@ class Template:
             self.hashes.append(np.where(slot > 0, SLOT[slot], low[word] * np.uint64(0xD6E8FEB86659FD93)))
         # reading 1 differs only where a capital starts a sentence
         self.second = bool((self.slots[0] != self.slots[1]).any())
+        self.literals = low[word] * np.uint64(0xD6E8FEB86659FD93)
         self.named = bool((self.slots[0] != self.slots[2]).any())
 
     def __len__(self):
@@ -106,7 +110,10 @@ class Template:
 
     def windows(self, reading: int, width: int) -> np.ndarray:
         """The hash of the window at each word; empty if the text is shorter."""
-        h = self.hashes[reading]
+        return self.rolled(self.hashes[reading], width)
+
+    @staticmethod
+    def rolled(h: np.ndarray, width: int) -> np.ndarray:
         n = len(h) - width + 1
         out = np.zeros(max(n, 0), np.uint64)
         for j in range(width):
@@ -143,7 +150,10 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]], width: int):
         self.width, self.ids, self.items = width, [i for i, _ in items], [Template(t) for _, t in items]
         hashes, item, pos, reading = [], [], [], []
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(dict)      # words, hash of all words -> items
         for n, t in enumerate(self.items):
+            if 0 < len(t) < width:
+                self.short[len(t)].setdefault(int(t.rolled(t.literals, len(t))[0]), []).append(n)
             for r, at in t.readings(width):
                 # windows of placeholders alone would match anything; an item of nothing else keeps them
                 lit = t.literal(r, width)
@@ -180,7 +190,19 @@ class Benchmark:
         for t in parts(text):
             yield from self._matches(Template(t), share)
 
+    def _whole(self, doc: Template):
+        """Items of fewer words than a window: all their words, numbers and names too, stand in the text one after the other."""
+        for n, known in self.short.items():
+            h = doc.rolled(doc.literals, n)
+            found = set()
+            for p in np.flatnonzero(np.isin(h, np.fromiter(known, np.uint64, len(known)))).tolist():
+                found.update(i for i in known[int(h[p])] if i not in found
+                             and all(self.items[i].value(j) == doc.value(p + j) for j in range(n)))
+            for i in sorted(found):
+                yield self.ids[i], 1, 1.0, 0
+
     def _matches(self, doc: Template, share: float):
+        yield from self._whole(doc)
         pairs = defaultdict(set)
         for r, look in doc.readings(self.width):
             if not len(look) or not len(self.hash):
@@ -256,8 +278,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``coverage`` is the share of the item's words inside matched windows of
     ``width`` words whose slots are consistent; rows reach ``share``.
     ``n_changed`` counts the item's slot values that the document replaces. An
-    item of fewer than ``width`` words has no window and matches nothing; null
-    texts match nothing. Rows with equal ids are judged one by one and give one
+    item of fewer than ``width`` words is one window and matches only the same words
+    (in any case) and numbers; an item without words and null texts match nothing. In scripts
+    without spaces each character is a word. Rows with equal ids are judged one by one and give one
     row with the best coverage. The documents are read once for every
     ``block_chars`` characters of benchmark text (one broadcast of that size
     each); there is no pair of documents.

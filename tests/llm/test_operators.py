@@ -303,6 +303,16 @@ def test_decontamination_whatever_the_case():
         assert found_in(item, item.lower().replace("e", "o")) == [None]
 
 
+def test_decontamination_of_short_items_and_scripts_without_spaces():
+    same, case, number, apart, part = found_in("Solve 12 apples", "x solve it? Solve 12 apples. y", "SOLVE 12 APPLES", "Solve 13 apples",
+                                               "solve the 12 apples", "solve 12")
+    assert same == case == (1, 1, 1.0, 0) and number is apart is part is None
+    assert found_in("Paris", "from Paris to", "paris", "Parisian") == [(1, 1, 1.0, 0)] * 2 + [None]
+    for item in ("小明有十二个苹果他给了小红五个还剩几个苹果", "東京から大阪までの距離は何キロですか", "เมืองหลวงของประเทศไทยคืออะไร", "日本の首都"):
+        same, other = found_in(item, f"前の文章です{item}次の文章です", item[::-1])
+        assert same[2:] == (1.0, 0) and other is None
+
+
 def test_decontamination_finds_verbatim_items(spark, small):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     want = {(d.doc_id, b.item_id) for d in small.collect() for b in bench.collect() if b.text in d.text}
