@@ -2,7 +2,9 @@
 
 Pass 1 labels each block by where it stands, its stop-word density, length and
 link density. Pass 2 gives blocks that are too short to tell the label of their
-nearest decided neighbours, those of the same container first.
+nearest decided neighbours, those of the same container first. Where the stop
+words do not fit a page, length and link density decide alone; a page without any
+article so far is judged by the density of its elements.
 """
 
 from __future__ import annotations
@@ -38,6 +40,9 @@ STOP = set("a an and are as at be by for from has have he in is it its not of on
            "au aux avec dans de du elle en est et il la le les par pas pour que qui se sur un une "
            "al como con del el las lo los más no para por su".split())
 
+# elements that hold one block each; what lies around them is judged as a whole
+LEAF = set("address blockquote center dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th tr".split())
+
 LONG = 140              # characters from which a block is judged by its words
 STOP_SHARE = 0.15       # share of stop words from which a long block is text
 LINK_SHARE = 0.4        # share of a block's characters in links from which it is a menu
@@ -46,12 +51,14 @@ GOOD, BAD, OPEN = 1, 0, None
 
 
 class Page:
-    """Splits a page into blocks: (text, characters in links, container number), in page order."""
+    """Splits a page into blocks: (text, characters in links, container number), in page order; ``boxes`` has the element around each."""
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, int, int]] = []
         self.roles = [0]                      # per container: 0 plain, 1 article, -1 outside the article
-        self.stack: list[tuple[str, int]] = []
+        self.stack: list[tuple[str, int, int]] = []      # name, container, element around its blocks
+        self.boxes: list[int] = []
+        self.elements = 0
         self.text: list[str] = []
         self.linked = self.in_link = 0
         at, end = 0, len(source)
@@ -89,6 +96,7 @@ class Page:
             text = " ".join(html.unescape("".join(self.text)).split())
             if text:
                 self.blocks.append((text, self.linked, self.container))
+                self.boxes.append(self.stack[-1][2] if self.stack else 0)
             self.text = []
         self.linked = 0
 
@@ -110,7 +118,8 @@ class Page:
         if role:
             self.roles.append(role)
             now = len(self.roles) - 1
-        self.stack.append((name, now))
+        self.elements += 1
+        self.stack.append((name, now, (self.stack[-1][2] if self.stack else 0) if name in LEAF else self.elements))
 
     def close(self, name: str) -> None:
         if name == "a":
@@ -118,7 +127,7 @@ class Page:
         if name not in BLOCK:
             return
         self.flush()
-        if any(n == name for n, _ in self.stack):
+        if any(x[0] == name for x in self.stack):
             while self.stack.pop()[0] != name:
                 pass
 
@@ -141,6 +150,11 @@ class Page:
         return 1 if name in ("article", "main") and not inside else 0
 
 
+def is_dense(text: str) -> bool:
+    words = WORD.findall(text.lower())
+    return bool(words) and sum(w in STOP for w in words) >= STOP_SHARE * len(words)
+
+
 def decide(text: str, linked: int, role: int):
     """Pass 1: the label of a block by itself, or OPEN."""
     if role < 0:
@@ -149,15 +163,35 @@ def decide(text: str, linked: int, role: int):
         return BAD
     if len(text) < LONG:
         return OPEN
-    words = WORD.findall(text.lower())
-    dense = bool(words) and sum(w in STOP for w in words) >= STOP_SHARE * len(words)
-    return GOOD if dense else OPEN if role else BAD
+    return GOOD if is_dense(text) else OPEN if role else BAD
+
+
+def in_other_words(page: Page, first: list) -> list:
+    """Labels of pass 1 where stop words fit less than half of the long blocks outside an article: all of these are good."""
+    long = [i for i, (t, n, c) in enumerate(page.blocks)
+            if not page.roles[c] and len(t) >= LONG and n <= LINK_SHARE * len(t)]
+    size = lambda at: sum(len(page.blocks[i][0]) for i in at)
+    if any(r > 0 for r in page.roles) or 2 * size(i for i in long if first[i]) >= size(long):
+        return first
+    long = set(long)
+    return [GOOD if i in long else x for i, x in enumerate(first)]
+
+
+def dense_elements(page: Page, first: list) -> list[str]:
+    """The short blocks of elements that hold much text and few links."""
+    total, linked = {}, {}
+    for (t, n, c), box in zip(page.blocks, page.boxes):
+        if not page.roles[c]:
+            total[box] = total.get(box, 0) + len(t)
+            linked[box] = linked.get(box, 0) + min(n, len(t))
+    return [t for (t, _, c), box, x in zip(page.blocks, page.boxes, first)
+            if x is None and not page.roles[c] and total[box] - linked[box] >= LONG and linked[box] <= LINK_SHARE * total[box]]
 
 
 def main_text(source: str | None) -> str:
     """The article's blocks, one to a line; empty if there is none."""
     page = Page(source or "")
-    first = [decide(t, n, page.roles[c]) for t, n, c in page.blocks]
+    first = in_other_words(page, [decide(t, n, page.roles[c]) for t, n, c in page.blocks])
     decided = [i for i, x in enumerate(first) if x is not None]
     out = []
     per_container: dict[int, list[int]] = {}
@@ -173,7 +207,7 @@ def main_text(source: str | None) -> str:
                 label = GOOD if page.roles[c] > 0 else _nearest(decided, i, first)
         if label:
             out.append(t)
-    return "\n".join(out)
+    return "\n".join(out or dense_elements(page, first))
 
 
 def _nearest(at: list[int], i: int, label: list) -> int:

@@ -339,6 +339,19 @@ def test_html(spark):
     assert got >= {(None, 0), (2, 0), (3, 79999)} and html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_html_of_other_languages_and_short_paragraphs():
+    menu = "<div><a href=1>Koti</a> <a href=2>Uutiset</a></div>"
+    finnish = "Kissa ja koira asuvat vanhassa talossa metsän laidalla, jossa lapset leikkivät joka päivä kesällä ja talvella. " * 2
+    dutch = "De kat en de hond wonen samen met veel vrienden aan het water, waar kinderen elke dag na school komen spelen. " * 2
+    for text in (finnish, dutch, "小さな町の図書館は毎日たくさんの子どもたちが集まります。" * 8):
+        page = f"{menu}<div><h2>Otsikko</h2><p>{text}</p><p>{text}</p></div><footer>Loppu</footer>"
+        assert html_extract.main_text(page) == "\n".join(["Otsikko", text.strip(), text.strip()])
+    short = [f"Line {i} of a poem that has no long paragraph at all." for i in range(6)]
+    page = f"{menu}<div>{''.join(f'<p>{x}</p>' for x in short)}</div><div>Copyright</div><div class=footer>{'<p>End</p>' * 90}</div>"
+    assert html_extract.main_text(page) == "\n".join(short)
+    assert html_extract.main_text(menu * 40) == html_extract.main_text("<div><p>Too little</p></div>") == ""
+
+
 def test_html_articles_of_the_test_pages(spark):
     import html
     for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
