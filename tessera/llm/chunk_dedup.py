@@ -79,7 +79,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A chunk is a repeat if a chunk of its digest and size stands at an earlier
     place, in the order of doc_id (null last), row, offset. Repeats next to each
-    other form a run; runs of at least ``shortest`` bytes are returned, with byte
+    other form a run; runs of at least ``shortest`` bytes and those that span their whole text are returned, with byte
     offsets into the UTF-8 text and the document in which the run's first chunk
     first occurred. A null or empty text has no chunks. Rows with equal ids are
     documents of their own. A digest with very many copies is one row of a
@@ -88,7 +88,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table = chunk_table(documents(docs, id_col, text_col), bits, longest)
     start = F.when(F.col("i") > 0, F.element_at("ends", F.greatest(F.col("i"), F.lit(1)))).otherwise(0)
     chunks = (table.select("doc_id", "key", "ends", F.posexplode("digests").alias("i", "digest"))
-              .select("doc_id", "key", "i", "digest", start.alias("start"),
+              .select("doc_id", "key", "i", "digest", start.alias("start"), F.element_at("ends", -1).alias("total"),
                       (F.element_at("ends", F.col("i") + 1) - start).alias("size")))
     place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "key", "i")
     first = (chunks.groupBy("digest", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -99,11 +99,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .where((F.col("key") != F.col("key0")) | (F.col("i") != F.col("i0"))))
     rank = F.row_number().over(Window.partitionBy("key").orderBy("i"))
     runs = (repeats.withColumn("run", F.col("i") - rank)
-            .groupBy("key", "run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
+            .groupBy("key", "run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.first("total").alias("total"),
                                        F.max(F.col("start") + F.col("size")).alias("stop"),
                                        F.count(F.lit(1)).alias("n_chunks"),
                                        F.min_by("first_doc_id", "i").alias("first_doc_id")))
-    return (runs.withColumn("n_bytes", F.col("stop") - F.col("start")).where(F.col("n_bytes") >= shortest)
+    return (runs.withColumn("n_bytes", F.col("stop") - F.col("start"))
+            .where((F.col("n_bytes") >= shortest) | (F.col("n_bytes") == F.col("total")))
             .select("doc_id", "start", "stop", "n_bytes", "n_chunks", "first_doc_id"))
 
 

@@ -22,7 +22,7 @@ def op1_token_counts(spark, sf_dir):
 
 
 def op2_substring_dedup(spark, sf_dir):
-    return chunk_dedup.repeated_runs(_table(spark, sf_dir, "documents"))
+    return chunk_dedup.repeated_runs(_table(spark, sf_dir, "documents"), shortest=1)     # the reader sets a minimum by n_bytes
 
 
 def op3_simhash(spark, sf_dir):

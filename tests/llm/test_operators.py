@@ -119,6 +119,19 @@ def test_repeated_runs(spark, odd, none):
     assert cut[0] == planted[0] and len(cut[4]) < len(planted[4]) - 200
 
 
+def test_short_runs(spark, tmp_path):
+    from tessera.llm import queries
+    texts = ["A short note.", "A short note.", "Other words", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(r.doc_id, r.start, r.stop, r.n_bytes, r.first_doc_id) for r in chunk_dedup.repeated_runs(docs).collect()] == [(1, 0, 13, 13, 0)]
+    tail = "so the very same end of a text stands here, long enough for a cut and yet below a hundred bytes"
+    docs = spark.createDataFrame([(0, "first one " + tail), (1, "not the second " + tail)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert chunk_dedup.repeated_runs(docs).count() == 0
+    got = queries.op2_substring_dedup(spark, str(tmp_path)).collect()
+    assert got and all(r.n_bytes < 100 and r.doc_id == 1 for r in got)
+
+
 # ---- 3: SimHash
 def brute_components(prints, radius=3):
     at = sorted(set(prints))
