@@ -121,14 +121,15 @@ class Template:
         return out ^ (out >> np.uint64(29))
 
     def readings(self, width: int):
-        """(reading, windows to look at): all of readings 0 and 1, of reading 2 those that differ from reading 0."""
+        """(reading, windows to look at): all of reading 0, of readings 1 and 2 those that differ from it."""
         every = np.arange(max(len(self) - width + 1, 0))
         yield 0, every
-        if self.second:
-            yield 1, every
-        if self.named and len(every):
-            c = np.cumsum(np.r_[0, self.slots[0] != self.slots[2]])
-            yield 2, np.flatnonzero(c[width:] > c[:-width])
+        for r, differs in ((1, self.second), (2, self.named)):
+            if differs and len(every):
+                other, some = self.slots[0] != self.slots[r], np.zeros(len(every), bool)
+                for j in range(width):
+                    some |= other[j:j + len(every)]
+                yield r, np.flatnonzero(some)
 
     def literal(self, reading: int, width: int) -> np.ndarray:
         """Words of each window that are not slots."""
@@ -171,12 +172,12 @@ class Benchmark:
     def _along(self, doc: Template, item: Template, found: set) -> set:
         """Windows of placeholders alone that stand at the shift of a matched window, with the slot types of the item."""
         more = set()
-        for r in {r for _, _, r in found}:
+        for r in (0, *[1] * item.second, *[2] * item.named):
             at = item.bare(r, self.width)
             if not len(at):
                 continue
             want = item.slots[r][at[:, None] + np.arange(self.width)]
-            for shift in {p - b for p, b, x in found if x == r}:
+            for shift in {p - b for p, b, _ in found}:
                 in_doc = (at + shift >= 0) & (at + shift + self.width <= len(doc))
                 places = (at[in_doc] + shift)[:, None] + np.arange(self.width)
                 same = np.zeros(len(places), bool)
