@@ -156,6 +156,8 @@ class Benchmark:
             if 0 < len(t) < width:
                 self.short[len(t)].setdefault(int(t.rolled(t.literals, len(t))[0]), []).append(n)
             for r, at in t.readings(width):
+                if r == 1:      # all windows, so that those alike in readings 0 and 1 count twice in the vote on slot values
+                    at = np.arange(len(t) - width + 1)
                 # windows of placeholders alone would match anything; an item of nothing else keeps them
                 lit = t.literal(r, width)
                 at = at[lit[at] > 0] if (lit > 0).any() else at
