@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chunk_dedup, decontaminate, exact_dedup, html_extract, line_dedup, packing, quality, sharding, simhash,
-               token_counts)
+from . import (chunk_dedup, decontaminate, exact_dedup, html_extract, line_dedup, merkle, packing, quality, sharding,
+               simhash, token_counts, warc, whitening)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -58,8 +58,21 @@ def op10_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_warc(spark, sf_dir):
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark, sf_dir):
+    return merkle.merkle_manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_simhash, op4_sharding, op5_exact_dedup, op6_quality,
-                            op7_decontamination, op8_html_extraction, op9_line_dedup, op10_packing)}
+                            op7_decontamination, op8_html_extraction, op9_line_dedup, op10_packing, op11_warc, op12_whitening, op13_merkle)}
 
-ORACLES = {"op5_exact_dedup": exact_dedup.SQL, "op9_line_dedup": line_dedup.SQL}
+ORACLES = {"op5_exact_dedup": exact_dedup.SQL, "op9_line_dedup": line_dedup.SQL, "op11_warc": warc.SQL,
+           "op13_merkle": merkle.SQL}
