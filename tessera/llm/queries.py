@@ -11,6 +11,7 @@ from . import (chunk_dedup, decontaminate, exact_dedup, html_extract, line_dedup
                simhash, token_counts, warc, whitening)
 
 TOKENIZER = "byte_bpe_50k.json"
+PASSAGE = 100        # op2: bytes of the shortest passage; copies of whole documents count whatever their length
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,7 @@ def op1_token_counts(spark, sf_dir):
 
 
 def op2_substring_dedup(spark, sf_dir):
-    return chunk_dedup.repeated_runs(_table(spark, sf_dir, "documents"), shortest=1)     # the reader sets a minimum by n_bytes
+    return chunk_dedup.repeated_runs(_table(spark, sf_dir, "documents"), shortest=PASSAGE)
 
 
 def op3_simhash(spark, sf_dir):

@@ -119,19 +119,55 @@ def test_repeated_runs(spark, odd, none):
     assert cut[0] == planted[0] and len(cut[4]) < len(planted[4]) - 200
 
 
-def test_short_runs(spark, tmp_path):
-    from tessera.llm import queries
+def test_short_runs(spark):
     texts = ["A short note.", "A short note.", "Other words", None, ""]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [(r.doc_id, r.start, r.stop, r.n_bytes, r.first_doc_id) for r in chunk_dedup.repeated_runs(docs).collect()] == [(1, 0, 13, 13, 0)]
     tail = "so the very same end of a text stands here, long enough for a cut and yet below a hundred bytes"
     docs = spark.createDataFrame([(0, "first one " + tail), (1, "not the second " + tail)], "doc_id long, text string")
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert chunk_dedup.repeated_runs(docs).count() == 0
-    got = queries.op2_substring_dedup(spark, str(tmp_path)).collect()
+    got = chunk_dedup.repeated_runs(docs, shortest=1).collect()
     assert got and all(r.n_bytes < 100 and r.doc_id == 1 for r in got)
 
 
+def test_query_leaves_short_runs(spark, tmp_path):
+    from tessera.llm import queries
+    common = "so the very same end of a text stands here, long enough for a cut and yet below a hundred bytes"
+    passage = " ".join(f"word{k}" for k in range(60))
+    spark.createDataFrame([(0, "first one " + common), (1, "not the second " + common), (2, passage + " tail of its own"),
+                           (3, "a head of its own " + passage)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in queries.op2_substring_dedup(spark, str(tmp_path)).collect()} == {3}
+
+
+@pytest.mark.parametrize("share", [1e-3, 0.02, 0.9])
+def test_hot_chunks(spark, monkeypatch, share):
+    """A passage in a third of the rows: the same runs however its chunks are dealt."""
+    monkeypatch.setattr(chunk_dedup, "HOT_SHARE", share)
+    rng = np.random.default_rng(8)
+    own = lambda n: "".join(rng.choice(list("abcdefghijklmnop "), n))
+    passage = own(400)
+    docs = [(i if i % 50 else None, own(300) + (passage if i % 3 == 0 else "") + own(200)) for i in range(300)]
+    docs += [(7, docs[8][1]), (8, docs[8][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, want = {}, Counter()
+    for doc_id, text in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0)):
+        data, at, run = text.encode(), 0, None
+        for e in chunk_dedup.cuts(data).tolist():
+            if data[at:e] in seen:
+                run = [run[0], e, run[2]] if run and run[1] == at else [at, e, seen[data[at:e]]]
+            else:
+                if run:
+                    want[doc_id, *run] += 1
+                run, seen[data[at:e]] = None, doc_id
+            at = e
+        if run:
+            want[doc_id, *run] += 1
+    got = chunk_dedup.repeated_runs(df.repartition(4), shortest=1).collect()
+    assert Counter((r.doc_id, r.start, r.stop) for r in got) == Counter((d, a, b) for d, a, b, _ in want.elements())
+    assert Counter((r.doc_id, r.start, r.first_doc_id) for r in got if r.first_doc_id is not None and r.doc_id is not None) == Counter(
+        (d, a, f) for d, a, b, f in want.elements() if f is not None and d is not None)
+
+
 # ---- 3: SimHash
 def brute_components(prints, radius=3):
     at = sorted(set(prints))
