@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter, OrderedDict, defaultdict
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,15 +22,18 @@ from pyspark.sql import functions as F
 
 WINDOW = 5                   # words of a window
 SHARE = 0.8                  # share of an item's words that matched windows must cover
-BLOCK_CHARS = 32 << 20       # characters of benchmark items that one pass over the documents takes
+BLOCK_CHARS = 8 << 20        # characters of benchmark items that one pass over the documents takes
 KEPT_TOKENS = 400_000
+KEPT_ITEMS = 2_000           # templates of items that a worker remembers
+SCAN_CHARS = 1 << 20         # characters of documents that are looked up at once
+FILTER_BITS = 22             # bits of a hash that the first look uses
 TEXT_PART = 1 << 20          # a long text is read in parts of about this many characters
 
 # scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, Chinese characters
 UNSPACED = ("\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
             "\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff")
-# a number, a word (a character of a script without spaces), or what ends a sentence
-TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|[^\W\d_{UNSPACED}]+|(?![\W\d_])[{UNSPACED}]|[.!?\n]")
+# a number, a word (a character of a script without spaces), a sign before a number, or what ends a sentence
+TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|[^\W\d_{UNSPACED}]+|(?![\W\d_])[{UNSPACED}]|[-+*/^=<>\u00d7\u00f7\u2212](?=[ \t(]*\d)|[.!?\n]")
 # fixed values: units of measure, currencies and time
 UNITS = set("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms pound "
             "pounds lb lbs oz ounce ounces ton tons ml l liter liters litre litres gallon gallons second seconds "
@@ -47,9 +51,9 @@ P = 0x9E3779B97F4A7C15
 
 
 class Tokens(dict):
-    """Token -> (class, 32-bit hash of its lower case); forgets all when it has grown to a fixed size."""
+    """Token -> its class and the 32-bit hash of its lower case in one number; forgets all when it has grown to a fixed size."""
 
-    def __missing__(self, token: str) -> tuple[int, int]:
+    def __missing__(self, token: str) -> int:
         if len(self) >= KEPT_TOKENS:
             self.clear()
         low = token.lower()
@@ -61,7 +65,7 @@ class Tokens(dict):
             kind = CAPITAL_UNIT if low in UNITS else CAPITAL
         else:
             kind = UNIT if low in UNITS else WORD
-        out = kind, zlib.crc32(low.encode("utf-8", "surrogatepass")) + 1
+        out = kind << 33 | zlib.crc32(low.encode("utf-8", "surrogatepass")) + 1
         if len(token) <= 64:
             self[token] = out
         return out
@@ -70,36 +74,48 @@ class Tokens(dict):
 KNOWN = Tokens()
 
 
-class Template:
-    """Words of a text, their slot types, and template hashes in three readings.
+class Stream:
+    """Words of one text or of several behind each other: slot types and template hashes in three readings.
 
     A capital at the start of a sentence may be a name or any word: reading 0
     takes it as a word, reading 1 as a name. Reading 2 takes all names as words in lower
     case, so that a copy is found whatever its case.
     """
 
-    def __init__(self, text: str):
-        toks = TOKEN.findall(text)
-        info = list(map(KNOWN.__getitem__, toks))
-        kind = np.fromiter((k for k, _ in info), np.int64, len(info))
-        low = np.fromiter((h for _, h in info), np.uint64, len(info))
-        word = np.flatnonzero(kind != END)
-        first = np.r_[True, kind[:-1] == END][word] if len(kind) else np.zeros(0, bool)
+    def __init__(self, toks: list[str], sizes: list[int]):
+        codes = np.fromiter(map(KNOWN.__getitem__, toks), np.int64, len(toks))
+        kind, low = codes >> 33, (codes & ((1 << 33) - 1)).astype(np.uint64)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.word = word = np.flatnonzero(kind != END)
+        self.owner = owner[word]
+        new = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
+        first = (new | np.r_[False, kind[:-1] == END][:len(kind)])[word]
         k = kind[word]
         name = (k == CAPITAL) | (k == CAPITAL_UNIT)
-        counted = np.r_[False, k[:-1] == NUMBER][:len(k)]
+        counted = np.r_[False, (k[:-1] == NUMBER) & (self.owner[1:] == self.owner[:-1])][:len(k)]
         unit = (k == UNIT) & counted
-        self.toks, self.word = toks, word
-        self.bares: dict[tuple[int, int], np.ndarray] = {}
-        self.hashes = []
-        self.slots = []
+        self.literals = low[word] * np.uint64(0xD6E8FEB86659FD93)
+        self.hashes, self.slots = [], []
         for names, units in ((name & ~first, unit), (name, unit), (name & False, unit | (k == CAPITAL_UNIT) & counted)):
             slot = np.where(k == NUMBER, 2, np.where(units, 3, np.where(names, 1, 0)))
             self.slots.append(slot)
-            self.hashes.append(np.where(slot > 0, SLOT[slot], low[word] * np.uint64(0xD6E8FEB86659FD93)))
+            self.hashes.append(np.where(slot > 0, SLOT[slot], self.literals))
+
+    def within(self, width: int) -> np.ndarray:
+        """The places whose window of ``width`` words lies in one text."""
+        n = max(len(self.word) - width + 1, 0)
+        return np.flatnonzero(self.owner[:n] == self.owner[width - 1:width - 1 + n]) if n else np.zeros(0, np.int64)
+
+
+class Template(Stream):
+    """The stream of a single text, with its words."""
+
+    def __init__(self, text: str):
+        self.toks = TOKEN.findall(text)
+        super().__init__(self.toks, [len(self.toks)])
+        self.bares: dict[tuple[int, int], np.ndarray] = {}
         # reading 1 differs only where a capital starts a sentence
         self.second = bool((self.slots[0] != self.slots[1]).any())
-        self.literals = low[word] * np.uint64(0xD6E8FEB86659FD93)
         self.named = bool((self.slots[0] != self.slots[2]).any())
 
     def __len__(self):
@@ -146,30 +162,99 @@ class Template:
 
 
 class Benchmark:
-    """The items of one block with their sorted window hashes."""
+    """The items of one block: their texts and their window hashes, sorted by hash and by item."""
 
     def __init__(self, items: list[tuple[int, str]], width: int):
-        self.width, self.ids, self.items = width, [i for i, _ in items], [Template(t) for _, t in items]
+        self.width, self.ids, self.texts = width, [i for i, _ in items], [t for _, t in items]
+        self.kept: OrderedDict[int, Template] = OrderedDict()
         hashes, item, pos, reading = [], [], [], []
         self.short: dict[int, dict[int, list[int]]] = defaultdict(dict)      # words, hash of all words -> items
-        for n, t in enumerate(self.items):
+        self.size, self.bares = np.zeros(len(items), np.int32), np.zeros(len(items), np.int32)
+        for n, text in enumerate(self.texts):
+            t = Template(text)
+            self.size[n] = len(t)
             if 0 < len(t) < width:
                 self.short[len(t)].setdefault(int(t.rolled(t.literals, len(t))[0]), []).append(n)
+            bare = set()
             for r, at in t.readings(width):
                 if r == 1:      # all windows, so that those alike in readings 0 and 1 count twice in the vote on slot values
                     at = np.arange(len(t) - width + 1)
                 # windows of placeholders alone would match anything; an item of nothing else keeps them
                 lit = t.literal(r, width)
                 at = at[lit[at] > 0] if (lit > 0).any() else at
+                bare.update(t.bare(r, width).tolist())
                 hashes.append(t.windows(r, width)[at])
-                item.append(np.full(len(at), n))
-                pos.append(at)
-                reading.append(np.full(len(at), r))
+                item.append(np.full(len(at), n, np.int32))
+                pos.append(at.astype(np.int32))
+                reading.append(np.full(len(at), r, np.int8))
+            self.bares[n] = len(bare)
         cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-        h = cat(hashes, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hash, self.item = h[order], cat(item, np.int64)[order]
-        self.pos, self.reading = cat(pos, np.int64)[order], cat(reading, np.int64)[order]
+        self.hash, self.item = cat(hashes, np.uint64), cat(item, np.int32)           # by item
+        self.pos, self.reading = cat(pos, np.int32), cat(reading, np.int8)
+        self.starts = np.searchsorted(self.item, np.arange(len(items) + 1))
+        self.order = np.argsort(self.hash, kind="stable").astype(np.int32)
+        self.sorted = self.hash[self.order]
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self._bucket(self.hash)] = True
+        self.whole = {n: np.array(sorted(known), np.uint64) for n, known in self.short.items()}
+
+    @staticmethod
+    def _bucket(h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+    def template(self, n: int) -> Template:
+        if n in self.kept:
+            self.kept.move_to_end(n)
+        else:
+            if len(self.kept) >= KEPT_ITEMS:
+                self.kept.popitem(last=False)
+            self.kept[n] = Template(self.texts[n])
+        return self.kept[n]
+
+    def known(self, h: np.ndarray) -> np.ndarray:
+        """Which of the window hashes the block has."""
+        out = self.filter[self._bucket(h)]
+        some = np.flatnonzero(out)
+        lo = np.searchsorted(self.sorted, h[some])
+        out[some] = self.sorted[np.minimum(lo, len(self.sorted) - 1)] == h[some]
+        return out
+
+    def scan(self, texts: list[str]) -> list[int]:
+        """The texts that share a window with an item or may hold a short one, looked up as one stream of words."""
+        toks = list(map(TOKEN.findall, texts))
+        stream = Stream(list(chain.from_iterable(toks)), list(map(len, toks)))
+        found = [np.zeros(0, np.int64)]
+        inside = stream.within(self.width)
+        if len(inside) and len(self.hash):
+            for r in range(3):
+                at = inside
+                if r:                                       # windows that differ from reading 0
+                    other = np.cumsum(np.r_[0, stream.slots[r] != stream.slots[0]])
+                    at = inside[other[inside + self.width] > other[inside]]
+                h = Template.rolled(stream.hashes[r], self.width)[at]
+                found.append(stream.owner[at[self.known(h)]])
+        for n, hashes in self.whole.items():
+            at = stream.within(n)
+            found.append(stream.owner[at[np.isin(Template.rolled(stream.literals, n)[at], hashes)]])
+        return np.unique(np.concatenate(found)).tolist()
+
+    def search(self, texts: list[str], share: float):
+        """(number of the text, item id, windows matched, share of words covered, slots that changed), text by text."""
+        own, some, have = [], [], 0
+
+        def flush():
+            for k in self.scan(some):
+                for m in self._matches(Template(some[k]), share):
+                    yield own[k], *m
+        for n, text in enumerate(texts):
+            for part in parts(text):
+                own.append(n)
+                some.append(part)
+                have += len(part)
+                if have >= SCAN_CHARS:
+                    yield from flush()
+                    own, some, have = [], [], 0
+        yield from flush()
 
     def _along(self, doc: Template, item: Template, found: set) -> set:
         """Windows of placeholders alone that stand at the shift of a matched window, with the slot types of the item."""
@@ -190,8 +275,8 @@ class Benchmark:
 
     def matches(self, text: str, share: float):
         """(item id, windows matched, share of the item's words covered, slots that changed) of contained items."""
-        for t in parts(text):
-            yield from self._matches(Template(t), share)
+        for _, *m in self.search([text], share):
+            yield tuple(m)
 
     def _whole(self, doc: Template):
         """Items of fewer words than a window: all their words, numbers and names too, stand in the text one after the other."""
@@ -200,29 +285,31 @@ class Benchmark:
             found = set()
             for p in np.flatnonzero(np.isin(h, np.fromiter(known, np.uint64, len(known)))).tolist():
                 found.update(i for i in known[int(h[p])] if i not in found
-                             and all(self.items[i].value(j) == doc.value(p + j) for j in range(n)))
+                             and all(self.template(i).value(j) == doc.value(p + j) for j in range(n)))
             for i in sorted(found):
                 yield self.ids[i], 1, 1.0, 0
 
     def _matches(self, doc: Template, share: float):
         yield from self._whole(doc)
-        pairs = defaultdict(set)
+        places, hashes = [], []
         for r, look in doc.readings(self.width):
             if not len(look) or not len(self.hash):
                 break
             h = doc.windows(r, self.width)[look]
-            lo = np.searchsorted(self.hash, h)
-            hit = np.flatnonzero(self.hash[np.minimum(lo, len(self.hash) - 1)] == h)
-            if not len(hit):
-                continue
-            hi = np.searchsorted(self.hash, h[hit], side="right")
-            n = hi - lo[hit]
-            at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
-            for p, i, b, rb in zip(np.repeat(look[hit], n).tolist(), self.item[at].tolist(), self.pos[at].tolist(),
-                                   self.reading[at].tolist()):
-                pairs[i].add((p, b, rb))
-        for i, found in pairs.items():
-            item = self.items[i]
+            hit = self.known(h)
+            places.append(look[hit])
+            hashes.append(h[hit])
+        if not places:
+            return
+        places, hashes = np.concatenate(places), np.concatenate(hashes)
+        order = np.argsort(hashes, kind="stable")
+        places, hashes = places[order], hashes[order]
+        for i in self._covered(np.unique(hashes), share):
+            item, own = self.template(i), slice(self.starts[i], self.starts[i + 1])
+            lo, hi = np.searchsorted(hashes, self.hash[own]), np.searchsorted(hashes, self.hash[own], side="right")
+            n = hi - lo
+            at = places[np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())]
+            found = set(zip(at.tolist(), np.repeat(self.pos[own], n).tolist(), np.repeat(self.reading[own], n).tolist()))
             found = self._along(doc, item, found)
             if len({b for _, b, _ in found}) + self.width - 1 < share * len(item):
                 continue
@@ -230,6 +317,19 @@ class Benchmark:
             if best[1] >= share:
                 yield (self.ids[i], *best)
 
+    def _covered(self, hashes: np.ndarray, share: float) -> list[int]:
+        """The items of which enough different windows are among ``hashes``, however often these occur in the text.
+
+        A window that many items share counts once for each of them; the places of a window are only looked at for the items left.
+        """
+        lo, hi = np.searchsorted(self.sorted, hashes), np.searchsorted(self.sorted, hashes, side="right")
+        n = hi - lo
+        at = self.order[np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())]
+        pair = np.unique(self.item[at].astype(np.int64) << 32 | self.pos[at])
+        items, windows = np.unique(pair >> 32, return_counts=True)
+        enough = windows + self.bares[items] + self.width - 1 >= share * self.size[items]
+        return items[enough].tolist()
+
     def _consistent(self, doc: Template, item: Template, found: set) -> tuple[int, float, int]:
         """Coverage by matches near one place whose slot values agree with each other."""
         best = (0, 0.0, 0)
@@ -315,9 +415,8 @@ def blocks(benchmark: DataFrame, width: int, block_chars: int):
 def _finder(shared, share):
     def run(batches):
         for b in batches:
-            out = []
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                out += [(d, *m) for m in shared.value.matches(t, share)]
+            ids = b.column("doc_id").to_pylist()
+            out = [(ids[k], *m) for k, *m in shared.value.search(b.column("text").to_pylist(), share)]
             cols = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()))],
@@ -341,6 +440,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW
 def _clean_udf(shared, share):
     @F.pandas_udf("boolean")
     def clean(text: pd.Series) -> pd.Series:
-        return pd.Series([next(iter(shared.value.matches(t, share)), None) is None for t in text], dtype=bool)
+        found = {k for k, *_ in shared.value.search(text.tolist(), share)}
+        return pd.Series([k not in found for k in range(len(text))], dtype=bool)
 
     return clean

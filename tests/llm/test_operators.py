@@ -362,6 +362,52 @@ def test_decontamination_of_short_items_and_scripts_without_spaces():
         assert same[2:] == (1.0, 0) and other is None
 
 
+def test_decontamination_signs_and_short_questions():
+    item = "Compute the value of 12 + 30 now"
+    assert [m is not None for m in found_in(item, *[item, "compute the value of 13 + 31 now", "Compute the value of 12 - 30 now",
+                                                  "Compute the value of 12 / 30 now", "Compute the value of 12 30 now"])] == [
+        True, True, False, False, False]
+    assert found_in("What is 12 + 30?", "So: What is 13 + 31? Well", "What is 13 - 31?") == [(1, 1, 1.0, 2), None]
+
+
+def test_decontamination_of_windows_that_many_items_share():
+    import time
+    stem = "Which of the following is the best description of "
+    letters = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    items = [(k, stem + " ".join(letters(k * m + m) for m in (1, 3, 7, 11, 13, 17, 19, 23, 29, 31, 37))) for k in range(30_000)]
+    bench = decontaminate.Benchmark(items, decontaminate.WINDOW)
+    doc = (stem + "something else entirely. ") * 100 + items[777][1] + "."
+    began = time.time()
+    assert [m[0] for m in bench.matches(doc, decontaminate.SHARE)] == [777] and time.time() - began < 1
+
+
+def test_decontamination_of_planted_questions(spark):
+    """Copies with other numbers and names, against a search of every item at every place."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    name = lambda: word().capitalize()
+    number = lambda: str(rng.integers(2, 900))
+    shapes = [[word() if rng.random() < 0.7 else rng.choice(["#", "@"]) for _ in range(rng.integers(8, 25))] for _ in range(40)]
+    fill = lambda shape: " ".join(number() if w == "#" else name() if w == "@" else w for w in shape)
+    items = [(k, "so " + fill(s)) for k, s in enumerate(shapes)]
+    noise = lambda: " ".join(word() if rng.random() < 0.8 else name() if rng.random() < 0.5 else number() for _ in range(30))
+    docs, want = [], set()
+    for d in range(120):
+        k = int(rng.integers(0, len(shapes)))
+        if d % 3 == 0:
+            docs.append((d, noise() + ". so " + fill(shapes[k]) + ". " + noise()))
+            want.add((d, k))
+        elif d % 3 == 1:                                       # half of the words replaced
+            docs.append((d, noise() + ". so " + fill([w if j % 2 else word() for j, w in enumerate(shapes[k])])))
+        else:
+            docs.append((d, noise()))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert {r.doc_id for r in decontaminate.drop_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+            .collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_decontamination_finds_verbatim_items(spark, small):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     want = {(d.doc_id, b.item_id) for d in small.collect() for b in bench.collect() if b.text in d.text}
