@@ -4,10 +4,11 @@ Spark's exact ``percentile`` and ``mode`` aggregates merge a value→count map
 of the whole column in a single task; on a large table that map is the
 column's distinct values. The forms here stay distributed:
 
-- quantiles: approximate brackets around each quantile, then exact counts
-  below and inside the brackets (two map-side passes); very large tables are
-  narrowed range by range instead. Only counts and the few values inside the
-  brackets reach the driver.
+- quantiles: one mergeable sketch per column brackets every rank; counts of
+  the rows below, at and inside the brackets select the exact values. Only
+  counts and sketches reach the driver.
+- quantiles per group, unique and most frequent values: one index of
+  (group, column, value, count) from a single read, for all columns.
 - mode: per-value counts, then the top one by (count desc, value asc) —
   each partition keeps its best row before the merge.
 
@@ -20,9 +21,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def one_row(agg_df: DataFrame) -> Row:
     """The single row of a global aggregate (bounded: one row)."""
@@ -30,142 +33,112 @@ def one_row(agg_df: DataFrame) -> Row:
     return rows[0] if rows else None
 
 
-def _bucket_expr(x: Column, cuts: list[float]) -> Column:
-    """Ordered bucket of x: 2i for the open range (cuts[i-1], cuts[i]) and 2i-1 for
-    x == cuts[i-1], so a value repeated many times sits alone in its own bucket
-    (binary CASE tree, codegen-friendly)."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            if lo == 0:
-                return F.lit(0)
-            return F.when(x == F.lit(cuts[lo - 1]), F.lit(2 * lo - 1)).otherwise(F.lit(2 * lo))
-        mid = (lo + hi + 1) // 2
-        return F.when(x < F.lit(cuts[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-    return tree(0, len(cuts))
-
-
-def _values_at_ranks(base: DataFrame, n: int, ranks: list[int], max_rows: int, buckets: int) -> dict[int, float]:
-    """Value of each 0-based rank of ``__x`` in ``base`` (n non-null rows)."""
-    if n <= max_rows:
-        # bounded: at most max_rows rows, so one ordered window is fine
-        vals = base.groupBy("__x").agg(F.count(F.lit(1)).alias("__n"))
-        w = Window.orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
-        cum = vals.withColumn("__le", F.sum("__n").over(w))
-        cond = F.lit(False)
-        for r in ranks:
-            cond = cond | ((F.col("__le") - F.col("__n") <= r) & (F.lit(r) < F.col("__le")))
-        hits = cum.where(cond).collect()                 # at most len(ranks) rows
-        out = {}
-        for r in ranks:
-            for h in hits:
-                if h["__le"] - h["__n"] <= r < h["__le"]:
-                    out[r] = h["__x"]
-        return out
-    # narrow: approximate cut points, exact counts per range, recurse into the ranges holding the ranks
-    qs = [i / buckets for i in range(1, buckets)]
-    r0 = one_row(base.agg(F.percentile_approx("__x", qs, 20 * buckets).alias("q"),
-                          F.min("__x").alias("lo"), F.max("__x").alias("hi")))
-    if r0["lo"] == r0["hi"]:
-        return {r: r0["lo"] for r in ranks}
-    cuts = sorted(set(r0["q"]))
-    b = _bucket_expr(F.col("__x"), cuts)
-    counts = {row["b"]: row["n"] for row in base.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, acc = {}, 0
-    for k in sorted(counts):
-        before[k] = acc
-        acc += counts[k]
-    by_bucket: dict[int, list[int]] = {}
-    for r in ranks:
-        k = max(k for k in before if before[k] <= r)
-        by_bucket.setdefault(k, []).append(r)
-    out = {}
-    for k, rs in by_bucket.items():
-        if k % 2 == 1:                                   # a single repeated value
-            for r in rs:
-                out[r] = cuts[(k + 1) // 2 - 1]
-            continue
-        if counts[k] >= n:
-            raise RuntimeError("quantile narrowing made no progress")
-        part = base.where(b == k)
-        sub = _values_at_ranks(part, counts[k], [r - before[k] for r in rs], max_rows, buckets)
-        for r in rs:
-            out[r] = sub[r - before[k]]
-    return out
+SKETCH_K = 16_384            # size of a quantile sketch; it holds so many values exactly
+RANK_ERROR = 2.296 / SKETCH_K ** 0.9021      # normalised rank error of a KLL sketch of that size (fixed formula)
 
 
-def _bracketed(base: DataFrame, total: int, ranks: list[int], qs: Sequence[float], approx: list[float],
-               eps: float, bracket_rows: int) -> dict[int, float] | None:
-    """Exact values at ``ranks`` from approximate brackets, in one pass: rows below
-    each bracket are counted, values inside the brackets are counted per value and
-    brought back (about 4·eps·total distinct values). None if a rank falls outside."""
-    if 4 * eps * total > bracket_rows:
-        return None
-    lo_hi = [(approx[2 * i], approx[2 * i + 1]) for i in range(len(qs))]
-    x = F.col("__x")
-    inside = F.lit(False)
-    for a, b in lo_hi:
-        inside = inside | x.between(a, b)
-    key = F.when(inside, x)
-    g = (base.groupBy(key.alias("__k"))
-         .agg(F.count(F.lit(1)).alias("__n"), *[F.sum((x < a).cast("long")).alias(f"__b{i}")
-                                                for i, (a, _b) in enumerate(lo_hi)])
-         .collect())                                          # bracket values + one row for the rest
-    below = [sum(r[f"__b{i}"] for r in g) for i in range(len(qs))]
-    vals = sorted((r["__k"], r["__n"]) for r in g if r["__k"] is not None)
-    out: dict[int, float] = {}
-    for i, (a, b) in enumerate(lo_hi):
-        pos = below[i]
-        for v, n in vals:
-            if v < a:
-                continue
-            if v > b:                                         # values beyond this bracket are not contiguous
-                break
-            for r in ranks:
-                if pos <= r < pos + n and r not in out:
-                    out[r] = v
-            pos += n
-    return out if all(r in out for r in ranks) else None
-
-
-def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], max_rows: int = 2_000_000,
-                    buckets: int = 100, accuracy: int = 100_000, bracket_rows: int = 200_000
-                    ) -> list[float | None]:
-    """Linear-interpolation quantiles (pandas/numpy default, N10) of the non-null values.
-
-    Exact and distributed. First one aggregate gives the row count and, per
-    quantile, approximate values just below and above it (relative rank error
-    1/accuracy, so the exact value lies between them); one more pass counts the
-    rows below each bracket and the rows per distinct value inside it, which is
-    all that reaches the driver. For tables too large for that bracket, the
-    candidate range is narrowed instead: cut into ``buckets`` ranges
-    (approximate cut points, exact counts) until it holds ≤ ``max_rows`` rows,
-    then ranked with one window.
+def _from_sketches(spark, asks: list[tuple[bytes, list[float]]]) -> list[list[float]]:
+    """Quantiles of collected sketches; the expressions are constants, so no job runs."""
+    if not asks:
+        return []
+    cols = [F.kll_sketch_get_quantile_double(F.lit(bytearray(s)), F.array(*[F.lit(min(1.0, max(0.0, r))) for r in ranks]))
+            for s, ranks in asks]
+    return [list(v) for v in spark.sql("SELECT 1 AS one").select(*[c.alias(f"q{i}") for i, c in enumerate(cols)]).first()]
+
+
+def _bracket_counts(x: Column, lo: float, hi: float, name: str) -> list[Column]:
+    """Rows below, at and between the ends of a bracket, and a sketch of those between."""
+    inside = (x > lo) & (x < hi)
+    return [F.count(F.when(x < lo, 1)).alias(f"{name}b"), F.count(F.when(x == lo, 1)).alias(f"{name}l"),
+            F.count(F.when(inside, 1)).alias(f"{name}i"), F.count(F.when((x == hi) & (x != lo), 1)).alias(f"{name}h"),
+            F.kll_sketch_agg_double(F.when(inside, x), F.lit(SKETCH_K)).alias(f"{name}s")]
+
+
+def exact_quantiles_of(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linear-interpolation quantiles (pandas/numpy default, N10) of the non-missing values of each column.
+
+    Exact, distributed, and one form for every size: all columns and quantiles
+    share each pass. The first pass makes one mergeable KLL sketch per column,
+    which brackets every wanted rank. A later pass counts, for each bracket, the rows
+    below it, at its two ends (so a value repeated many times is counted, not
+    collected) and inside, and sketches the inside. A sketch of at most
+    ``SKETCH_K`` values is exact, so the rank is read from it; otherwise it gives the next,
+    some 200 times narrower bracket. A rank outside its bracket (sketches err with small
+    probability) starts again from the whole range with a wider margin. The driver gets
+    one row of counts and sketches a pass, never the values. Two passes do for
+    3 million rows, three for 600 million, four beyond.
     """
-    base = df.select(F.col(column).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
-    eps = 1.0 / accuracy
-    pts = []
-    for q in qs:
-        pts += [max(0.0, q - 2 * eps), min(1.0, q + 2 * eps)]
-    r0 = one_row(base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("__x", pts, accuracy).alias("p")))
-    total = r0["n"]
-    if not total:
-        return [None for _ in qs]
-    ranks = set()
-    for q in qs:
-        h = (total - 1) * q
-        ranks.update({math.floor(h), min(math.floor(h) + 1, total - 1)})
-    values = _bracketed(base, total, sorted(ranks), qs, list(r0["p"]), eps, bracket_rows)
-    if values is None:
-        values = _values_at_ranks(base, total, sorted(ranks), max_rows, buckets)
-    out = []
-    for q in qs:
-        h = (total - 1) * q
-        lo = math.floor(h)
-        a, b = values[lo], values[min(lo + 1, total - 1)]
-        out.append(a + (h - lo) * (b - a))
+    cols = list(columns)
+    base = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    base = base.select(*[F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")).alias(f"c{i}") for i in range(len(cols))])
+    x = [F.col(f"c{i}") for i in range(len(cols))]
+    row = one_row(base.agg(*[e for i, c in enumerate(x) for e in (
+        F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
+        F.kll_sketch_agg_double(c, F.lit(SKETCH_K)).alias(f"s{i}"))]))
+    found: dict[tuple[int, int], float] = {}
+    todo: dict[tuple[int, int, int], float] = {}              # column and two ranks -> margin of the next bracket
+    for i in range(len(cols)):
+        n = row[f"n{i}"]
+        for q in qs if n else ():
+            at = math.floor((n - 1) * q)
+            todo[i, at, min(at + 1, n - 1)] = 2.5 * RANK_ERROR
+    asks, brackets = [], {}
+    for (i, a, b), margin in todo.items():
+        n = row[f"n{i}"]
+        asks.append((row[f"s{i}"], [(a + 0.5) / n, (b + 0.5) / n] if n <= SKETCH_K else [a / n - margin, (b + 1) / n + margin]))
+    for key, v in zip(list(todo), _from_sketches(df.sparkSession, asks)):
+        i, a, b = key
+        if row[f"n{i}"] <= SKETCH_K:
+            found[i, a], found[i, b] = v
+            del todo[key]
+        else:
+            brackets[key] = tuple(v)
+    while todo:
+        keys = list(todo)
+        got = one_row(base.agg(*[e for k, (i, a, b) in enumerate(keys)
+                                 for e in _bracket_counts(x[i], *brackets[i, a, b], f"t{k}_")]))
+        asks, askers = [], []
+        for k, key in enumerate(keys):
+            i, a, b = key
+            below, low, inside, high = (got[f"t{k}_{e}"] for e in "blih")
+            lo, hi = brackets[key]
+            if a < below or b >= below + low + inside + high:
+                brackets[key], todo[key] = (row[f"lo{i}"], row[f"hi{i}"]), min(0.2, 4 * todo[key])
+                continue
+            rest = []
+            for t in (a, b):
+                if t < below + low:
+                    found[i, t] = lo
+                elif t >= below + low + inside:
+                    found[i, t] = hi
+                else:
+                    rest.append(t)
+            if not rest:
+                del todo[key]
+                continue
+            u, w = rest[0] - below - low, rest[-1] - below - low
+            askers.append((key, rest, inside))
+            asks.append((got[f"t{k}_s"], [(u + 0.5) / inside, (w + 0.5) / inside] if inside <= SKETCH_K
+                         else [u / inside - todo[key], (w + 1) / inside + todo[key]]))
+        for (key, rest, inside), v in zip(askers, _from_sketches(df.sparkSession, asks)):
+            if inside <= SKETCH_K:
+                found.update({(key[0], rest[0]): v[0], (key[0], rest[-1]): v[1]})
+                del todo[key]
+            else:
+                brackets[key] = tuple(v)
+    out = {}
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        h = [(n - 1) * q for q in qs] if n else []
+        ends = [(t, found[i, math.floor(t)], found[i, min(math.floor(t) + 1, n - 1)]) for t in h]
+        out[c] = [lo + (t - math.floor(t)) * (hi - lo) for t, lo, hi in ends] if n else [None for _ in qs]
     return out
 
 
+def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float]) -> list[float | None]:
+    return exact_quantiles_of(df, [column], qs)[column]
+
+
 def approx_quantiles(df: DataFrame, column: str, qs: Sequence[float], accuracy: int = 100000) -> list:
     r = one_row(df.agg(F.percentile_approx(F.col(column).cast("double"), list(qs), accuracy).alias("q")))
     return list(r["q"]) if r and r["q"] is not None else [None for _ in qs]
@@ -183,31 +156,60 @@ def mode_and_count(df: DataFrame, column: str):
     return (top[0]["__v"], top[0]["__n"]) if top else (None, 0)
 
 
-def grouped_quantile(df: DataFrame, keys: Sequence[str], column: str, q: float, output: str) -> DataFrame:
-    """Exact linear-interpolation quantile of ``column`` per group of ``keys``
-    (NULL keys dropped, N1), without gathering a group in one task: per-(key,
-    value) counts, a running count per group (two-pass when the table is large,
-    so a hot group spreads over buckets), the group totals, and the rows that
-    cover the two target ranks."""
+def value_index(df: DataFrame, keys: Sequence[str], columns: Sequence[str], kind: str) -> DataFrame:
+    """``keys, __c, __x, __n``: how often each value of each column (number ``__c``) occurs per group, written once.
+
+    One read of the input serves all columns; each row becomes one short row per
+    column, which the partial aggregate counts before the shuffle.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    entries = [F.struct(F.lit(i).alias("__c"), F.col(c).cast(kind).alias("__x")) for i, c in enumerate(columns)]
+    return (df.select(*keys, F.inline(F.array(*entries))).where(F.col("__x").isNotNull())
+            .groupBy(*keys, "__c", "__x").agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True))
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], wanted: Sequence[tuple[str, float, str]]) -> DataFrame:
+    """Exact linear-interpolation quantiles per group of ``keys`` (NULL keys dropped, N1).
+
+    ``wanted``: (column, q, output) triples; all of them come from one value index, i.e. one
+    evaluation of the input: counts per (group, column, value), one running count for
+    all columns (bucketed, so a hot group spreads), the totals, and the rows
+    that cover the target ranks. A group without values has NULLs.
+    """
     from ..operators.windows import cumulative_sum
 
     keys = list(keys)
-    x = F.col(column).cast("double")
-    src = df.where(x.isNotNull() & ~F.isnan(x))
+    src = df
     for k in keys:
         src = src.where(F.col(k).isNotNull())
-    vals = src.groupBy(*keys, x.alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
-    cum = cumulative_sum(vals, "__n", ["__x"], partition_by=keys, output="__le")
-    tot = vals.groupBy(*keys).agg(F.sum("__n").alias("__t"))
-    j = cum.join(tot, keys)
-    h = (F.col("__t") - 1) * F.lit(float(q))
-    lo = F.floor(h)
-    hi = F.least(lo + 1, F.col("__t") - 1)
-    start = F.col("__le") - F.col("__n")
-    covers_lo = (start <= lo) & (lo < F.col("__le"))
-    covers_hi = (start <= hi) & (hi < F.col("__le"))
-    g = j.groupBy(*keys).agg(F.max(F.when(covers_lo, F.col("__x"))).alias("__a"),
-                             F.max(F.when(covers_hi, F.col("__x"))).alias("__b"),
-                             F.first(h).alias("__h"))
-    return g.select(*keys, (F.col("__a") + (F.col("__h") - F.floor("__h")) * (F.col("__b") - F.col("__a")))
-                    .alias(output))
+    columns = list(dict.fromkeys(c for c, _, _ in wanted))
+    src = src.select(*keys, *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"__v{i}")
+                              for i, c in enumerate(columns)])
+    vals = value_index(src, keys, [f"__v{i}" for i in range(len(columns))], "double")
+    cum = cumulative_sum(vals, "__n", ["__x"], partition_by=[*keys, "__c"], output="__le")
+    j = cum.join(vals.groupBy(*keys, "__c").agg(F.sum("__n").alias("__t")), [*keys, "__c"])
+    start, aggs, outs = F.col("__le") - F.col("__n"), [], []
+    for k, (c, q, name) in enumerate(wanted):
+        own = F.col("__c") == columns.index(c)
+        h = (F.col("__t") - 1) * F.lit(float(q))
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("__t") - 1)
+        aggs += [F.max(F.when(own & (start <= t) & (t < F.col("__le")), F.col("__x"))).alias(f"__{e}{k}") for e, t in (("a", lo), ("b", hi))]
+        aggs.append(F.max(F.when(own, h - lo)).alias(f"__h{k}"))
+        outs.append((F.col(f"__a{k}") + F.col(f"__h{k}") * (F.col(f"__b{k}") - F.col(f"__a{k}"))).alias(name))
+    return j.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+
+
+def grouped_quantile(df: DataFrame, keys: Sequence[str], column: str, q: float, output: str) -> DataFrame:
+    """One quantile of one column per group, see ``grouped_quantiles``."""
+    return grouped_quantiles(df, keys, [(column, q, output)])
+
+
+def top_values(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """(distinct values, most frequent value, its count) per string column, ties → smallest value (N11), from one value index."""
+    if not columns:
+        return {}
+    best = F.min(F.struct((-F.col("__n")).alias("n"), F.col("__x").alias("x")))
+    rows = value_index(df, [], columns, "string").groupBy("__c").agg(F.count(F.lit(1)).alias("u"), best.alias("best")).collect()
+    at = {r["__c"]: (r["u"], r["best"]["x"], -r["best"]["n"]) for r in rows}          # one row per column
+    return {c: at.get(i, (0, None, 0)) for i, c in enumerate(columns)}

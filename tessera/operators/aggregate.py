@@ -2,7 +2,7 @@
 comparison, cross tabs, percentiles, total rows, metric sets.
 
 All of them are aggregates with map-side partial aggregation; grand totals are
-one-row scalar subqueries, multi-dimension tables are one ``groupingSets`` pass.
+one-row scalar subqueries, multi-dimension tables are rolled up from the rows of the finest key.
 NaN values count as missing (N3).
 """
 
@@ -17,6 +17,7 @@ from ..functions.nulls import (as_list, drop_null_keys, nan_to_null, numeric_col
                                string_columns, sum0)
 from ..functions import stats as st
 from ..functions.time import literal_like
+from ..session import ensure_checkpoint_dir
 from . import transform as tr
 
 
@@ -37,8 +38,9 @@ def summarize(df: DataFrame, numeric_only: bool = True, exact: bool = True) -> D
     numeric_only: numeric columns (booleans excluded, N26), quantiles linear (N10).
     Otherwise string columns are added with count, unique, top (most frequent,
     smallest on ties) and freq; their numeric statistics are NULL.
-    Moments come from one aggregate; quantiles and top values from the
-    distributed forms in functions.stats; the result has one row per column.
+    Moments come from one aggregate, the quantiles of all columns from shared
+    passes, unique and top values of all string columns from one value index
+    (functions.stats); the result has one row per column.
     """
     df = nan_to_null(df)
     nums = numeric_columns(df)
@@ -51,17 +53,20 @@ def summarize(df: DataFrame, numeric_only: bool = True, exact: bool = True) -> D
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     for c in strs:
-        aggs += [F.count(c).alias(f"{c}__count"), F.count_distinct(c).alias(f"{c}__unique")]
+        aggs.append(F.count(c).alias(f"{c}__count"))
     m = st.one_row(df.agg(*aggs))
+    points = [0.25, 0.5, 0.75]
+    quartiles = st.exact_quantiles_of(df, nums, points) if exact and nums else {c: st.approx_quantiles(df, c, points) for c in nums}
+    tops = st.top_values(df, strs)
     rows = []
     for c in nums:
-        q = st.quantiles(df, c, [0.25, 0.5, 0.75], exact)
+        q = quartiles[c]
         rows.append((c, float(m[f"{c}__count"]), m[f"{c}__mean"], m[f"{c}__std"], m[f"{c}__min"], q[0], q[1], q[2],
                      m[f"{c}__max"]) + (() if numeric_only else (None, None, None)))
     for c in strs:
-        top, freq = st.mode_and_count(df, c)
+        unique, top, freq = tops[c]
         rows.append((c, float(m[f"{c}__count"]), None, None, None, None, None, None, None,
-                     m[f"{c}__unique"], top, freq if top is not None else None))
+                     unique, top, freq if top is not None else None))
     schema = ("column string, count double, mean double, std double, min double, q25 double, q50 double, "
               "q75 double, max double")
     if not numeric_only:
@@ -157,46 +162,47 @@ def add_total_row(df: DataFrame, label_column: str, sum_columns: Sequence[str],
             .unionByName(total.withColumn(flag_column, F.lit(True)), allowMissingColumns=True))
 
 
+def _finest(df: DataFrame, value_column: str, dims: list[str]) -> DataFrame:
+    """Sum, count, extrema per combination of the dimensions, written once: the bottom of the roll-up lattice.
+
+    The rows of the input are read and aggregated once; every coarser table is a sum over these
+    rows, of which there are as many as combinations occur.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    v = F.col(value_column)
+    return df.groupBy(*dims).agg(F.sum(v).alias("__s"), F.count(v).alias("__n"), F.max(v).alias("__mx"),
+                                 F.min(v).alias("__mn")).checkpoint(eager=True)
+
+
+def _per_dimension(fine: DataFrame, dims: list[str]) -> DataFrame:
+    """``__d, key, value``: the sum per value of each dimension (NULL keys dropped), each finest row counted into all dimensions at once."""
+    entries = [F.struct(F.lit(i).alias("__d"), F.col(d).cast("string").alias("key")) for i, d in enumerate(dims)]
+    long = fine.select("__s", F.inline(F.array(*entries))).where(F.col("key").isNotNull())
+    return long.groupBy("__d", "key").agg(sum0("__s").cast("double").alias("value"))
+
+
 def calculate_metrics(df: DataFrame, value_column: str, dimensions: Sequence[str]) -> DataFrame:
     """Long (metric, key, value): total, mean, max, min and the sum per value of
-    each dimension, from one ``groupingSets`` pass over the table."""
+    each dimension. The table is aggregated once at the finest key; all metrics are
+    rolled up from those rows."""
     df = nan_to_null(df, [value_column])
     dims = as_list(dimensions)
-    v = F.col(value_column)
-    sets = [[]] + [[d] for d in dims]
-    g = df.groupingSets(sets, *dims).agg(sum0(v).alias("s"), F.avg(v).alias("m"), F.max(v).alias("mx"),
-                                         F.min(v).alias("mn"), F.grouping_id().alias("__gid"))
-    full = (1 << len(dims)) - 1
-    overall = g.where(F.col("__gid") == full).select(F.inline(F.array(
-        *[F.struct(F.lit(n).alias("metric"), F.lit(None).cast("string").alias("key"), F.col(c).cast("double")
-                   .alias("value")) for n, c in (("total", "s"), ("mean", "m"), ("max", "mx"), ("min", "mn"))])))
-    outs = [overall]
-    for i, d in enumerate(dims):
-        gid = full ^ (1 << (len(dims) - 1 - i))
-        outs.append(g.where((F.col("__gid") == gid) & F.col(d).isNotNull())
-                    .select(F.lit(f"by_{d}").alias("metric"), F.col(d).cast("string").alias("key"),
-                            F.col("s").cast("double").alias("value")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    fine = _finest(df, value_column, dims)
+    total = F.sum("__s")
+    overall = fine.agg(F.inline(F.array(
+        *[F.struct(F.lit(n).alias("metric"), F.lit(None).cast("string").alias("key"), c.cast("double").alias("value"))
+          for n, c in (("total", sum0("__s")), ("mean", F.try_divide(total.cast("double"), F.sum("__n"))),
+                       ("max", F.max("__mx")), ("min", F.min("__mn")))])))
+    names = F.array(*[F.lit(f"by_{d}") for d in dims]).cast("array<string>")
+    return overall.unionByName(_per_dimension(fine, dims).select(names[F.col("__d")].alias("metric"), "key", "value"))
 
 
 def group_sheets(df: DataFrame, value_column: str, dimensions: Sequence[str]) -> DataFrame:
-    """One sum table per dimension in one pass: long (dimension, key, value)."""
+    """One sum table per dimension, long (dimension, key, value), rolled up from the finest key (see ``calculate_metrics``)."""
     df = nan_to_null(df, [value_column])
     dims = as_list(dimensions)
-    g = df.groupingSets([[d] for d in dims], *dims).agg(sum0(value_column).alias("value"),
-                                                          F.grouping_id().alias("__gid"))
-    full = (1 << len(dims)) - 1
-    dim = F.lit(None).cast("string")
-    key = F.lit(None).cast("string")
-    for i, d in enumerate(dims):
-        gid = full ^ (1 << (len(dims) - 1 - i))
-        dim = F.when(F.col("__gid") == gid, F.lit(d)).otherwise(dim)
-        key = F.when(F.col("__gid") == gid, F.col(d).cast("string")).otherwise(key)
-    return g.select(dim.alias("dimension"), key.alias("key"), F.col("value").cast("double").alias("value")) \
-        .where(F.col("key").isNotNull())
+    names = F.array(*[F.lit(d) for d in dims]).cast("array<string>")
+    return _per_dimension(_finest(df, value_column, dims), dims).select(names[F.col("__d")].alias("dimension"), "key", "value")
 
 
 def split_sheets(long_df: DataFrame, dimensions: Sequence[str]) -> dict[str, DataFrame]:

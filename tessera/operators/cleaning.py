@@ -102,7 +102,7 @@ def fill_nulls(df: DataFrame, value=None, method: str | None = None, columns: Se
                 r = st.one_row(df.agg(*[F.avg(c).alias(c) for c in num]))
                 values = {c: r[c] for c in num}
             else:
-                values = {c: st.exact_quantiles(df, c, [0.5])[0] for c in num}
+                values = {c: v[0] for c, v in st.exact_quantiles_of(df, num, [0.5]).items()}
             out = df.withColumns({c: F.coalesce(F.col(c), F.lit(values[c])) for c in num if values[c] is not None})
         rest = [c for c in cols if c not in num]
         if value is not None and rest:

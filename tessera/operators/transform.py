@@ -62,11 +62,10 @@ def aggregate(df: DataFrame, groupby: Sequence[str] | str, aggregations: dict[st
     src = drop_null_keys(df, keys)
     if not medians:
         return src.groupBy(*keys).agg(*exprs)
-    from ..functions.stats import grouped_quantile
+    from ..functions.stats import grouped_quantiles
+    # all medians share one value index; a group of missing values only is in the other half
     out = src.groupBy(*keys).agg(*exprs) if exprs else src.select(*keys).distinct()
-    for c, name in medians:
-        out = out.join(grouped_quantile(src, keys, c, 0.5, name), keys, "left")
-    return out.select(*keys, *order)
+    return out.join(grouped_quantiles(src, keys, [(c, 0.5, name) for c, name in medians]), keys, "left").select(*keys, *order)
 
 
 def pivot(df: DataFrame, index: Sequence[str] | str, columns: str, values: str, aggfunc: str = "sum",

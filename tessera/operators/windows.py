@@ -218,9 +218,15 @@ def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_b
     """Trailing ``window``-row aggregate ``{column}_rolling_{func}``; NULL until the
     frame holds ``window`` non-null values (N14). Unknown func → unchanged.
 
-    Two-pass form: exact row numbers, blocks of ``block_rows`` rows, the last
-    ``window - 1`` rows of each block copied into the next block as a halo, the
-    window run per block, halo rows dropped.
+    The work per row does not grow with ``window``. Exact row numbers cut a group
+    into blocks of ``window`` rows; a running aggregate from the start of the
+    block and one from its end give, for every row, what its own block holds up
+    to it and what the block before holds after the row that leaves the frame
+    (van Herk). The two parts are merged: extrema as they are, sums and counts added,
+    means and squared deviations by the pairwise rule, so nothing is ever
+    subtracted. Tasks work on stretches of at least ``block_rows`` rows (a
+    multiple of the window), each with the ``window - 1`` rows before it as a
+    halo, so a hot group is spread.
     """
     if func not in _ROLL:
         return df
@@ -231,19 +237,35 @@ def rolling(df: DataFrame, column: str, window: int, func: str = "mean", order_b
     out = f"{column}_rolling_{func}"
     df = nan_to_null(df, [column])
 
-    def over(w):
-        w = w.rowsBetween(-(window - 1), 0)
-        return F.when(F.count(column).over(w) == window, _ROLL[func](column).over(w))
-
     if not two_pass:
-        return df.withColumn(out, over(Window.partitionBy(*pb).orderBy(*sort_exprs(order))))
-    b = max(block_rows, window - 1, 1)
+        w = Window.partitionBy(*pb).orderBy(*sort_exprs(order)).rowsBetween(-(window - 1), 0)
+        return df.withColumn(out, F.when(F.count(column).over(w) == window, _ROLL[func](column).over(w)))
+    stretch = window * max(1, -(-block_rows // window))
     rn = row_number(df, order, pb, n_buckets=n_buckets, output="__rn")
     at = F.col("__rn") - 1
-    block = F.floor(at / b)
-    own = F.struct(block.alias("blk"), F.lit(False).alias("halo"))
-    ahead = F.struct((block + 1).alias("blk"), F.lit(True).alias("halo"))
-    both = rn.withColumn("__in", F.explode(F.when(at % b >= b - (window - 1), F.array(own, ahead)).otherwise(F.array(own))))
-    both = both.withColumns({"__blk": F.col("__in.blk"), "__halo": F.col("__in.halo")}).drop("__in")
-    res = both.withColumn(out, over(Window.partitionBy(*pb, "__blk").orderBy("__rn")))
-    return res.where(~F.col("__halo")).drop("__rn", "__blk", "__halo")
+    own = F.struct(F.floor(at / stretch).alias("blk"), F.lit(False).alias("halo"))
+    ahead = F.struct((F.floor(at / stretch) + 1).alias("blk"), F.lit(True).alias("halo"))
+    both = rn.withColumn("__in", F.explode(F.when(at % stretch >= stretch - (window - 1), F.array(own, ahead)).otherwise(F.array(own))))
+    both = both.withColumns({"__blk": F.col("__in.blk"), "__halo": F.col("__in.halo"), "__v": F.floor(at / window)}).drop("__in")
+    along = Window.partitionBy(*pb, "__blk").orderBy("__rn")
+    block = Window.partitionBy(*pb, "__blk", "__v")
+    run = {"n": F.count(column)} | {"mean": {"x": F.sum(column)}, "sum": {"x": F.sum(column)}, "min": {"x": F.min(column)},
+                                    "max": {"x": F.max(column)}, "std": {"x": F.avg(column), "q": F.var_pop(column)}}[func]
+    ends = both.withColumns({f"__s_{k}": f.over(block.orderBy(F.desc("__rn")).rowsBetween(_UNB, 0)) for k, f in run.items()})
+    parts = ends.withColumns({f"__p_{k}": f.over(block.orderBy("__rn").rowsBetween(_UNB, 0)) for k, f in run.items()})
+    # the end of the block before, as seen from the first row of the frame; a frame that is a whole block needs none
+    apart = at % window != window - 1
+    parts = parts.withColumns({f"__s_{k}": F.when(apart, F.lag(f"__s_{k}", window - 1).over(along)) for k in run})
+    n, m = F.coalesce("__s_n", F.lit(0)), F.col("__p_n")
+    if func in ("min", "max"):
+        value = (F.least if func == "min" else F.greatest)("__s_x", "__p_x")
+    elif func == "std":
+        gap = F.coalesce(F.col("__s_x") - F.col("__p_x"), F.lit(0.0))
+        square = F.coalesce(F.col("__s_q") * n, F.lit(0.0)) + F.col("__p_q") * m + gap * gap * n * m / window
+        value = F.when(F.lit(window > 1), F.sqrt(square / (window - 1)))
+    else:
+        value = F.coalesce(F.col("__s_x") + F.col("__p_x"), F.col("__p_x"))
+        if func == "mean":
+            value = (value / window).cast(df.select(F.avg(column).alias("v")).schema["v"].dataType)
+    res = parts.withColumn(out, F.when(n + m == window, value))
+    return res.where(~F.col("__halo")).drop("__rn", "__blk", "__halo", "__v", *[f"__{x}_{k}" for x in "sp" for k in run])

@@ -136,6 +136,16 @@ def q_rolling_2p(spark, d):
                              two_pass=True), 2)
 
 
+@query("win_rolling_wide", f"""
+SELECT *, round(CASE WHEN count(o_totalprice) OVER w = 500 THEN max(o_totalprice) OVER w END, 2) AS o_totalprice_rolling_max,
+       round(CASE WHEN count(o_totalprice) OVER w = 500 THEN stddev_samp(o_totalprice) OVER w END, 2) AS o_totalprice_rolling_std
+FROM (SELECT * FROM ({ORDERS_NULLS_SQL}) WHERE o_totalprice IS NOT NULL) WINDOW w AS ({_W} ROWS BETWEEN 499 PRECEDING AND CURRENT ROW)
+""")
+def q_rolling_wide(spark, d):
+    o = orders_nulls(spark, d).where("o_totalprice IS NOT NULL")
+    return rounded(W.rolling(W.rolling(o, "o_totalprice", 500, "max", ORDER), "o_totalprice", 500, "std", ORDER), 2)
+
+
 @query("clean_ffill_two_pass", f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
        last_value(o_totalprice IGNORE NULLS) OVER w AS o_totalprice,

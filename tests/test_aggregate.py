@@ -20,7 +20,7 @@ def test_percentiles(kpi_frame):
     assert (r["p25"], r["p50"], r["p75"]) == (4900, 5100, 5600)
 
 
-def test_exact_quantiles_match_numpy_with_narrowing(spark):
+def test_exact_quantiles_match_numpy_with_narrowing(spark, monkeypatch):
     rng = np.random.default_rng(3)
     vals = np.round(rng.gamma(2.0, 50.0, 5000), 1)
     vals[:1500] = 42.0                                                       # a hot value: 30 % of the rows
@@ -28,12 +28,10 @@ def test_exact_quantiles_match_numpy_with_narrowing(spark):
     qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     expected = np.quantile(vals, qs)
     assert st.exact_quantiles(df, "x", qs) == pytest.approx(list(expected))
-    assert st.exact_quantiles(df, "x", qs, max_rows=50, buckets=8) == pytest.approx(list(expected))
-    # the narrowing path (bracket too large for bracket_rows), with and without the last window
-    assert st.exact_quantiles(df, "x", qs, bracket_rows=0) == pytest.approx(list(expected))
-    assert st.exact_quantiles(df, "x", qs, bracket_rows=0, max_rows=50, buckets=8) == pytest.approx(list(expected))
-    # coarse sketch: brackets wider, still exact
-    assert st.exact_quantiles(df, "x", qs, accuracy=50) == pytest.approx(list(expected))
+    monkeypatch.setattr(st, "SKETCH_K", 200)
+    for error in (2.296 / 200 ** 0.9021, 0.0002):              # several passes; ranks outside their brackets
+        monkeypatch.setattr(st, "RANK_ERROR", error)
+        assert st.exact_quantiles(df, "x", [0.25, 0.5, 0.99]) == pytest.approx(list(np.quantile(vals, [0.25, 0.5, 0.99])))
 
 
 def test_mode(nulls):
@@ -99,3 +97,43 @@ def test_pie_heatmap_series(sales):
     assert hm["Electronics"]["C"] == 75.0
     s = ch.series(sales, "region", ["total_amount", "quantity"])
     assert s.count() == 6
+
+
+def _scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_medians_share_one_index(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    got = ag.group_by(li, ["l_returnflag"], {c: ["median", "sum"] for c in cols})
+    assert _scans(got) == 1                        # the other half; the medians read their written index
+    want = li.toPandas().astype({c: float for c in cols}).groupby("l_returnflag")[cols].median()
+    for r in got.collect():
+        assert [r[f"{c}_median"] for c in cols] == pytest.approx(want.loc[r.l_returnflag].tolist())
+    rows = [("a", 1.0, None), ("a", 3.0, None), ("b", None, 2.0), (None, 9.0, 9.0), ("c", None, None)]
+    odd = ag.group_by(spark.createDataFrame(rows, "k string, x double, y double"), "k", {"x": "median", "y": "median"})
+    assert sorted(map(tuple, odd.collect())) == [("a", 2.0, None), ("b", None, 2.0), ("c", None, None)]
+
+
+def test_metrics_roll_up_from_one_aggregate(spark):
+    rows = [("a", "x", 1.0), ("a", "y", 2.0), (None, "x", 4.0), ("b", None, None), ("a", "x", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, m string, v double")
+    got = ag.calculate_metrics(df, "v", ["k", "m"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    assert {(r.metric, r.key): r.value for r in got.collect()} == pytest.approx({
+        ("total", None): 7.0, ("mean", None): 7 / 3, ("max", None): 4.0, ("min", None): 1.0, ("by_k", "a"): 3.0, ("by_k", "b"): 0.0,
+        ("by_m", "x"): 5.0, ("by_m", "y"): 2.0})
+    sheets = ag.group_sheets(df, "v", ["k", "m"])
+    assert {tuple(r) for r in sheets.collect()} == {("k", "a", 3.0), ("k", "b", 0.0), ("m", "x", 5.0), ("m", "y", 2.0)}
+    assert {tuple(r) for r in ag.calculate_metrics(df.limit(0), "v", ["k"]).collect()} == {
+        ("total", None, 0.0), ("mean", None, None), ("max", None, None), ("min", None, None)}
+
+
+def test_describe_of_strings_from_one_index(spark):
+    df = spark.createDataFrame([("a", "z"), ("b", None), ("b", "y"), ("a", "z"), (None, "q")], "s string, t string")
+    got = {r.column: (r["count"], r.unique, r.top, r.freq) for r in ag.summarize(df, numeric_only=False).collect()}
+    assert got == {"s": (4.0, 2, "a", 2), "t": (4.0, 3, "z", 2)}
+    none = ag.summarize(df.limit(0), numeric_only=False).collect()
+    assert [(r["count"], r.unique, r.top, r.freq) for r in none] == [(0.0, 0, None, None)] * 2

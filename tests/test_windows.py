@@ -54,6 +54,17 @@ def test_fill_two_pass(orders, direction):
     assert same(a2, b2, "o_orderkey", "h")
 
 
+@pytest.mark.parametrize("func", ["mean", "sum", "min", "max", "std"])
+def test_rolling_of_wide_windows(orders, func):
+    """Windows of several stretches and of none, groups shorter than a window, nulls."""
+    col = f"o_totalprice_rolling_{func}"
+    for window, rows, group in ((1, 10, None), (2, 5, "o_orderpriority"), (64, 10, "o_orderpriority"), (300, 700, None), (10 ** 6, 50, None)):
+        part = orders.where("o_orderkey % 3 > 0 OR o_totalprice IS NOT NULL")
+        a = W.rolling(part, "o_totalprice", window, func, ORDER, group, n_buckets=4, block_rows=rows)
+        b = W.rolling(part, "o_totalprice", window, func, ORDER, group, two_pass=False)
+        assert same(a, b, "o_orderkey", col)
+
+
 @pytest.mark.parametrize("func", ["mean", "sum", "min", "max", "std"])
 def test_rolling_two_pass(orders, func):
     a = W.rolling(orders, "o_totalprice", 5, func, ORDER, n_buckets=4, block_rows=37, two_pass=True)
