@@ -434,6 +434,39 @@ def test_html(spark):
     assert got >= {(None, 0), (2, 0), (3, 79999)} and html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+PROSE = ("The mayor said on Monday that the bridge over the river will be closed for three months, because the old "
+         "pillars have to be replaced before the winter and the work cannot be done while cars are on it. ")
+
+
+@pytest.mark.parametrize("before,after", [
+    ('<div class="layout has-sidebar"><article>', "</article><div class='sidebar'>Links</div></div>"),
+    ('<main class="site-main no-comments">', "</main>"), ('<article class="post related-off">', "</article>"),
+    ('<div class="search-page-off"><article>', "</article></div>"), ("<form action=/x><article>", "</article></form>"),
+    ('<a name="top"><div>', "</div>"), ("<div title=it's>", "</div>"), ("<article><video src=a>", "</article>"),
+    ("<article><svg width=1>", "</article>"), ("<form><div>", "</div></form>"), ('<a href="/x"><div><h2>T</h2>', "</div>"),
+    ("<article><!-- never closed>", "</article>"), ("<div><p class=x <p>", "</div>")])
+def test_html_keeps_the_article(before, after):
+    paragraphs = [f"{k}. {PROSE}I don't know." for k in range(5)]
+    page = f"<html><body><nav><a href=/>Home</a></nav>{before}" + "".join(f"<p>{p}</p>" for p in paragraphs) + f"{after}<footer>Imprint</footer>"
+    got = html_extract.main_text(page).split("\n")
+    assert [x for x in got if x not in ("T", "0")] == paragraphs
+
+
+def test_html_marked_elements_stay_out():
+    page = (f"<article><p>{PROSE}</p><p>{PROSE}</p></article><div class='comments'><p>{PROSE * 3}</p><p>{PROSE * 3}</p></div>"
+            f"<div class='page-sidebar'><p>{PROSE}</p></div><aside><article><p>{PROSE}</p></article></aside>")
+    assert html_extract.main_text(page) == "\n".join([PROSE.strip()] * 2)
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<p title="', "<p title='x", "<!", "<!--", "</", "<p", "<div>", "<svg>", "<script", "<div></p>", "<a href=x>y", "=  "])
+def test_html_of_a_megabyte_left_open(piece):
+    import time
+    page = f"<article><p>{PROSE}</p>" + piece * (1_000_000 // len(piece)) + "</div>" * 1000
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 4
+
+
 def test_html_of_other_languages_and_short_paragraphs():
     menu = "<div><a href=1>Koti</a> <a href=2>Uutiset</a></div>"
     finnish = "Kissa ja koira asuvat vanhassa talossa metsän laidalla, jossa lapset leikkivät joka päivä kesällä ja talvella. " * 2
