@@ -205,6 +205,14 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], column: str, q: float,
     return grouped_quantiles(df, keys, [(column, q, output)])
 
 
+def grouped_modes(df: DataFrame, keys: Sequence[str], column: str, output: str) -> DataFrame:
+    """Most frequent non-NULL value per group, ties → smallest (N11): counts per (group, value), then the best of
+    them, both with partial aggregation, so neither a group nor its values meet in one task."""
+    kind = df.schema[column].dataType.simpleString()
+    best = F.min(F.struct((-F.col("__n")).alias("n"), F.col("__x").alias("x")))
+    return value_index(df, keys, [column], kind).groupBy(*keys).agg(best.alias("__b")).select(*keys, F.col("__b.x").alias(output))
+
+
 def top_values(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
     """(distinct values, most frequent value, its count) per string column, ties → smallest value (N11), from one value index."""
     if not columns:

@@ -133,14 +133,15 @@ def compare_periods(df: DataFrame, date_column: str, value_column: str, current_
 
 
 def cross_tabulation(df: DataFrame, row_column: str, col_column: str, value_column: str | None = None,
-                     aggfunc: str = "count", column_values: Sequence | None = None) -> DataFrame:
+                     aggfunc: str = "count", column_values: Sequence | None = None,
+                     order_by: Sequence[str] | str | None = None) -> DataFrame:
     """Frequency table (absent cell 0, N20) or aggregated cells (absent cell NULL)."""
     if value_column is None:
         src = drop_null_keys(df, [row_column, col_column])
         vals = sorted(column_values) if column_values is not None else None
         t = src.groupBy(row_column).pivot(col_column, vals).count()
         return t.na.fill(0, subset=[c for c in t.columns if c != row_column])
-    return tr.pivot(df, row_column, col_column, value_column, aggfunc, column_values)
+    return tr.pivot(df, row_column, col_column, value_column, aggfunc, column_values, order_by)
 
 
 def percentiles(df: DataFrame, column: str, qs: Sequence[float] = (0.25, 0.5, 0.75), exact: bool = True,

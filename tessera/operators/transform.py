@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import expressions
-from ..functions.aggs import agg_column
+from ..functions.aggs import agg_column, quantile_of
 from ..functions.nulls import (as_list, contains_regex, drop_null_keys, isin_with_null, nan_to_null,
                                ne_keep_null, numeric_columns, sort_exprs)
 
@@ -49,32 +49,38 @@ def aggregate(df: DataFrame, groupby: Sequence[str] | str, aggregations: dict[st
     sums of nothing are 0 (N2), first/last follow ``order_by`` (N27)."""
     keys = as_list(groupby)
     df = nan_to_null(df, [*keys, *aggregations])
-    exprs, medians, order = [], [], []
+    exprs, medians, modes, order = [], [], [], []
     for c, funcs in aggregations.items():
         multi = isinstance(funcs, (list, tuple))
         for f in (funcs if multi else [funcs]):
             name = f"{c}_{f}" if multi else c
             order.append(name)
-            if f == "median" and keys:
-                medians.append((c, name))      # exact and distributed, see functions.stats
+            if quantile_of(f) is not None and keys:
+                medians.append((c, quantile_of(f), name))      # exact and distributed, see functions.stats
+            elif f == "mode" and keys:
+                modes.append((c, name))
             else:
                 exprs.append(agg_column(f, c, order_by).alias(name))
     src = drop_null_keys(df, keys)
-    if not medians:
+    if not medians and not modes:
         return src.groupBy(*keys).agg(*exprs)
-    from ..functions.stats import grouped_quantiles
+    from ..functions.stats import grouped_modes, grouped_quantiles
     # all medians share one value index; a group of missing values only is in the other half
     out = src.groupBy(*keys).agg(*exprs) if exprs else src.select(*keys).distinct()
-    return out.join(grouped_quantiles(src, keys, [(c, 0.5, name) for c, name in medians]), keys, "left").select(*keys, *order)
+    if medians:
+        out = out.join(grouped_quantiles(src, keys, medians), keys, "left")
+    for c, name in modes:
+        out = out.join(grouped_modes(src, keys, c, name), keys, "left")
+    return out.select(*keys, *order)
 
 
 def pivot(df: DataFrame, index: Sequence[str] | str, columns: str, values: str, aggfunc: str = "sum",
-          column_values: Sequence | None = None) -> DataFrame:
+          column_values: Sequence | None = None, order_by: Sequence[str] | str | Column | None = None) -> DataFrame:
     """Long → wide. Cells are aggregated first (so a present all-null cell is 0
     for sum, N19) and then spread with ``first``; absent cells are NULL. Pass
-    ``column_values`` to skip the extra distinct job on big tables."""
+    ``column_values`` to skip the extra distinct job on big tables; ``first`` and ``last`` follow ``order_by`` (N27)."""
     idx = as_list(index)
-    cell = aggregate(df, idx + [columns], {values: aggfunc}).withColumnRenamed(values, "__v")
+    cell = aggregate(df, idx + [columns], {values: aggfunc}, order_by).withColumnRenamed(values, "__v")
     vals = sorted(column_values) if column_values is not None else None
     return cell.groupBy(*idx).pivot(columns, vals).agg(F.first("__v"))
 
@@ -208,21 +214,23 @@ def _step(freq: str) -> Column:
         F.expr("INTERVAL 1 YEAR") if f in ("Y", "A", "YE") else F.expr("INTERVAL 1 MONTH"))
 
 
-def resample_time(df: DataFrame, date_column: str, freq: str, agg_func: str = "sum") -> DataFrame:
+def resample_time(df: DataFrame, date_column: str, freq: str, agg_func: str = "sum",
+                  order_by: Sequence[str] | str | Column | None = None) -> DataFrame:
     """Regular time bins over the numeric columns, labelled by period end
     (W = Sunday, M/Q/Y = last day), empty bins present (sum → 0, mean → NULL, N21).
 
     The data is reduced to one row per bin with partial aggregation; the spine
     of all bins between the first and last one is generated from a one-row
     min/max aggregate (its size is the number of periods, not the data size)
-    and left-joined. Deviation: only numeric columns are aggregated.
+    and left-joined. ``first`` and ``last`` need ``order_by``, as rows of one bin have no order.
+    Deviation: only numeric columns are aggregated.
     """
     dtype = df.schema[date_column].dataType
     nums = [c for c in numeric_columns(df) if c != date_column]
     start = _period_start(F.col(date_column), freq)
     binned = (df.where(F.col(date_column).isNotNull())
               .groupBy(start.alias("__start"))
-              .agg(*[agg_column(agg_func, c).alias(c) for c in nums]))
+              .agg(*[agg_column(agg_func, c, order_by).alias(c) for c in nums]))
     spine = (binned.agg(F.min("__start").alias("lo"), F.max("__start").alias("hi"))
              .where(F.col("lo").isNotNull())
              .select(F.explode(F.sequence("lo", "hi", _step(freq))).alias("__start")))

@@ -142,6 +142,14 @@ def q_crosstab_value(spark, d):
                                        "mean", column_values=PRIORITIES))
 
 
+@query("agg_crosstab_last", "SELECT o_orderstatus, " + ", ".join(
+    f"""round(arg_max(o_totalprice, o_orderkey) FILTER (WHERE o_orderpriority = '{p}' AND o_totalprice IS NOT NULL), 4) AS "{p}\""""
+    for p in PRIORITIES) + f" FROM ({ORDERS_NULLS_SQL}) WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY 1")
+def q_crosstab_last(spark, d):
+    return rounded(ag.cross_tabulation(orders_nulls(spark, d), "o_orderstatus", "o_orderpriority", "o_totalprice",
+                                       "last", column_values=PRIORITIES, order_by="o_orderkey"))
+
+
 @query("agg_percentiles", """
 SELECT round(quantile_cont(l_extendedprice, 0.25), 4) AS p25, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50,
        round(quantile_cont(l_extendedprice, 0.75), 4) AS p75 FROM lineitem

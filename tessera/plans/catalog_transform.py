@@ -77,6 +77,48 @@ def q_pivot_discover(spark, d):
     return rounded(tr.pivot(tb.table(spark, d, "orders"), "o_orderstatus", "o_orderpriority", "o_totalprice"))
 
 
+_EDGE = ["o_orderdate", "o_orderkey"]
+
+
+@query("tx_pivot_first", "SELECT o_orderstatus, " + ", ".join(
+    f"""round(arg_min(o_totalprice, (o_orderdate, o_orderkey)) FILTER (WHERE o_orderpriority = '{p}' AND o_totalprice IS NOT NULL), 4) AS "{p}\""""
+    for p in PRIORITIES) + f" FROM ({ORDERS_NULLS_SQL}) WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY 1")
+def q_pivot_first(spark, d):
+    return rounded(tr.pivot(orders_nulls(spark, d), "o_orderstatus", "o_orderpriority", "o_totalprice", "first",
+                            column_values=PRIORITIES, order_by=_EDGE))
+
+
+@query("tx_resample_last", f"""
+WITH b AS (SELECT date_trunc('month', o_orderdate) AS m,
+                  arg_max(o_totalprice, (o_orderdate, o_orderkey)) FILTER (WHERE o_totalprice IS NOT NULL) AS p
+           FROM ({ORDERS_NULLS_SQL}) GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS m FROM b)
+SELECT CAST(last_day(s.m) AS TIMESTAMP) AS o_orderdate, round(b.p, 4) AS o_totalprice FROM s LEFT JOIN b ON s.m = b.m
+""")
+def q_resample_last(spark, d):
+    o = orders_nulls(spark, d).select("o_orderdate", "o_totalprice", F.col("o_orderkey").cast("string").alias("key"),
+                                      F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("padded"))
+    out = tr.resample_time(o, "o_orderdate", "M", "last", order_by=["o_orderdate", "padded"])
+    return rounded(out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")))
+
+
+@query("tx_aggregate_more", """
+WITH v AS (SELECT *, 1 + l_discount / 10000 AS f FROM lineitem),
+m AS (SELECT l_returnflag, l_suppkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, l_suppkey) AS k
+      FROM lineitem GROUP BY 1, 2)
+SELECT v.l_returnflag, round(product(f), 4) AS f, bool_or(l_tax <> 0) AS l_tax_any, bool_and(l_tax <> 0) AS l_tax_all,
+       round(stddev_samp(l_quantity) / sqrt(count(l_quantity)), 6) AS l_quantity_sem, round(skewness(l_quantity), 6) AS l_quantity_skew,
+       round(quantile_cont(l_extendedprice, 0.9), 4) AS l_extendedprice_q90, any_value(m.l_suppkey) AS l_suppkey
+FROM v JOIN m ON m.l_returnflag = v.l_returnflag AND m.k = 1 GROUP BY 1
+""")
+def q_aggregate_more(spark, d):
+    li = tb.table(spark, d, "lineitem").withColumn("f", 1 + F.col("l_discount") / 10000)
+    out = tr.aggregate(li, "l_returnflag", {"f": "prod", "l_tax": ["any", "all"], "l_quantity": ["sem", "skew"],
+                                            "l_extendedprice": ["q90"], "l_suppkey": "mode"})
+    return (out.withColumns({"f": F.round("f", 4), "l_extendedprice_q90": F.round("l_extendedprice_q90", 4)})
+            .withColumns({c: F.round(c, 6) for c in ("l_quantity_sem", "l_quantity_skew")}))
+
+
 @query("tx_melt", """
 SELECT o_orderkey, 'o_totalprice' AS variable, o_totalprice AS value FROM orders
 UNION ALL SELECT o_orderkey, 'o_custkey', CAST(o_custkey AS DOUBLE) FROM orders

@@ -133,3 +133,27 @@ def test_expressions_like_pandas_eval(spark):
     assert [out[i]["ne"] for i in range(1, 6)] == [True, True, True, True, False]
     assert [out[i]["both"] for i in range(1, 6)] == [False, False, False, False, True]
     assert [out[i]["any"] for i in range(1, 6)] == [True, True, True, True, True]
+
+
+def test_more_aggregate_names_match_pandas(spark):
+    import pandas as pd
+    rows = [("a", 1.0, True), ("a", 2.0, False), ("a", 2.0, True), ("a", 9.0, None), ("a", None, True), ("b", 3.0, None), ("b", 3.0, None),
+            ("b", 3.0, None), ("c", None, None), ("d", 0.0, False), ("d", 4.0, False)]
+    df = spark.createDataFrame(rows, "k string, x double, t boolean")
+    names = ["prod", "sem", "skew", "q25", "mode", "any", "all"]
+    got = {r.k: r for r in tr.aggregate(df, "k", {"x": names, "t": ["any", "all"]}).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "x", "t"])
+    for k, x in pdf.groupby("k").x:
+        v = x.dropna()
+        want = [v.prod(), v.sem(), v.skew(), v.quantile(0.25), v.mode().min(), bool((v != 0).any()), bool((v != 0).all())]
+        assert [got[k][f"x_{n}"] for n in names] == [None if w != w else pytest.approx(w) for w in want], k
+    assert [(got[k].t_any, got[k].t_all) for k in "abd"] == [(True, False), (False, True), (False, False)]
+
+
+def test_first_and_last_need_an_order(spark):
+    rows = [("a", "p", 2, 5.0), ("a", "p", 1, None), ("a", "q", 1, 7.0), ("a", "q", None, 8.0), ("b", "p", 1, 1.0)]
+    df = spark.createDataFrame(rows, "i string, c string, o long, v double")
+    with pytest.raises(ValueError, match="order_by"):
+        tr.pivot(df, "i", "c", "v", "first", column_values=["p", "q"])
+    for func, want in (("first", [("a", 5.0, 7.0), ("b", 1.0, None)]), ("last", [("a", 5.0, 8.0), ("b", 1.0, None)])):
+        assert sorted(map(tuple, tr.pivot(df, "i", "c", "v", func, column_values=["p", "q"], order_by=["o"]).collect())) == want
