@@ -51,8 +51,7 @@ def op8_html_extraction(spark, sf_dir):
 
 
 def op9_line_dedup(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.line_dedup(docs, gram=line_dedup.GRAM, window=line_dedup.WINDOW)
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op10_packing(spark, sf_dir):

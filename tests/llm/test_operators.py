@@ -489,42 +489,44 @@ def test_html_articles_of_the_test_pages(spark):
 
 
 # ---- 9: line dedup
-def brute_lines(docs, gram=2, window=2):
+def brute_lines(docs, min_words):
+    """Every line inside a run of min_words words or more that occurs earlier; all runs are tried."""
     from hashlib import md5
     order = sorted({(d is None, d or 0, md5(f"{'-' if d is None else d}|{t}".encode()).digest(), t) for d, t in docs if t is not None})
-    first, cut, picks = {}, defaultdict(set), []
+    count = lambda x: len(re.findall(LINE_WORD, x))
+    seen, out = set(), {}
     for key in order:
         ls = key[3].split("\n")
-        g = [md5("".join(md5(x.encode()).hexdigest().upper() for x in ls[i:i + gram]).encode()).digest()
-             for i in range(max(1, len(ls) - gram + 1))]
-        sel = {0, len(g) - 1} | {max((i + j for j, x in enumerate(g[i:i + window]) if x == min(g[i:i + window])))
-                                 for i in range(max(1, len(g) - window + 1))}
-        picks += [(key, p, g[p], ls) for p in sorted(sel) if any(ls[p:p + gram])]
-    for key, p, h, ls in picks:
-        if h not in first:
-            first[h] = key, p, ls
-            continue
-        key0, p0, l0 = first[h]
-        a = b = 0
-        while a < window and min(p, p0) - a > 0 and ls[p - a - 1] == l0[p0 - a - 1]:
-            a += 1
-        while b < window and p + gram + b < len(ls) and p0 + gram + b < len(l0) and ls[p + gram + b] == l0[p0 + gram + b]:
-            b += 1
-        cut[key] |= set(range(p - a, p + min(gram, len(ls)) + b))
-    return {(k[2], k[3]): "\n".join(x for i, x in enumerate(k[3].split("\n")) if i not in cut[k]) for k in order}
-
-
-@pytest.mark.parametrize("gram,window", [(2, 2), (3, 2), (1, 1), (3, 3)])
-def test_line_dedup(spark, odd, none, small, gram, window):
+        full = [(i, x, count(x)) for i, x in enumerate(ls) if count(x)]
+        cut = set()
+        for a in range(len(full)):
+            words, run = 0, 0
+            for b in range(a, len(full)):
+                words, run = words + full[b][2], hash((run, b > a and full[b][0] > full[b - 1][0] + 1, full[b][1]))
+                if words >= min_words:
+                    if run in seen:
+                        cut |= set(range(full[a][0], full[b][0] + 1))
+                    seen.add(run)
+        out[key[2], key[3]] = "\n".join(x for i, x in enumerate(ls) if i not in cut)
+    return out
+
+
+UNSPACED = re.sub(r"\\x\{(\w+)\}", r"\\u\1", line_dedup.UNSPACED)
+LINE_WORD = rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]+"
+
+
+@pytest.mark.parametrize("min_words", [10, 1, 3])
+def test_line_dedup(spark, odd, none, small, min_words):
     from hashlib import md5
     assert line_dedup.line_dedup(none).count() == 0
     rng = np.random.default_rng(6)
-    mixed = spark.createDataFrame([(i, "\n".join(rng.choice(["", "a", "b", "c", "the same line", f"own {i}"], rng.integers(0, 14))))
-                                   for i in range(120)], "doc_id long, text string")
+    parts = ["", "  ", "a", "b", "c d", "the same line", "of six words and no more", "own {i} x", "图书馆", "a line of ten words that stands well by itself here"]
+    mixed = spark.createDataFrame([(i, "\n".join(x.format(i=i) for x in rng.choice(parts, rng.integers(0, 25)))) for i in range(150)],
+                                  "doc_id long, text string")
     for docs in (odd, small, mixed):
-        out = line_dedup.line_dedup(docs.withColumn("was", docs["text"]), gram=gram, window=window)
+        out = line_dedup.line_dedup(docs.withColumn("was", docs["text"]), min_words=min_words)
         assert out.columns[:len(docs.columns)] == docs.columns
-        want = brute_lines([(r.doc_id, r.text) for r in docs.collect()], gram, window)
+        want = brute_lines([(r.doc_id, r.text) for r in docs.collect()], min_words)
         for r in out.collect():
             if r.was is None:
                 assert r.text is None and r.n_lines == 0
@@ -533,15 +535,28 @@ def test_line_dedup(spark, odd, none, small, gram, window):
                 assert r.text == want[k, r.was] and r.n_lines == r.was.count("\n") + 1
 
 
-def test_single_lines_and_pairs_whatever_their_neighbours(spark):
+def test_passages_whatever_their_neighbours(spark):
     import corpus_pipeline
     line = "This work is licensed under the General Public Licence, version two or any later one."
+    x, y = "a first line of seven words here", "and four more words"
     docs = spark.createDataFrame([(1, f"a\n{line}\nb"), (2, f"c\n{line}\nd"), (3, f"{line}\ne\n{line}"),
-                                  (4, "x\ny"), (5, "w\nx\ny\np"), (6, "q\nw\nx\ny\nr"), (7, "s\nx\ny\nt\n\nu"), (8, None)],
+                                  (4, f"{x}\n{y}"), (5, f"w\n{x}\n{y}\np"), (6, f"q\nw\n{x}\n{y}\nr"), (7, f"{y}\nt\n\n{x}"), (8, None),
+                                  (9, "w"), (10, "a\na\na"), (11, "Short\nDate: today\nMenu"), (12, "Short\nDate: today\nMenu")],
                                  "doc_id long, text string")
-    want = {1: f"a\n{line}\nb", 2: "c\nd", 3: "e", 4: "x\ny", 5: "w\np", 6: "q\nr", 7: "s\nt\n\nu", 8: None}
-    assert {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()} == want
-    assert {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, "").collect()} == want
+    # 6 keeps nothing of the run w, x, y: x, y meets document 4, w with them document 5
+    want = {1: f"a\n{line}\nb", 2: "c\nd", 3: "e", 4: f"{x}\n{y}", 5: "w\np", 6: "q\nr", 7: f"{y}\nt\n\n{x}", 8: None, 9: "w",
+            10: "a\na\na", 11: "Short\nDate: today\nMenu", 12: "Short\nDate: today\nMenu"}
+    for out in (line_dedup.line_dedup(docs), corpus_pipeline.without_repeated_lines(spark, docs, "")):
+        assert {r.doc_id: r.text for r in out.collect()} == want
+
+
+def test_line_dedup_of_many_lines(spark):
+    """One text of 20,000 short lines, and one of as many blank ones inside a passage; both are copied."""
+    long = "\n".join(f"line {i} {i * 7919 % 1009}" for i in range(20000))
+    blank = "five words stand up here" + "\n" * 20000 + "and five more down there"
+    docs = spark.createDataFrame([(1, long), (2, blank), (3, f"x\n{long}\ny"), (4, f"x\n{blank}\ny")], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_cut) for r in line_dedup.line_dedup(docs).collect()}
+    assert got == {1: (long, 0), 2: (blank, 0), 3: ("x\ny", 20000), 4: ("x\ny", 20001)}
 
 
 def test_line_dedup_stays_native(small):
