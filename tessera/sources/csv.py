@@ -32,17 +32,30 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 def read_csv_union(spark: SparkSession, paths: Sequence[str], concat: bool = True, schemas=None,
                    **options) -> DataFrame | list[DataFrame]:
-    """Several files aligned by column name (missing columns → NULL); ``concat=False`` gives the list."""
+    """Several files aligned by column name (missing columns → NULL); ``concat=False`` gives the list, one frame per path.
+
+    Paths with the same header (or the same given schema) are one scan, so the
+    plan grows with the number of layouts, not of files. Column types are inferred over all files of a layout.
+    """
     schemas = list(schemas) if schemas else [None] * len(paths)
-    frames = [read_csv(spark, p, s, **options) for p, s in zip(paths, schemas)]
     if not concat:
-        return frames
+        return [read_csv(spark, p, s, **options) for p, s in zip(paths, schemas)]
+    layouts: dict = {}
+    for p, s in zip(paths, schemas):
+        key = (str(s), ()) if s is not None else ("", tuple(_header(spark, p, options)))
+        layouts.setdefault(key, (s, []))[1].append(p)
+    frames = [read_csv(spark, files, s, **options) for s, files in layouts.values()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
+def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
+    """Column names of a path; reads its first line only."""
+    return read_csv(spark, path, **{**options, "inferSchema": False}).columns
+
+
 def read_csv_isin(spark: SparkSession, path: str, column: str, values: Sequence, schema=None, **options) -> DataFrame:
     """Rows whose ``column`` is in ``values`` (None in the list matches NULL, N7)."""
     return read_csv(spark, path, schema, **options).where(isin_with_null(F.col(column), values))

@@ -159,3 +159,20 @@ def test_bundle_and_manifest(spark, employees, tmp_dir):
             content = fh.read()
         assert f["md5"] == hashlib.md5(content).hexdigest()
         assert f["sha256"] == hashlib.sha256(content).hexdigest() and f["length"] == len(content)
+
+
+def test_csv_union_scans_each_layout_once(spark, tmp_path):
+    from tessera.sources.csv import read_csv_union
+    heads = ["a,b", "b,a", "a,c"]
+    paths = []
+    for i in range(12):
+        p = tmp_path / f"f{i}.csv"
+        p.write_text(f"{heads[i % 3]}\n{i},{i * 10}\n" + (f"{i},\n" if i == 3 else ""))
+        paths.append(str(p))
+    out = read_csv_union(spark, paths)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 3
+    want = [{0: (i, i * 10, None), 1: (i * 10, i, None), 2: (i, None, i * 10)}[i % 3] for i in range(12)] + [(3, None, None)]
+    assert sorted(map(repr, (tuple(r) for r in out.select("a", "b", "c").collect()))) == sorted(map(repr, want))
+    assert len(read_csv_union(spark, paths, concat=False)) == 12
+    given = read_csv_union(spark, paths[::3], schemas=["a int, b int"] * 4)
+    assert given._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1 and given.count() == 5
