@@ -97,14 +97,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if sc is not None and not (sc.master or "").startswith("local"):
+        if sc is None or not (sc.master or "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        if sc is None:
-            try:
-                spark.conf.set("spark.checkpoint.dir", configured)
-            except Exception:  # noqa: BLE001 - core settings may be read-only at runtime
-                pass
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()

@@ -83,3 +83,19 @@ def test_kpis_are_one_aggregate(spark):
             K.customer_satisfaction_score("customer_satisfaction"), K.total_revenue("sales_amount")]
     p = plan(K.kpi_frame(perf, kpis))
     assert nodes(p, "Scan parquet") == 1 and nodes(p, "HashAggregate") == 2    # one scan, partial + final
+
+
+def test_no_local_folder_for_remote_sessions():
+    import pytest
+    from tessera.session import ensure_checkpoint_dir
+
+    class Remote:                              # a session without a SparkContext
+        class conf:                            # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        @property
+        def sparkContext(self):                # noqa: N802
+            raise RuntimeError("not supported")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Remote())
