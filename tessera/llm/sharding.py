@@ -1,26 +1,30 @@
 """Operator 4, sharding by balanced label propagation.
 
 Documents start in hashed shards and move towards the shard where most of the
-documents linked with them are, under quotas of the shards' capacity. The links
-are groups (by default equal texts). Documents of a group that stand in one
-shard are interchangeable, so they move as one unit and a round joins units, not
-documents. Then each group goes whole to the shard that holds most of it or, where
-that is full, to one with room; full shards thereby exchange groups. Documents
-without links fill the shards up: row counts end at most one apart, whatever the
-groups are.
+documents linked with them are. The links are groups (by default equal texts).
+Documents of a group that stand in one shard are interchangeable, so they move as
+one unit and a round joins units, not documents. Shards exchange units: a round's
+moves are counted by pair of shards, and each pair gets a net quota, so that a full
+shard takes in what it gives away (plus a slack that shrinks to zero). Last, each
+group goes whole to the shard that holds most of it or, where that is full, to one
+with room. Documents without links fill the shards up: row counts end at most one
+apart, whatever the groups are.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, staged
 
-ROUNDS = 8
+ROUNDS = 5
 UNITS = 16           # a unit has at most about 1/UNITS of a shard's rows
 LEVELS = 64          # hash levels that break ties between moves of equal gain
 BUCKET_ROWS = 50_000
+SLACK = 0.1          # of its capacity that a shard may hold above it in the first round; none in the last
+BALANCING = 500      # most steps to balanced quotas
 
 
 def _capacity(n: int, shards: int, shard) -> F.Column:
@@ -28,41 +32,79 @@ def _capacity(n: int, shards: int, shard) -> F.Column:
     return F.lit(n // shards) + (shard < n % shards).cast("long")
 
 
-def propagate(units: DataFrame, n: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """``units`` (hub, part, size, shard) after moves; the load of a shard never passes its capacity by a move.
+def _quotas(asked: np.ndarray, room: np.ndarray, seed: int) -> np.ndarray:
+    """Rows that may move from shard i to shard j: at most ``asked``, and into a shard at most its room and what leaves it.
+
+    Two shards first swap as much as both ask for. Of the rest, a shard asked
+    for too much scales its inflow down; that lowers the outflow of others, so it
+    is repeated until no shard takes too much. Fractions are rounded by chance (of
+    a fixed seed), so that small flows are not lost.
+    """
+    swapped = np.minimum(asked, asked.T)
+    x = (asked - swapped).astype(float)
+    for _ in range(BALANCING):
+        flow_in, allowed = x.sum(0), np.maximum(room + x.sum(1), 0)
+        if (flow_in <= allowed + 0.5).all():
+            break
+        x *= np.minimum(1, allowed / np.maximum(flow_in, 1e-9))
+    return np.minimum(swapped + np.floor(x + np.random.default_rng(seed).random(x.shape)), asked).astype(int)
+
 
-    Each round a group prefers, among the shards with room, the one that holds
-    most of it, then the one with most room. A unit moves if that lowers the number of cut links. A shard
-    takes moves in the order of their gain as far as its room goes: the moves are
-    counted by (shard, gain class, hash level), at most ``shards * 64 * LEVELS`` rows.
+def propagate(units: DataFrame, n: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
+    """``units`` (hub, part, size, shard) after ``rounds`` rounds of moves between the shards.
+
+    A group prefers the shard that holds most of it (ties: by hash). A unit elsewhere
+    asks to move there if that lowers the number of cut links. In a shard above its
+    limit (capacity and the round's slack) whole groups, chosen by hash, ask to move to
+    shards below theirs. ``_quotas`` bounds the moves of each pair of shards; a
+    pair takes them in the order of their gain as far as its quota goes. Moves are
+    counted by (pair, gain class, hash level). The driver sees one number for each
+    shard and each pair of shards. Units of a group with one ``part`` that meet are one from then on.
     """
     spark = units.sparkSession
-    all_shards = spark.range(shards).select(F.col("id").cast("int").alias("shard"))
+    capacity = np.array([n // shards + (s < n % shards) for s in range(shards)])
+    hashed = lambda *salt: F.pmod(F.xxhash64("hub", *[F.lit(x) for x in salt]), F.lit(1 << 20)) / (1 << 20)
     for k in range(rounds):
-        load = units.groupBy("shard").agg(F.sum("size").alias("load"))
-        room = staged(all_shards.join(load, "shard", "left").select(
-            F.col("shard").alias("to"),
-            (_capacity(n, shards, F.col("shard")) - F.coalesce("load", F.lit(0))).alias("room")), "room")
-        held = units.groupBy("hub", "shard").agg(F.sum("size").alias("held"))
-        best = (held.join(room.where("room > 0"), F.col("shard") == F.col("to")).groupBy("hub")
-                .agg(F.max(F.struct("held", "room", "shard")).alias("best"))
-                .select("hub", F.col("best.shard").alias("to"), F.col("best.held").alias("there")))
-        here = held.withColumnRenamed("held", "here")
+        limit = (capacity * (1 + SLACK * (rounds - 1 - k) / rounds)).astype(int)
+        load = np.zeros(shards, dtype=int)
+        for r in units.groupBy("shard").agg(F.sum("size").alias("load")).collect():        # one row per shard
+            load[r["shard"]] = r["load"]
+        room = limit - load
+        held = units.groupBy("hub", "shard").agg(F.sum("size").alias("here"))
+        best = (held.groupBy("hub").agg(F.max(F.struct("here", F.xxhash64("hub", "shard").alias("tie"), "shard")).alias("best"),
+                                        F.sum("here").alias("members"))
+                .select("hub", F.col("best.shard").alias("best"), F.col("best.here").alias("there"), "members"))
+        moves = units.join(held, ["hub", "shard"]).join(best, "hub")
         gain = F.col("there") - (F.col("here") - F.col("size"))
-        moves = (units.join(here, ["hub", "shard"]).join(best, "hub")
-                 .where("to <> shard").withColumn("gain", gain).where("gain > 0")
+        to = F.when((F.col("best") != F.col("shard")) & (gain > 0), F.col("best"))
+        free, over = np.maximum(room, 0), np.maximum(-room, 0)
+        if over.any() and free.any():
+            leaves = F.element_at(F.array(*[F.lit(float(o / max(1, x))) for o, x in zip(over, load)]), F.col("shard") + 1)
+            drawn = F.coalesce(*[F.when(hashed(k, 1) < float(e), F.lit(s)) for s, e in enumerate(np.cumsum(free) / free.sum()) if free[s]],
+                               F.lit(int(free.argmax())))
+            whole = (F.col("members") == F.col("here")) & (F.col("size") == F.col("here"))
+            to = F.coalesce(to, F.when(whole & (hashed(k) < leaves), drawn))
+        moves = (moves.withColumn("to", to.cast("int")).where("to is not null").withColumn("gain", F.greatest(gain, F.lit(1)))
                  .withColumn("level", F.floor(-F.log2("gain")) * LEVELS + F.pmod(F.xxhash64("hub", "part", F.lit(k)), F.lit(LEVELS)))
-                 .select("hub", "part", "to", "level", "size"))
+                 .select("hub", "part", "shard", "to", "level", "size"))
         moves = staged(moves, "moves")
-        if moves.isEmpty():
+        asked = np.zeros((shards, shards), dtype=int)
+        for r in moves.groupBy("shard", "to").agg(F.sum("size").alias("n")).collect():      # one row per pair of shards
+            asked[r["shard"], r["to"]] = r["n"]
+        if not asked.any():
             break
-        below = Window.partitionBy("to").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
-        quota = (moves.groupBy("to", "level").agg(F.sum("size").alias("asked"))
-                 .withColumn("asked", F.sum("asked").over(below)).join(room, "to")
-                 .where("asked <= room").groupBy("to").agg(F.max("level").alias("limit")))
-        taken = moves.join(quota, "to").where(F.col("level") <= F.col("limit")).select("hub", "part", "to")
-        units = staged(units.join(taken, ["hub", "part"], "left")
-                       .select("hub", "part", "size", F.coalesce("to", "shard").alias("shard")), "units")
+        quota = _quotas(asked, room, k)
+        quota = spark.createDataFrame([(int(i), int(j), int(quota[i, j])) for i, j in zip(*np.nonzero(quota))],
+                                      "shard int, to int, quota long")
+        below = Window.partitionBy("shard", "to").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
+        limits = (moves.groupBy("shard", "to", "level").agg(F.sum("size").alias("asked"))
+                  .withColumn("asked", F.sum("asked").over(below)).join(quota, ["shard", "to"])
+                  .where("asked <= quota").groupBy("shard", "to").agg(F.max("level").alias("last")))
+        taken = (moves.join(limits, ["shard", "to"]).where(F.col("level") <= F.col("last"))
+                 .select("hub", "part", "shard", "to"))
+        units = staged(units.join(taken, ["hub", "part", "shard"], "left")
+                       .groupBy("hub", "part", F.coalesce("to", "shard").alias("shard")).agg(F.sum("size").alias("size"))
+                       .select("hub", "part", "size", "shard"), "units")
     return units
 
 
@@ -172,9 +214,10 @@ def balanced_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     hubs = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     hubs = staged(hubs, "groups")            # so the join below reads plain exchanges, of which a hot group can be split
     linked = rows.join(hubs, "hub").withColumn("shard", start)
-    # a unit: the members of a group that start in one shard, in parts of bounded size
+    # a unit: the members of a group that stand in one shard; of a group above the bound, in parts that stay apart
     most = max(1, n // shards // UNITS)
-    part = F.col("shard") + shards * F.pmod(F.xxhash64("row", F.lit(1)), F.ceil(F.col("members") / (most * shards)))
+    part = F.when(F.col("members") > most, F.col("shard") + shards * F.pmod(
+        F.xxhash64("row", F.lit(1)), F.ceil(F.col("members") / (most * shards)))).otherwise(F.lit(0))
     linked = linked.withColumn("part", part)
     units = staged(linked.groupBy("hub", "part", "shard").agg(F.count(F.lit(1)).alias("size"))
                    .select("hub", "part", "size", "shard"), "units")

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm import (bpe, chunk_dedup, decontaminate, exact_dedup, graph, html_extract, line_dedup, packing, quality,
@@ -253,6 +254,36 @@ def test_sharding(spark, odd, none, small, shards):
         assert max(where.pop("hot").values()) >= 150 and sum(len(s) > 1 for s in where.values()) <= 3
 
 
+@pytest.mark.parametrize("members", [2, 3, 4])
+def test_shards_exchange_units(spark, members):
+    """Full shards: the rounds themselves gather the groups, and the placement leaves them where they are."""
+    n, shards = 12_000, 10
+    units = (spark.range(n).select(F.unhex(F.md5(F.floor(F.col("id") / members).cast("string"))).alias("hub"),
+                                   F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
+             .groupBy("hub", "shard").agg(F.count("*").alias("size"))
+             .select("hub", F.lit(0).cast("long").alias("part"), "size", "shard"))
+    groups = n // members
+
+    def cut(df):
+        return df.groupBy("hub").agg(F.count_distinct("shard").alias("n")).where("n > 1").count()
+
+    out = sharding.propagate(units, n, shards)
+    assert out.agg(F.sum("size")).first()[0] == n
+    assert cut(units) > 0.5 * groups and cut(out) <= 0.02 * groups
+    load = [r["n"] for r in out.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    assert max(load) <= 1.05 * n / shards              # the slack is gone
+    places = sharding.place(out, n, shards)
+    kept = places.join(out.groupBy("hub").agg(F.max_by("shard", "size").alias("was")), "hub").where("shard = was").count()
+    assert kept >= 0.95 * groups
+
+
+def test_quotas_balance():
+    asked = np.array([[0, 30, 0], [10, 0, 0], [5, 50, 0]])
+    q = sharding._quotas(asked, np.array([0, 0, 0]), 0)
+    assert (q <= asked).all() and (q.sum(0) - q.sum(1) <= 2).all() and 8 <= q[0, 1] <= 12
+    assert (sharding._quotas(asked, np.array([100, 100, 100]), 0) == asked).all()
+
+
 @pytest.mark.parametrize("rows_, members, linked", [(4000, 2, 4000), (4000, 4, 4000), (4000, 3, 2400), (4000, 7, 4000)])
 def test_sharding_keeps_groups_whole_in_full_shards(spark, rows_, members, linked):
     docs = spark.createDataFrame([(i, f"g{i // members}" if i < linked else f"own {i}") for i in range(rows_)],
