@@ -186,6 +186,56 @@ def q_src_log_tail(spark, d):
     return lg.scan(spark, path, min_level="DEBUG", tail=200)
 
 
+def _log_with_tracebacks(spark, d, name: str) -> str:
+    """Stand-in input: a folder with an older log (orders) and a newer one (lineitem) whose errors have a traceback each."""
+    path = staging_path(spark, name)
+    old = tb.table(spark, d, "orders").select(lg.format_line(
+        F.col("o_orderdate").cast("timestamp_ntz"), F.lit("tessera.old"), F.lit("ERROR"), F.lit("jobs:old:1"),
+        F.col("o_orderkey").cast("string")).alias("value"))
+    logs = execution_logs(spark, d)
+    step = F.regexp_extract("step", r"(\d+)$", 1)
+    text = lg.format_line(F.col("timestamp"), F.lit("tessera.jobs"), F.col("level"), F.concat(F.lit("jobs:run:"), step), F.col("message"))
+    trace = F.concat(F.lit("\nTraceback (most recent call last):\n  File jobs.py, step "), step)
+    new = logs.select(F.concat(text, F.when(F.col("level") == "ERROR", trace).otherwise(F.lit(""))).alias("value"))
+    for k, df in enumerate((old, new)):
+        df.coalesce(1).sortWithinPartitions("value").write.mode("append" if k else "overwrite").text(path)
+    return path
+
+
+_RECORD_LINES = f"""
+SELECT r, k, ts, logger, level, location, message,
+       CASE k WHEN 0 THEN head WHEN 1 THEN 'Traceback (most recent call last):'
+              ELSE '  File jobs.py, step ' || split_part(location, ':', 3) END AS line, k > 0 AS continues
+FROM (SELECT *, row_number() OVER (ORDER BY head || CASE WHEN level = 'ERROR' THEN chr(10) ELSE '' END) AS r
+      FROM (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - ' || logger || ' - ' || level || ' - ' || location || ' - '
+                   || message AS head FROM ({_LOG_SQL}))),
+     (VALUES (0), (1), (2)) AS p(k)
+WHERE k = 0 OR level = 'ERROR'
+"""
+
+
+@query("src_log_newest", f"""
+SELECT * EXCLUDE (r, k) FROM (SELECT * FROM ({_RECORD_LINES}) ORDER BY r DESC, k DESC LIMIT 500) ORDER BY r, k
+""")
+def q_src_log_newest(spark, d):
+    """The last 500 lines of the newest log, tracebacks with the fields of their record."""
+    return lg.tail(spark, _log_with_tracebacks(spark, d, "src_log_newest"), 500, "DEBUG")
+
+
+@query("src_log_records", f"""
+SELECT * EXCLUDE (r, k) FROM ({_RECORD_LINES}) WHERE level IN ('WARNING', 'ERROR')
+UNION ALL BY NAME
+SELECT CAST(o_orderdate AS TIMESTAMP) AS ts, 'tessera.old' AS logger, 'ERROR' AS level, 'jobs:old:1' AS location,
+       CAST(o_orderkey AS VARCHAR) AS message, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')
+       || ' - tessera.old - ERROR - jobs:old:1 - ' || CAST(o_orderkey AS VARCHAR) AS line, false AS continues
+FROM orders
+""")
+def q_src_log_records(spark, d):
+    """Every line of the records at WARNING or above, over all logs of the folder."""
+    out = lg.records(spark, _log_with_tracebacks(spark, d, "src_log_records"))
+    return out.where(F.col("level").isin("WARNING", "ERROR")).drop("file", "block", "pos")
+
+
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
     T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import parse_ntz, wall_text
@@ -47,3 +47,61 @@ def scan(spark: SparkSession, path: str, min_level: str = "INFO", tail: int | No
     if tail is not None:
         parsed = parsed.orderBy(F.col("ts").desc_nulls_last(), F.col("line").desc()).limit(tail)
     return parsed
+
+
+def _allowed(min_level: str) -> list[str] | None:
+    """Level names at or above ``min_level``; None where every line passes (DEBUG)."""
+    level = min_level.upper()
+    return None if level == "DEBUG" else LEVELS[LEVELS.index(level):]
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the logs under ``path`` with the fields of the record it belongs to:
+    ``file, block, pos, ts, logger, level, location, message, line, continues``.
+
+    A line that is not in the log's format (a traceback, a second line of a message)
+    goes on with the last record before it in its file, and ``continues`` is true.
+    Lines before the first record of a file have null fields. (file, block, pos)
+    is the order of the lines: the split's first byte and the position inside it.
+
+    A window covers one split (at most ``spark.sql.files.maxPartitionBytes``, or one line),
+    and one row a split carries its last record over to the next ones, so a file
+    of any size is read in parallel and no record is collected.
+    """
+    head = F.when(F.col("line").rlike(LINE_FORMAT), F.col("line"))
+    lines = (spark.read.text(path)
+             .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+             .withColumn("head", head))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (lines.groupBy("file", "block").agg(F.max(F.when(F.col("head").isNotNull(), F.struct("pos", "head"))).alias("end"))
+             .select("file", "block", F.last("end.head", ignorenulls=True).over(before).alias("carried")))
+    inside = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    whole = (lines.withColumn("own", F.last("head", ignorenulls=True).over(inside)).join(carry, ["file", "block"])
+             .withColumn("record", F.coalesce("own", "carried")))
+    field = lambda k: F.regexp_extract("record", LINE_FORMAT, k)
+    return whole.select("file", "block", "pos", parse_ntz(field(1), "yyyy-MM-dd HH:mm:ss").alias("ts"),
+                        field(2).alias("logger"), field(3).alias("level"), field(4).alias("location"),
+                        field(5).alias("message"), "line", F.col("head").isNull().alias("continues"))
+
+
+def tail(spark: SparkSession, folder: str, lines: int = 50, min_level: str = "INFO", glob: str = "*",
+         whole_records: bool = False) -> DataFrame:
+    """The last ``lines`` lines, in file order, of the newest file of ``folder`` (none: no rows).
+
+    A line passes if it contains a level name at or above ``min_level`` (DEBUG: every
+    line). With ``whole_records`` the level of its record decides instead, so
+    tracebacks stay with their error. Columns: those of ``records`` without the order.
+    """
+    newest = newest_file(spark, folder, glob)
+    if newest is None:
+        out = spark.createDataFrame([], "file string, block long, pos long, ts timestamp_ntz, logger string, level string, "
+                                        "location string, message string, line string, continues boolean")
+    else:
+        out = records(spark, newest)
+        allowed = _allowed(min_level)
+        if allowed:
+            out = out.where(F.col("level").isin(allowed) if whole_records else F.col("line").rlike("|".join(allowed)))
+    order = ["block", "pos"]
+    last = out.orderBy(*[F.col(c).desc() for c in order]).limit(lines)
+    return last.orderBy(*order).drop("file", *order)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +41,36 @@ def write_bundle(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
     return spark.read.parquet(f"{base}/_manifest")
 
 
-def file_manifest(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = True) -> DataFrame:
+def _digests(block_bytes: int):
+    """Batches of (path, length, modificationTime) → the same with md5 and sha256, each file read in blocks."""
+    def run(batches):
+        for batch in batches:
+            md5, sha256 = [], []
+            for path in batch.column("path").to_pylist():
+                fs, inner = pafs.FileSystem.from_uri(quote(path, safe="/:@"))     # Spark gives the plain path
+                sums = hashlib.md5(), hashlib.sha256()
+                with fs.open_input_stream(inner, compression=None) as stream:
+                    while block := stream.read(block_bytes):
+                        for h in sums:
+                            h.update(block)
+                md5.append(sums[0].hexdigest())
+                sha256.append(sums[1].hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(md5, pa.string()), pa.array(sha256, pa.string())],
+                                             names=[*batch.schema.names, "md5", "sha256"])
+    return run
+
+
+def file_manifest(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = True,
+                  block_bytes: int = 8 << 20) -> DataFrame:
     """(path, length, modificationTime, md5, sha256) of the files under ``folder``.
-    Each file is hashed by the task that reads it (binaryFile keeps one file per row)."""
+
+    Spark lists the files, which leaves empty ones out; the tasks read each in blocks of ``block_bytes`` with running
+    digests, so a task's memory does not depend on the size of a file. The file system must be one that
+    pyarrow can open (local, HDFS, object stores).
+    """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower()).load(folder))
-    return files.select("path", "length", "modificationTime", F.md5("content").alias("md5"),
-                        F.sha2("content", 256).alias("sha256"))
+             .option("recursiveFileLookup", str(recursive).lower()).load(folder)
+             .select("path", "length", "modificationTime"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInArrow(
+        _digests(block_bytes), "path string, length long, modificationTime timestamp, md5 string, sha256 string")

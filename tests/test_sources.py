@@ -1,6 +1,8 @@
 """Round trips through the file formats, in a temp folder."""
 
 import hashlib
+import os
+import re
 import json
 import os
 
@@ -146,6 +148,56 @@ def test_log_scan(spark, tmp_dir):
     assert lg.newest_file(spark, f"{tmp_dir}/logs").endswith("app.log")
 
 
+def test_log_records_across_splits(spark, tmp_path):
+    """Lines of tracebacks keep their record's fields wherever the splits fall; tail equals the file's last lines."""
+    lines = ["no record yet"]
+    for i in range(120):
+        level = ["INFO", "ERROR", "DEBUG", "WARNING"][i % 4]
+        lines.append(f"2024-01-01 10:{i // 60:02d}:{i % 60:02d} - app - {level} - m:f:{i} - message {i}")
+        if level == "ERROR":
+            lines += ["Traceback (most recent call last):"] + [f"  frame {i}.{j}" for j in range(i % 30)] + [""]
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "old.log").write_text("2030-01-01 00:00:00 - app - ERROR - m:f:1 - newest stamp, older file\n")
+    os.utime(folder / "old.log", (1, 1))
+    (folder / "new.log").write_text("\n".join(lines) + "\n")
+    want, record = [], None
+    for x in lines:
+        record = x.split(" - ", 4) if re.match(r"\d{4}-", x) else record
+        want.append((record[2] if record else None, record[4] if record else None, x, not re.match(r"\d{4}-", x)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split in ("500", "128MB"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            got = lg.tail(spark, str(folder), 10_000, "DEBUG").select("level", "message", "line", "continues").collect()
+            assert [tuple(r) for r in got] == want
+            if split == "500":
+                assert lg.records(spark, str(folder / "new.log")).select("block").distinct().count() > 5
+            last = [r["line"] for r in lg.tail(spark, str(folder), 7, "DEBUG").collect()]
+            assert last == lines[-7:]
+            shown = [r["line"] for r in lg.tail(spark, str(folder), 25, "WARNING").collect()]
+            assert shown == [x for x in lines if any(v in x for v in ("WARNING", "ERROR", "CRITICAL"))][-25:]
+            whole = [r["line"] for r in lg.tail(spark, str(folder), 60, "ERROR", whole_records=True).collect()]
+            assert whole == [w[2] for w in want if w[0] == "ERROR"][-60:]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert lg.tail(spark, str(empty)).count() == 0
+
+
+def test_manifest_reads_in_blocks(spark, tmp_path):
+    content = {"a b.bin": os.urandom(10_007), "d%20e.bin": b"y", "c.bin": b"x" * 4096}
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+    (tmp_path / "empty.bin").write_bytes(b"")          # Spark's listing leaves it out
+    got = sk.file_manifest(spark, str(tmp_path), "*.bin", block_bytes=1024).collect()
+    assert sorted((r["length"], r["md5"], r["sha256"]) for r in got) == sorted(
+        (len(x), hashlib.md5(x).hexdigest(), hashlib.sha256(x).hexdigest()) for x in content.values())
+
+
 def test_bundle_and_manifest(spark, employees, tmp_dir):
     m = sk.write_bundle(spark, {"employees": employees, "x" * 40: employees.where("false")}, f"{tmp_dir}/b")
     rows = {r["name"]: r["rows"] for r in m.collect()}
