@@ -41,7 +41,6 @@ from ..session import ensure_checkpoint_dir
 
 BUCKET = "__bucket"
 _UNB = Window.unboundedPreceding
-_UNF = Window.unboundedFollowing
 
 
 def with_range_bucket(df: DataFrame, key_cols: Sequence[str], n_buckets: int | None = None,
@@ -68,9 +67,10 @@ def _with_carry(bdf: DataFrame, pb: list[str], aggs: dict[str, Column], carry: d
     """``bdf`` with what the buckets before (``forward``) or after hold of a row's group.
 
     ``aggs`` are the pass-1 aggregates per (bucket, group), ``carry`` aggregates over them; NULL
-    for a group that does not go on from another bucket.
+    for a group that does not go on from another bucket. ``carry`` sees the buckets in reading
+    order, so the nearest one is always the last.
     """
-    w = Window.partitionBy(*pb).orderBy(BUCKET).rowsBetween(*((_UNB, -1) if forward else (1, _UNF)))
+    w = Window.partitionBy(*pb).orderBy(BUCKET if forward else F.desc(BUCKET)).rowsBetween(_UNB, -1)
     p1 = bdf.groupBy(BUCKET, *pb).agg(*[e.alias(k) for k, e in aggs.items()])
     p1 = (p1.select(BUCKET, *[F.col(p).alias(f"__g_{p}") for p in pb], F.count(F.lit(1)).over(w).alias("__others"),
                     *[e.over(w).alias(k) for k, e in carry.items()])
@@ -186,7 +186,11 @@ def _rank_plain(df, column, ascending, method, out):
 def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Sequence[str] | str,
                           partition_by: Sequence[str] | str | None = None, direction: str = "forward",
                           two_pass: bool = True, n_buckets: int | None = None) -> DataFrame:
-    """Carry the last (forward) or next (backward) non-null value along ``order_by``."""
+    """Carry the last (forward) or next (backward) non-null value along ``order_by``.
+
+    Backward is forward over the mirrored order: Spark evaluates a frame that ends at
+    the partition's end anew for every row, which is quadratic, a growing frame once.
+    """
     if order_by is None:
         raise ValueError("ffill/bfill needs order_by (Spark rows have no order)")
     order = as_list(order_by)
@@ -194,18 +198,17 @@ def fill_forward_backward(df: DataFrame, columns: Sequence[str], order_by: Seque
     cols = [c for c in as_list(columns) if c in df.columns and c not in pb]
     df = nan_to_null(df, cols)
     fwd = direction == "forward"
-    frame = (_UNB, 0) if fwd else (0, _UNF)
-    pick = F.last if fwd else F.first
+    along = sort_exprs(order) if fwd else [F.col(c).desc_nulls_first() for c in order]
     if not two_pass:
-        w = Window.partitionBy(*pb).orderBy(*sort_exprs(order)).rowsBetween(*frame)
-        return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in cols})
+        w = Window.partitionBy(*pb).orderBy(*along).rowsBetween(_UNB, 0)
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     bdf = with_range_bucket(df, pb + order, n_buckets)
     o = _order_struct(order)
     edge = F.max_by if fwd else F.min_by
     j = _with_carry(bdf, pb, {f"__e_{c}": edge(F.col(c), F.when(F.col(c).isNotNull(), o)) for c in cols},
-                    {f"__in_{c}": pick(f"__e_{c}", ignorenulls=True) for c in cols}, forward=fwd)
-    w = Window.partitionBy(BUCKET, *pb).orderBy(*sort_exprs(order)).rowsBetween(*frame)
-    res = j.withColumns({c: F.coalesce(pick(c, ignorenulls=True).over(w), F.col(f"__in_{c}")) for c in cols})
+                    {f"__in_{c}": F.last(f"__e_{c}", ignorenulls=True) for c in cols}, forward=fwd)
+    w = Window.partitionBy(BUCKET, *pb).orderBy(*along).rowsBetween(_UNB, 0)
+    res = j.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"__in_{c}")) for c in cols})
     return res.drop(BUCKET, *[f"__in_{c}" for c in cols])
 
 

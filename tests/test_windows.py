@@ -154,3 +154,19 @@ def test_null_groups_and_order_keys(spark):
                 n[k], total[k] = n.get(k, 0) + 1, total.get(k, 0) + v
                 want[i] = (n[k], None if pb and g is None else total[k])
             assert got == want
+
+
+@pytest.mark.parametrize("two_pass", [True, False])
+def test_backward_fill_reads_no_frame_to_the_end(spark, two_pass):
+    """Frames up to the partition's end are evaluated anew for every row; values as pandas has them, NULL order keys last."""
+    rows = [(g, None if i == 29 else i, None if i % 3 else float(i), None if i % 5 else str(i))
+            for g in (None, "a", "b") for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, i long, v double, s string")
+    out = W.fill_forward_backward(df, ["v", "s"], "i", "g", "backward", two_pass=two_pass, n_buckets=4)
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    want = pd.DataFrame(rows, columns=["g", "i", "v", "s"])
+    want[["v", "s"]] = want.groupby("g", dropna=False)[["v", "s"]].bfill()
+    norm = lambda r: tuple(None if pd.isna(x) else x for x in r)
+    key = lambda r: tuple((x is None, x or 0) for x in r[1:2]) + (r[0] or "",)
+    assert sorted(map(norm, out.select("g", "i", "v", "s").collect()), key=key) == \
+        sorted(map(norm, want.itertuples(index=False)), key=key)
