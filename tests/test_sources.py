@@ -228,3 +228,50 @@ def test_csv_union_scans_each_layout_once(spark, tmp_path):
     assert len(read_csv_union(spark, paths, concat=False)) == 12
     given = read_csv_union(spark, paths[::3], schemas=["a int, b int"] * 4)
     assert given._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1 and given.count() == 5
+
+
+def test_rolled_logs_are_one_log(spark, tmp_path, monkeypatch):
+    """A log cut into files goes on from file to file; windows of a few lines; fields as the format's expression gives them."""
+    monkeypatch.setattr(lg, "CHUNK", 3)
+    heads = ["2024-01-01 10:00:00 - app - ERROR - m:f:1 - one - two - three", "2024-01-01 10:00:01 - a - b - WARNING - m:f:2 - x",
+             "2024-01-01 10:00:02 -  - INFO - m - ", "2024-01-01 10:00:03 - - INFO - X - Y - z", "2024-13-01 10:00:04 - app - INFO - m:f:3 - ok",
+             "2024-01-01 10:00:05 - app - info - m:f:4 - no - WARNING - a - b", "2024-01-01 10:00:06 - app - info - m:f:4 - no level"]
+    text = ["before"]
+    for i in range(40):
+        text += [heads[i % len(heads)]] + [f"  frame {i}.{j}" for j in range(i % 7)]
+    (tmp_path / "a-old").mkdir()
+    (tmp_path / "a-old" / "part-0.txt").write_text(heads[0] + "\n")
+    os.utime(tmp_path / "a-old" / "part-0.txt", (1, 1))
+    (tmp_path / "b-new").mkdir()
+    cuts = [0, 1, 20, 21, 24, 90, len(text)]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        (tmp_path / "b-new" / f"part-{k}.txt").write_text("".join(x + "\n" for x in text[a:b]))
+    want, record = [], None
+    for x in text:
+        m = re.match(lg.LINE_FORMAT, x)
+        record = m or record
+        want.append((*(record.groups()[1:] if record else [None] * 4), x, m is None))
+    got = lg.tail(spark, str(tmp_path), 1000, "DEBUG", rolled=True)
+    assert [tuple(r) for r in got.select("logger", "level", "location", "message", "line", "continues").collect()] == want
+    assert got.where("line like '2024-13%' and ts is null").count() == sum(x.startswith("2024-13") for x in text)
+    assert [r["line"] for r in lg.tail(spark, str(tmp_path), 9, "DEBUG", rolled=True).collect()] == text[-9:]
+    apart = lg.records(spark, str(tmp_path))                       # every file a log by itself
+    assert apart.count() == len(text) + 1
+    firsts = {r["line"]: r["level"] for r in apart.where("file like '%part-2%' or file like '%part-3%'").collect() if r["continues"]}
+    part = lambda k: text[cuts[k]:cuts[k + 1]]
+    for k in (2, 3):
+        for x in part(k):
+            if x.startswith("2024"):
+                break
+            if re.match(lg.LINE_FORMAT, x) is None:
+                assert firsts[x] is None
+
+
+def test_log_queries_write_their_logs_with_many_tasks(spark, monkeypatch):
+    from tessera.plans import catalog_sources as cat
+    from tests.conftest import SF
+    monkeypatch.setattr(cat, "LOG_LINES", 1000, raising=False)
+    path = cat._log_with_tracebacks(spark, SF, "many-tasks")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count() + spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert files.count() >= lines // 1000
