@@ -28,6 +28,12 @@ UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF
 WORD = rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]+"
 
 
+def _words(line, most: int):
+    """Words of a line, at most ``most``: a line that reaches it is read no further and its words are not taken out."""
+    reaches = rf"^[\x20\x09-\x0D]*+(?:(?:[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]++)[\x20\x09-\x0D]*+){{{most}}}"
+    return F.when(line.rlike(reaches), most).otherwise(F.size(F.regexp_extract_all(line, F.lit(WORD), F.lit(0))))
+
+
 def _text_key(id_col, text_col):
     """Names a document: rows that agree in id and text are one document."""
     return F.unhex(F.md5(F.concat_ws("|", F.coalesce(id_col.cast("string"), F.lit("-")), text_col)))
@@ -55,7 +61,7 @@ def _fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
     """
     gram = max(1, min_words // 2)
     all_lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(
-        i.alias("at"), F.size(F.regexp_extract_all(x, F.lit(WORD), F.lit(0))).alias("words"),
+        i.alias("at"), _words(x, min_words).alias("words"),         # sums of words are only compared with min_words or less
         F.unhex(F.md5(x)).alias("hash")))
     lines, n = F.col("lines"), F.col("n")
     at = docs.select("doc_id", "key", F.filter(all_lines, lambda x: x["words"] > 0).alias("lines"))

@@ -595,3 +595,16 @@ def test_line_dedup_stays_native(small):
     assert not re.search("Python|Pandas|Arrow", plan)
     plan = exact_dedup.exact_dedup(small, digest_all=True)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_line_words_are_counted_up_to_the_most_asked(spark):
+    """As many as the word pattern finds, in any script and white space, but never more than asked."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import line_dedup as ld
+    lines = ["", " ", "\t\x0b \x0c\r", "a", " a  b\tc\x0bd ", "漢字 ab漢c字d", "ไทย", "x y z\u0085w", "a " * 9, "a " * 10, " a" * 11 + " ",
+             "漢" * 10, "漢" * 9 + "a", "ab" * 500, "w " * 500, "😀 é 漢", "a\x00b c"]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    whole = F.size(F.regexp_extract_all("x", F.lit(ld.WORD), F.lit(0)))
+    for most in (1, 3, 10):
+        assert df.where(ld._words(F.col("x"), most) != F.least(whole, F.lit(most))).count() == 0
